@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.catalog import features
-from larkspur.catalog.registry import ORACLES, QUERIES
+from larkspur.catalog import features, models, reports, rows, tables  # noqa: F401
+from larkspur.catalog.registry import QUERIES, oracles
 from larkspur.functions import distance
 from larkspur.sources.tables import Tables
 
@@ -16,7 +16,7 @@ def all_queries():
 
 
 def all_oracles():
-    return dict(ORACLES)
+    return oracles()
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:

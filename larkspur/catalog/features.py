@@ -56,17 +56,17 @@ view("geo", f"""select *, {NEAREST_CITY_SQL} as dist_nearest_city, cast(dist_to_
 
 def geo_features(blocks: DataFrame) -> DataFrame:
     """The 14 geographic columns on housing blocks."""
-    lat, lon = C("Latitude"), C("Longitude")
-    located = blocks.withColumns(
-        {"dist_to_coast": geo.nearest_distance(lat, lon)} | geo.city_distances(lat, lon))
-    flagged = located.withColumns(
-        geo.region_flags(C("dist_to_coast"), C("dist_SF"), C("dist_LA")) | {"climate_zone": geo.latitude_zone(lat)})
+    placed = geo.with_unit_vector(blocks, "Latitude", "Longitude")
+    located = placed.withColumns({"dist_to_coast": geo.nearest_miles()} | geo.city_distances())
+    flagged = located.withColumns(geo.region_flags(C("dist_to_coast"), C("dist_SF"), C("dist_LA"))
+                                  | {"climate_zone": geo.latitude_zone(C("Latitude"))})
     products = housing.housing_interactions(
         C("MedInc"), C("HouseAge"), C("AveRooms"), C("dist_to_coast"), C("is_coastal"))
     ratios = housing.housing_ratios(C("AveBedrms"), C("AveRooms"), C("AveOccup"), C("Population"))
     return flagged.withColumns({
         "income_coast_interaction": products["income_coast_interaction"],
-        "urban_density": ratios["urban_density"], "coastal_income": products["coastal_income"]})
+        "urban_density": ratios["urban_density"], "coastal_income": products["coastal_income"],
+    }).drop(*geo.UNIT)
 
 
 def clock(df: DataFrame, ts: str = "ts") -> DataFrame:
@@ -345,7 +345,7 @@ def housing_flags(t: Tables):
   income_coast_interaction, coastal_income from geo""", "geo",
        doubles="income_age income_rooms income_coast_interaction coastal_income")
 def housing_interactions(t: Tables):
-    df = t.blocks.withColumn("dist_to_coast", geo.nearest_distance(C("Latitude"), C("Longitude")))
+    df = geo.with_unit_vector(t.blocks, "Latitude", "Longitude").withColumn("dist_to_coast", geo.nearest_miles())
     coastal = tp.flag(C("dist_to_coast") < fv.COASTAL_MILES)
     products = housing.housing_interactions(C("MedInc"), C("HouseAge"), C("AveRooms"), C("dist_to_coast"), coastal)
     return df.select("block_id", *[c.alias(n) for n, c in products.items()])
@@ -354,7 +354,9 @@ def housing_interactions(t: Tables):
 @query(f"""select block_id, {miles_sql('Latitude', 'Longitude', fv.CITIES['SF'])} as miles from blocks""", "blocks",
        doubles="miles")
 def haversine_miles(t: Tables):
-    return t.blocks.select("block_id", geo.distance_to(C("Latitude"), C("Longitude"), fv.CITIES["SF"]).alias("miles"))
+    lat, lon = fv.CITIES["SF"]
+    return t.blocks.select("block_id", geo.haversine_miles(
+        C("Latitude"), C("Longitude"), F.lit(lat), F.lit(lon)).alias("miles"))
 
 
 @query("select block_id, is_coastal, is_bay_area, is_socal from geo", "geo")

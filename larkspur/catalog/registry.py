@@ -15,7 +15,7 @@ from larkspur.sources import standins
 from larkspur.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+_SQL: dict[str, tuple[str, list[str]]] = {}
 
 _PRICED = "select * from rides where price is not null and price > 0"
 _VIEWS = {
@@ -62,7 +62,7 @@ def query(sql: str | None = None, uses: str = "", doubles: str = "", bigints: st
             df = fn(Tables(spark, folder))
             changes = {c: F.round(F.col(c), digits) + F.lit(0.0) for c in rounded}
             changes |= {c: F.col(c).cast("bigint") for c in whole}
-            return df.select([changes[c].alias(c) if c in changes else F.col(c) for c in df.columns])
+            return df.select([changes[c].alias(c) if c in changes else F.col(f"`{c}`") for c in df.columns])
 
         run.__name__ = slug
         QUERIES[slug] = run
@@ -70,7 +70,12 @@ def query(sql: str | None = None, uses: str = "", doubles: str = "", bigints: st
             edits = [f"round({c}, {digits}) + 0e0 as {c}" for c in rounded]
             edits += [f"cast({c} as bigint) as {c}" for c in whole]
             replace = f" replace ({', '.join(edits)})" if edits else ""
-            ORACLES[slug] = f"{with_views(uses.split())}select *{replace} from ({sql})"
+            _SQL[slug] = (f"select *{replace} from ({sql})", uses.split())
         return fn
 
     return register
+
+
+def oracles() -> dict[str, str]:
+    """Complete SQL texts, each with the stand-in views it uses."""
+    return {slug: with_views(uses) + sql for slug, (sql, uses) in _SQL.items()}

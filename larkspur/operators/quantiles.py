@@ -33,7 +33,7 @@ def _struct_array(rows: list[dict], fields: dict[str, str]) -> Column:
 
 
 _BRACKET = {"b": "int", "lo": "double", "hi": "double", "below": "bigint", "inside": "bigint"}
-_TARGET = {"b": "int", "i": "int", "k0": "bigint", "k1": "bigint", "frac": "double"}
+_TARGET = {"b": "int", "i": "int", "k0": "bigint", "k1": "bigint", "place": "double"}
 
 
 def _explode_per_group(df: DataFrame, table: Settled, by: list[str], fields: dict[str, str],
@@ -81,42 +81,46 @@ def _narrow(base: DataFrame, brackets: Settled, targets: Settled, by: list[str],
     return settle(counted), settle(retargeted)
 
 
-def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-              gather_limit: int = GATHER_LIMIT, accuracy: int = ACCURACY,
-              grid: int = GRID) -> DataFrame:
-    """Linear-interpolated quantiles: one row (by…, i, prob, quantile) each.
+def quantile_arrays(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
+                    gather_limit: int = GATHER_LIMIT, accuracy: int = ACCURACY,
+                    grid: int = GRID) -> DataFrame:
+    """Linear-interpolated quantiles: one row (by…, q) with an array per group.
 
-    NULL and NaN values are ignored; groups without values give no row.
+    NULL and NaN values are ignored. Groups are counted first: when none
+    exceeds ``gather_limit`` rows the built-in exact aggregate is bounded by
+    that limit and is used as it is.
     """
-    by = list(by)
-    base = df.select(*by, F.col(value).cast("double").alias(_X)).where(
-        F.col(_X).isNotNull() & ~F.isnan(_X))
-    sizes = settle(base.groupBy(*by).agg(F.count("*").alias("inside")).where("inside > 0"))
-    brackets = Settled(
-        sizes.frame.select(*by, F.lit(0).alias("b"), F.lit(-math.inf).alias("lo"),
-                           F.lit(math.inf).alias("hi"), F.lit(0).cast("bigint").alias("below"),
-                           "inside"),
-        sizes.rows and [dict(r, b=0, lo=-math.inf, hi=math.inf, below=0) for r in sizes.rows],
-    )
-    probs = [float(p) for p in probs]
+    by, probs = list(by), [float(p) for p in probs]
+    x = F.col(value).cast("double")
+    # NaN to NULL, which aggregates skip; a filter would repeat a long expression in the scan
+    base = df.select(*by, F.nanvl(x, F.lit(None)).alias(_X))
+    counts = base.groupBy(*by).agg(F.count(_X).alias("inside"))
+    if (counts.agg(F.max("inside")).first()[0] or 0) <= gather_limit:
+        return base.groupBy(*by).agg(F.percentile(_X, F.array(*[F.lit(p) for p in probs])).alias("q"))
+    return _narrowed_quantiles(base, counts, probs, by, gather_limit, accuracy, grid)
+
+
+def _narrowed_quantiles(base: DataFrame, counts: DataFrame, probs: list[float], by: list[str],
+                        gather_limit: int, accuracy: int, grid: int) -> DataFrame:
+    sizes = settle(counts.where("inside > 0"))
+    brackets = settle(sizes.frame.select(
+        *by, F.lit(0).alias("b"), F.lit(-math.inf).alias("lo"), F.lit(math.inf).alias("hi"),
+        F.lit(0).cast("bigint").alias("below"), "inside"))
     spread = sizes.frame.select(
         *by, "inside", F.posexplode(F.array(*[F.lit(p) for p in probs])).alias("i", "prob"))
     place = F.col("prob") * (F.col("inside") - 1)
     targets = settle(spread.select(
         *by, F.lit(0).alias("b"), "i", F.floor(place).alias("k0"), F.ceil(place).alias("k1"),
-        (place - F.floor(place)).alias("frac"), "prob"))
+        place.alias("place")))
 
     widest = _widest(brackets)
     while widest > gather_limit:
-        narrowed, retargeted = _narrow(base, brackets, targets, by, accuracy, grid)
-        brackets, targets = narrowed, retargeted
+        brackets, targets = _narrow(base, brackets, targets, by, accuracy, grid)
         shrunk = _widest(brackets)
         if shrunk > 0.9 * widest:
             break  # the rest is mostly ties, which collapse to few distinct values
         widest = shrunk
 
-    if not by and not brackets.rows:
-        return targets.frame.select("i", "prob", F.lit(None).cast("double").alias("quantile"))
     counted = (
         _explode_per_group(base, brackets, by, _BRACKET,
                            lambda e: (F.col(_X) >= e["lo"]) & (F.col(_X) <= e["hi"]))
@@ -130,14 +134,13 @@ def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[st
         lambda e: (e["b"] == F.col("b")) & (F.col("upto") > e["k0"])
         & (F.col("upto") - F.col("n") <= e["k1"]),
     )
-    low = F.min(F.col(_X))
-    high = F.min(F.when(F.col("upto") > F.col("_e.k1"), F.col(_X)))
-    result = picked.groupBy(*by, F.col("_e.i").alias("i"), F.col("_e.frac").alias("frac")).agg(
-        low.alias("v0"), high.alias("v1"))
-    prob = F.get(F.array(*[F.lit(p) for p in probs]), F.col("i"))
-    return result.select(
-        *by, "i", prob.alias("prob"),
-        (F.col("v0") + F.col("frac") * (F.col("v1") - F.col("v0"))).alias("quantile"))
+    per_target = picked.groupBy(*by, *[F.col(f"_e.{c}").alias(c) for c in ("i", "k0", "k1", "place")]).agg(
+        F.min(_X).alias("v0"), F.min(F.when(F.col("upto") > F.col("_e.k1"), F.col(_X))).alias("v1"))
+    between = (F.col("k1") - F.col("place")) * F.col("v0") + (F.col("place") - F.col("k0")) * F.col("v1")
+    value = F.when(F.col("k0") == F.col("k1"), F.col("v0")).otherwise(between)
+    # one short array per group: as many entries as probabilities
+    return per_target.groupBy(*by).agg(
+        F.array_sort(F.collect_list(F.struct("i", value.alias("v"))))["v"].alias("q"))
 
 
 def _widest(brackets: Settled) -> int:
@@ -146,17 +149,23 @@ def _widest(brackets: Settled) -> int:
     return row["m"] or 0
 
 
+def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
+              **options) -> DataFrame:
+    """One row (by…, i, prob, quantile) per group and probability."""
+    arrays = quantile_arrays(df, value, probs, by, **options)
+    tall = arrays.select(*by, F.posexplode("q").alias("i", "quantile"))
+    prob = F.get(F.array(*[F.lit(float(p)) for p in probs]), F.col("i"))
+    return tall.select(*by, "i", prob.alias("prob"), "quantile")
+
+
 def quantile_values(df: DataFrame, value: str, probs: Sequence[float], **options) -> list[float | None]:
     """Whole-table quantiles as driver-side numbers, one per probability."""
-    found = {r["i"]: r["quantile"] for r in quantiles(df, value, probs, **options).collect()}
-    return [found.get(i) for i in range(len(probs))]
+    row = quantile_arrays(df, value, probs, **options).first()
+    return list(row["q"]) if row and row["q"] else [None] * len(probs)
 
 
 def quantile_columns(df: DataFrame, value: str, probs: dict[str, float],
                      by: Sequence[str] = (), **options) -> DataFrame:
-    """The same with one row per group and one named column per probability."""
-    tall = quantiles(df, value, list(probs.values()), by, **options)
-    return tall.groupBy(*by).agg(*[
-        F.max(F.when(F.col("i") == i, F.col("quantile"))).alias(name)
-        for i, name in enumerate(probs)
-    ])
+    """One row per group with a named column per probability."""
+    arrays = quantile_arrays(df, value, list(probs.values()), by, **options)
+    return arrays.select(*by, *[F.get("q", F.lit(i)).alias(name) for i, name in enumerate(probs)])

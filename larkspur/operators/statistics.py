@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from itertools import combinations_with_replacement
 from statistics import NormalDist
 from typing import Sequence
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,13 +65,16 @@ def pearson_pairs(df: DataFrame, features: Sequence[str], targets: Sequence[str]
 
 
 def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Correlation of every ordered pair, computed once per unordered pair."""
-    pairs = list(combinations_with_replacement(columns, 2))
-    wide = df.agg(*[
-        pearson(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs])
-    cells = [(a, b, f"{a}|{b}") for a, b in pairs] + [(b, a, f"{a}|{b}") for a, b in pairs if a != b]
-    return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"`{c}`").alias("r")) for a, b, c in cells])))
+    """Correlation of every ordered pair, in long form; constant columns give NULL.
+
+    One pass of matrix sums over the executors; only the k x k result, for
+    the listed columns, is read back. The columns must be free of NULL.
+    """
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="_v").transform(df)
+    matrix = Correlation.corr(vectors.select("_v"), "_v").first()[0].toArray()
+    cells = [(a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    tall = df.sparkSession.createDataFrame(cells, "x string, y string, r double")
+    return tall.withColumn("r", F.when(~F.isnan("r"), F.col("r")))
 
 
 def pivot_mean(df: DataFrame, row: str, column: str, values: Sequence[str], measure: str) -> DataFrame:
@@ -101,11 +105,10 @@ def _bin_of(x: Column, low: float, high: float, bins: int) -> Column:
 def equal_width_histogram(df: DataFrame, value: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
     """Counts in equal bins from min to max; the last bin is closed."""
     ends = df.agg(F.min(value).cast("double").alias("a"), F.max(value).cast("double").alias("b")).first()
-    kept = df.where(F.col(value).isNotNull())
     low, high = (ends["a"] or 0.0), (ends["b"] or 0.0)
     number = _bin_of(F.col(value), low, high, bins)
     return (
-        kept.groupBy(*by, number.alias("bin")).agg(F.count("*").alias("n"))
+        df.groupBy(*by, number.alias("bin")).agg(F.count(value).alias("n")).where("n > 0")
         .withColumn("bin_start", F.lit(low) + F.col("bin") * F.lit((high - low) / bins))
     )
 
@@ -116,7 +119,7 @@ def binned_mean(df: DataFrame, x: str, y: str, bins: int = 20) -> DataFrame:
     low, high = (ends["a"] or 0.0), (ends["b"] or 0.0)
     width = (high - low) / bins
     means = (
-        df.where(F.col(x).isNotNull()).groupBy(_bin_of(F.col(x), low, high, bins).alias("bin"))
+        df.groupBy(_bin_of(F.col(x), low, high, bins).alias("bin"))
         .agg(F.count("*").alias("n"), F.avg(y).alias("mean_y"))
     )
     grid = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
@@ -206,4 +209,4 @@ def table_profile(df: DataFrame, target: str) -> DataFrame:
     """Rows, columns and the range of the target, in one row."""
     return target_range(df, target).select(
         F.col("n").alias("n_target"), "min_value", "max_value", "mean_value", "median_value",
-    ).withColumn("n_columns", F.lit(len(df.columns))).withColumn("n_rows", F.lit(df.count()))
+    ).withColumn("n_columns", F.lit(len(df.columns))).withColumn("n_rows", F.lit(df.count()).cast("bigint"))
