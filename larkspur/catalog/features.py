@@ -11,6 +11,7 @@ from larkspur.functions import distance as fd
 from larkspur.functions import geo, housing, ride, timeparts as tp, weather
 from larkspur.operators import ordering
 from larkspur.operators.cleaning import optional_column
+from larkspur.plans import housing as plans_housing
 from larkspur.sources import reference, synth
 from larkspur.sources.tables import Tables
 
@@ -54,19 +55,7 @@ view("geo", f"""select *, {NEAREST_CITY_SQL} as dist_nearest_city, cast(dist_to_
   MedInc * cast(dist_to_coast < 30 as int) as coastal_income from located""", "located")
 
 
-def geo_features(blocks: DataFrame) -> DataFrame:
-    """The 14 geographic columns on housing blocks."""
-    placed = geo.with_unit_vector(blocks, "Latitude", "Longitude")
-    located = placed.withColumns({"dist_to_coast": geo.nearest_miles()} | geo.city_distances())
-    flagged = located.withColumns(geo.region_flags(C("dist_to_coast"), C("dist_SF"), C("dist_LA"))
-                                  | {"climate_zone": geo.latitude_zone(C("Latitude"))})
-    products = housing.housing_interactions(
-        C("MedInc"), C("HouseAge"), C("AveRooms"), C("dist_to_coast"), C("is_coastal"))
-    ratios = housing.housing_ratios(C("AveBedrms"), C("AveRooms"), C("AveOccup"), C("Population"))
-    return flagged.withColumns({
-        "income_coast_interaction": products["income_coast_interaction"],
-        "urban_density": ratios["urban_density"], "coastal_income": products["coastal_income"],
-    }).drop(*geo.UNIT)
+geo_features = plans_housing.enrich
 
 
 def clock(df: DataFrame, ts: str = "ts") -> DataFrame:

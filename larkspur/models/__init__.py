@@ -1,0 +1 @@
+"""Distributed training of interpretable models on DataFrames."""
