@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
-from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -20,6 +17,7 @@ from larkspur.operators.skew import lookup_join
 from larkspur.plans import experiment
 from larkspur.plans import housing as housing_plan
 from larkspur.plans import rides as ride_plan
+from larkspur.session import cut_lineage
 from larkspur.sources.tables import Tables
 
 C = F.col
@@ -94,20 +92,16 @@ def vector_table(t: Tables):
 VECTOR = [f"e{i}" for i in range(VECTOR_SIZE)]
 
 
-@contextmanager
 def parts(df, key, features, label, scaled=True, stratify=False):
-    """Cached train and test parts, scaled on request."""
+    """Train and test parts on a table computed once, scaled on request."""
     keep = df.select(*dict.fromkeys([key, *features, label]))
-    split = (sampling.split_stratified(keep, key, label) if stratify
-             else sampling.split_by_hash(keep, key)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        train, test = grid.train_test(split)
-        if scaled:
-            scaler = encoding.Scaler.fit(train, features)
-            train, test = scaler.apply(train), scaler.apply(test)
-        yield train, test
-    finally:
-        split.unpersist()
+    keep = cut_lineage(keep)
+    split = sampling.split_stratified(keep, key, label) if stratify else sampling.split_by_hash(keep, key)
+    train, test = grid.train_test(split)
+    if scaled:
+        scaler = encoding.Scaler.fit(train, features)
+        train, test = scaler.apply(train), scaler.apply(test)
+    return train, test
 
 
 def regression_report(t, fit, test, label, values, name="coefficient"):
@@ -133,88 +127,88 @@ def averaged_report(t, predictions, label):
 
 @query()
 def ols(t: Tables):
-    with parts(house_table(t), "block_id", HOUSE, "MedHouseVal") as (train, test):
-        fit = linear.fit_ols(train, HOUSE, "MedHouseVal")
-        out = regression_report(t, fit, test, "MedHouseVal", fit.coefficients())
-        p = linear.report(t.spark, linear.p_values(fit), "p_value")
-        return out.join(p, "feature")
+    train, test = parts(house_table(t), "block_id", HOUSE, "MedHouseVal")
+    fit = linear.fit_ols(train, HOUSE, "MedHouseVal")
+    out = regression_report(t, fit, test, "MedHouseVal", fit.coefficients())
+    p = linear.report(t.spark, linear.p_values(fit), "p_value")
+    return out.join(p, "feature")
 
 
 @query()
 def ridge(t: Tables):
-    with parts(house_table(t), "block_id", HOUSE, "MedHouseVal") as (train, test):
-        fit = linear.fit_ridge(train, HOUSE, "MedHouseVal")
-        return regression_report(t, fit, test, "MedHouseVal", fit.coefficients())
+    train, test = parts(house_table(t), "block_id", HOUSE, "MedHouseVal")
+    fit = linear.fit_ridge(train, HOUSE, "MedHouseVal")
+    return regression_report(t, fit, test, "MedHouseVal", fit.coefficients())
 
 
 @query()
 def lasso(t: Tables):
-    with parts(house_table(t), "block_id", HOUSE, "MedHouseVal") as (train, test):
-        fit = linear.fit_lasso(train, HOUSE, "MedHouseVal", 0.01)
-        kept = linear.selected(fit)
-        return regression_report(t, fit, test, "MedHouseVal", fit.coefficients()).withColumn(
-            "is_selected", F.col("feature").isin(list(kept)))
+    train, test = parts(house_table(t), "block_id", HOUSE, "MedHouseVal")
+    fit = linear.fit_lasso(train, HOUSE, "MedHouseVal", 0.01)
+    kept = linear.selected(fit)
+    return regression_report(t, fit, test, "MedHouseVal", fit.coefficients()).withColumn(
+        "is_selected", F.col("feature").isin(list(kept)))
 
 
 @query()
 def tree_regressor(t: Tables):
-    with parts(fare_table(t), "ride_id", FARE, "fare", scaled=False) as (train, test):
-        fit = trees.fit_tree_regressor(train, FARE, "fare")
-        return regression_report(t, fit, test, "fare", trees.importances(fit), "importance")
+    train, test = parts(fare_table(t), "ride_id", FARE, "fare", scaled=False)
+    fit = trees.fit_tree_regressor(train, FARE, "fare")
+    return regression_report(t, fit, test, "fare", trees.importances(fit), "importance")
 
 
 @query()
 def poly_ridge(t: Tables):
     columns = [c for c in housing_plan.POLY_CANDIDATES if c in HOUSE][:5]
-    with parts(house_table(t), "block_id", columns, "MedHouseVal", scaled=False) as (train, test):
-        fit = linear.fit_poly_ridge(train, columns, "MedHouseVal")
-        return regression_report(t, fit, test, "MedHouseVal", fit.coefficients())
+    train, test = parts(house_table(t), "block_id", columns, "MedHouseVal", scaled=False)
+    fit = linear.fit_poly_ridge(train, columns, "MedHouseVal")
+    return regression_report(t, fit, test, "MedHouseVal", fit.coefficients())
 
 
 @query()
 def linear_regression_plain(t: Tables):
-    with parts(fare_table(t), "ride_id", FARE, "fare", scaled=False) as (train, test):
-        fit = linear.fit_plain(train, FARE, "fare")
-        return regression_report(t, fit, test, "fare", fit.coefficients())
+    train, test = parts(fare_table(t), "ride_id", FARE, "fare", scaled=False)
+    fit = linear.fit_plain(train, FARE, "fare")
+    return regression_report(t, fit, test, "fare", fit.coefficients())
 
 
 @query()
 def forest_regressor(t: Tables):
-    with parts(fare_table(t), "ride_id", FARE, "fare", scaled=False) as (train, test):
-        fit = trees.fit_forest_regressor(train, FARE, "fare", trees=50, depth=20)
-        return regression_report(t, fit, test, "fare", trees.importances(fit), "importance")
+    train, test = parts(house_table(t), "block_id", HOUSE, "MedHouseVal", scaled=False)
+    fit = trees.fit_forest_regressor(train, HOUSE, "MedHouseVal", trees=50, depth=20)
+    return regression_report(t, fit, test, "MedHouseVal", trees.importances(fit), "importance")
 
 
 @query()
 def boosted_regressor(t: Tables):
-    with parts(fare_table(t), "ride_id", FARE, "fare", scaled=False) as (train, test):
-        fit = trees.fit_boosted_regressor(train, FARE, "fare")
-        return regression_report(t, fit, test, "fare", trees.importances(fit), "importance")
+    train, test = parts(fare_table(t), "ride_id", FARE, "fare", scaled=False)
+    fit = trees.fit_boosted_regressor(train, FARE, "fare")
+    return regression_report(t, fit, test, "fare", trees.importances(fit), "importance")
 
 
 @query()
 def logistic(t: Tables):
-    with parts(house_table(t), "block_id", HOUSE, "is_high_value", stratify=True) as (train, test):
-        fit = linear.fit_logistic(train, HOUSE, "is_high_value")
-        out = binary_report(t, fit, test, "is_high_value", fit.coefficients())
-        return out.withColumns({"odds_ratio": F.exp("coefficient"),
-                                "direction": F.when(F.col("coefficient") > 0, "up").otherwise("down")})
+    train, test = parts(house_table(t), "block_id", HOUSE, "is_high_value", stratify=True)
+    fit = linear.fit_logistic(train, HOUSE, "is_high_value")
+    out = binary_report(t, fit, test, "is_high_value", fit.coefficients())
+    return out.withColumns({"odds_ratio": F.exp("coefficient"),
+                            "direction": F.when(F.col("coefficient") > 0, "up").otherwise("down")})
 
 
 @query()
 def logistic_multiclass(t: Tables):
     columns = experiment.TIER_FEATURES
     table = experiment.tier_table(ride_table(t), "ride_id").select("ride_id", "tier", *columns)
-    with parts(table, "ride_id", columns, "tier", stratify=True) as (train, test):
-        fit = linear.fit_logistic(train, columns, "tier", multiclass=True)
-        return averaged_report(t, fit.transform(test), "tier")
+    train, test = parts(table, "ride_id", columns, "tier", stratify=True)
+    fit = linear.fit_logistic(train, columns, "tier", multiclass=True)
+    return averaged_report(t, fit.transform(test), "tier")
 
 
 @query()
 def tree_classifier(t: Tables):
-    with parts(flight_table(t), "flight_id", FLIGHT, "is_delayed", scaled=False, stratify=True) as (train, test):
-        fit = trees.fit_tree_classifier(train, FLIGHT, "is_delayed", depth=20)
-        return binary_report(t, fit, test, "is_delayed", trees.importances(fit), "importance")
+    train, test = parts(flight_table(t), "flight_id", FLIGHT, "is_delayed", scaled=False, stratify=True)
+    fit = trees.fit_tree_classifier(train, FLIGHT, "is_delayed", depth=20)
+    return binary_report(t, fit, test, "is_delayed", trees.importances(fit), "importance")
 
 
 NB = ["distance", "surge_multiplier", "temperature", "humidity", "pressure"]
@@ -238,9 +232,9 @@ def gaussian_nb(t: Tables):
 
 @query()
 def lda_classifier(t: Tables):
-    with parts(vector_table(t), "vec_id", VECTOR, "label", stratify=True) as (train, test):
-        fit = Discriminant.fit(train, VECTOR, "label")
-        return averaged_report(t, fit.transform(test), "label")
+    train, test = parts(vector_table(t), "vec_id", VECTOR, "label", stratify=True)
+    fit = Discriminant.fit(train, VECTOR, "label")
+    return averaged_report(t, fit.transform(test), "label")
 
 
 _LDA = ["MedInc", "HouseAge", "AveRooms"]
@@ -264,9 +258,9 @@ def lda_pooled_covariance(t: Tables):
 
 @query()
 def perceptron(t: Tables):
-    with parts(vector_table(t), "vec_id", VECTOR, "label", stratify=True) as (train, test):
-        fit = Perceptron.fit(train, VECTOR, "label", "vec_id", classes=10)
-        return averaged_report(t, fit.transform(test), "label")
+    train, test = parts(vector_table(t), "vec_id", VECTOR, "label", stratify=True)
+    fit = Perceptron.fit(train, VECTOR, "label", "vec_id", classes=10)
+    return averaged_report(t, fit.transform(test), "label")
 
 
 @query("""select ride_id, (select count(*) from priced) / (5 * count(*) over (partition by name)) as weight
@@ -277,25 +271,25 @@ def balanced_weights(t: Tables):
 
 @query()
 def forest_classifier(t: Tables):
-    with parts(vector_table(t), "vec_id", VECTOR, "label", scaled=False, stratify=True) as (train, test):
-        weighted = train.withColumn("weight", trees.balanced_weight(train, "label"))
-        fit = trees.fit_forest_classifier(weighted, VECTOR, "label", weight="weight")
-        return averaged_report(t, fit.transform(test), "label")
+    train, test = parts(vector_table(t), "vec_id", VECTOR, "label", scaled=False, stratify=True)
+    weighted = train.withColumn("weight", trees.balanced_weight(train, "label"))
+    fit = trees.fit_forest_classifier(weighted, VECTOR, "label", weight="weight")
+    return averaged_report(t, fit.transform(test), "label")
 
 
 @query()
 def boosted_classifier(t: Tables):
-    with parts(house_table(t), "block_id", HOUSE, "is_high_value", scaled=False, stratify=True) as (train, test):
-        fit = trees.fit_boosted_classifier(train, HOUSE, "is_high_value")
-        return binary_report(t, fit, test, "is_high_value", trees.importances(fit), "importance")
+    train, test = parts(house_table(t), "block_id", HOUSE, "is_high_value", scaled=False, stratify=True)
+    fit = trees.fit_boosted_classifier(train, HOUSE, "is_high_value")
+    return binary_report(t, fit, test, "is_high_value", trees.importances(fit), "importance")
 
 
 @query()
 def importance_report(t: Tables):
     from larkspur import fixed_values as fv
-    with parts(house_table(t), "block_id", HOUSE, "MedHouseVal", scaled=False) as (train, _):
-        fit = trees.fit_tree_regressor(train, HOUSE, "MedHouseVal")
-        return grid.importance_report(t.spark, trees.importances(fit), fv.GEO_ENRICHMENT)
+    train, _ = parts(house_table(t), "block_id", HOUSE, "MedHouseVal", scaled=False)
+    fit = trees.fit_tree_regressor(train, HOUSE, "MedHouseVal")
+    return grid.importance_report(t.spark, trees.importances(fit), fv.GEO_ENRICHMENT)
 
 
 @query()

@@ -12,7 +12,13 @@ from pyspark.sql import functions as F
 SMOOTHING = 1e-9
 
 
-def arg_max(scores: dict, kind: str = "double") -> Column:
+def linear_score(features: Sequence[str], weights: Sequence[float], intercept: float) -> Column:
+    """intercept + sum of weight x feature, parsed as one expression."""
+    terms = [f"`{f}` * double('{float(w)!r}')" for f, w in zip(features, weights)]
+    return F.expr(" + ".join([f"double('{float(intercept)!r}')", *terms]))
+
+
+def arg_max(scores: dict) -> Column:
     """The class with the highest score; ties go to the first class listed."""
     best = F.array_max(F.array(*[
         F.struct(score.alias("score"), F.lit(-position).alias("order"), F.lit(c).alias("cls"))
@@ -54,11 +60,9 @@ class GaussianBayes:
         out = {}
         for c, (prior, means, variances) in self.classes.items():
             constant = math.log(prior) - 0.5 * sum(math.log(2 * math.pi * v) for v in variances)
-            score = F.lit(constant)
-            for f, m, v in zip(self.features, means, variances):
-                gap = F.col(f) - F.lit(m)
-                score = score - gap * gap / F.lit(2 * v)
-            out[c] = score
+            terms = [f"(`{f}` - double('{m!r}')) * (`{f}` - double('{m!r}')) / double('{2 * v!r}')"
+                     for f, m, v in zip(self.features, means, variances)]
+            out[c] = F.lit(constant) - F.expr(" + ".join(terms))
         return out
 
     def transform(self, df: DataFrame, output: str = "prediction") -> DataFrame:

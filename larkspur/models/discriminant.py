@@ -11,7 +11,7 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.models.bayes import arg_max
+from larkspur.models.bayes import arg_max, linear_score
 from larkspur.models.linear import VECTOR, assemble
 
 
@@ -28,10 +28,10 @@ def pooled_covariance(df: DataFrame, features: Sequence[str], label: str,
     Class means are taken out of every row first, so the sums stay well
     scaled; then one pass of matrix sums.
     """
-    centred = df
-    for i, f in enumerate(features):
-        pairs = [F.lit(x) for c, m in means.items() for x in (c, m[i])]
-        centred = centred.withColumn(f, F.col(f) - F.try_element_at(F.create_map(*pairs), F.col(label)))
+    # one array of means per class, in feature order
+    pairs = [x for c, m in means.items() for x in (F.lit(c), F.array(*[F.lit(v) for v in m]))]
+    own = df.withColumn("_means", F.try_element_at(F.create_map(*pairs), F.col(label)))
+    centred = own.select([(F.col(f) - F.get("_means", F.lit(i))).alias(f) for i, f in enumerate(features)])
     row = centred.agg(F.count("*").alias("n"), *[
         F.stddev_pop(f).alias(f"s{i}") for i, f in enumerate(features)]).first()
     corr = Correlation.corr(assemble(centred, features).select(VECTOR), VECTOR).first()[0].toArray()
@@ -62,13 +62,8 @@ class Discriminant:
         return Discriminant(features, weights)
 
     def scores(self) -> dict[object, Column]:
-        out = {}
-        for c, (intercept, weights) in self.weights.items():
-            score = F.lit(intercept)
-            for f, w in zip(self.features, weights):
-                score = score + F.col(f) * F.lit(w)
-            out[c] = score
-        return out
+        return {c: linear_score(self.features, weights, intercept)
+                for c, (intercept, weights) in self.weights.items()}
 
     def transform(self, df: DataFrame, output: str = "prediction") -> DataFrame:
         return df.withColumn(output, arg_max(self.scores()))

@@ -17,8 +17,9 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.models.bayes import arg_max
+from larkspur.models.bayes import arg_max, linear_score
 from larkspur.operators.sampling import seeded_hash
+from larkspur.session import cut_lineage
 
 CHUNK = 256
 
@@ -81,7 +82,8 @@ class Perceptron:
             F.array(*[F.col(f).cast("double") for f in features]).alias("x"),
             F.col(label).cast("int").alias("y"), order.alias("h"))
         spread = ready.repartition("h") if partitions is None else ready.repartition(partitions, "h")
-        rows = spread.sortWithinPartitions("h").select("x", "y").persist(StorageLevel.MEMORY_AND_DISK)
+        ordered = spread.sortWithinPartitions("h").select("x", "y")
+        rows = cut_lineage(ordered).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             weights = np.zeros((classes if classes > 2 else 1, len(features) + 1))
             best, stale, epoch, kept = float("inf"), 0, 0, weights
@@ -100,14 +102,10 @@ class Perceptron:
             rows.unpersist()
 
     def scores(self) -> dict[int, Column]:
-        def linear(w: list[float]) -> Column:
-            score = F.lit(w[-1])
-            for f, v in zip(self.features, w):
-                score = score + F.col(f) * F.lit(v)
-            return score
         if self.classes > 2:
-            return {k: linear(w) for k, w in enumerate(self.weights)}
-        return {0: F.lit(0.0), 1: linear(self.weights[0])}
+            return {k: linear_score(self.features, w[:-1], w[-1]) for k, w in enumerate(self.weights)}
+        w = self.weights[0]
+        return {0: F.lit(0.0), 1: linear_score(self.features, w[:-1], w[-1])}
 
     def transform(self, df: DataFrame, output: str = "prediction") -> DataFrame:
         return df.withColumn(output, arg_max(self.scores()))

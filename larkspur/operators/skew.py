@@ -15,7 +15,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.session import ensure_checkpoint_dir
+from larkspur.session import cut_lineage
 
 MAX_ROWS = 100_000
 MAX_BYTES = 32 * 1024 * 1024
@@ -40,8 +40,7 @@ def settle(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES)
     if head.num_rows <= max_rows and head.nbytes <= max_bytes:
         local = df.sparkSession.createDataFrame(head, df.schema)
         return Settled(local, head.to_pylist())
-    ensure_checkpoint_dir(df.sparkSession)
-    return Settled(df.checkpoint(), None)
+    return Settled(cut_lineage(df), None)
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",

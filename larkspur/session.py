@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: str | int = "*", app: str = "larkspur", memory: str = "8g",
@@ -48,3 +48,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = shared_dir(spark)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared folder and go on from those files.
+
+    Iterative fits ship their input's lineage with every job; from here on it
+    is a file read, and a lost executor costs only that read.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
