@@ -9,12 +9,12 @@ final pass only compares each row with a cut; no group is sorted in one task.
 from __future__ import annotations
 
 import math
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.operators.skew import Settled, lookup_join, settle
+from larkspur.operators.skew import lookup_join, settle
 
 SEED = 42
 PREFIX_DIGITS = 4
@@ -30,30 +30,36 @@ def hash_percent(key: str, seed: int = SEED) -> Column:
     return F.pmod(F.conv(F.substring(seeded_hash(key, seed), 1, 8), 16, 10).cast("bigint"), F.lit(100))
 
 
-def flag_lowest(df: DataFrame, key: str, quotas: DataFrame | int, by: Sequence[str] = (),
-                seed: int = SEED, name: str = "is_taken",
-                digits: int = PREFIX_DIGITS) -> DataFrame:
+Quotas = Callable[[DataFrame], DataFrame]
+
+
+def flag_lowest(df: DataFrame, key: str, quotas: Quotas, by: Sequence[str] = (), seed: int = SEED,
+                name: str = "is_taken", digits: int = PREFIX_DIGITS) -> DataFrame:
     """Mark, per group, the ``take`` rows with the lowest seeded hash.
 
-    ``quotas`` holds (by…, take), or is one number when ``by`` is empty.
-    ``key`` must be unique. Groups without a quota are marked false.
+    ``quotas`` turns the group sizes (by…, n) into (by…, take). ``key`` must
+    be unique. Groups without a quota are marked false.
+
+    Three passes: counts per hash prefix (at most 16**digits per group), the
+    rows of one prefix bucket per group, and the comparison with the cut.
     """
     by = list(by)
     hashed = df.select(*by, F.col(key).alias("_key"), seeded_hash(key, seed).alias(_H))
     bucket = F.substring(_H, 1, digits)
-    # at most 16**digits counts per group reach the running sum
-    sizes = hashed.groupBy(*by, bucket.alias("bucket")).agg(F.count("*").alias("n"))
-    upto = F.sum("n").over(Window.partitionBy(*by).orderBy("bucket"))
+    sizes = settle(hashed.groupBy(*by, bucket.alias("bucket")).agg(F.count("*").alias("n"))).frame
+    groups = sizes.groupBy(*by).agg(F.sum("n").alias("n"))
+    wanted = quotas(groups).select(*by, "take")
+    upto = sizes.withColumn("upto", F.sum("n").over(Window.partitionBy(*by).orderBy("bucket")))
     if by:
-        wanted = sizes.withColumn("upto", upto).join(quotas, by)
+        bounded = upto.join(groups.select(*by, F.col("n").alias("total")), by).join(wanted, by)
     else:
-        wanted = sizes.withColumn("upto", upto).withColumn("take", F.lit(int(quotas)))
-    total = F.max("upto").over(Window.partitionBy(*by))
-    reachable = wanted.withColumn("take", F.least("take", total))
+        sole = groups.select(F.col("n").alias("total")).first(), wanted.first()
+        bounded = upto.withColumns({"total": F.lit(sole[0]["total"]).cast("bigint"),
+                                    "take": F.lit(sole[1]["take"]).cast("bigint")})
+    reach = F.least("take", "total")
     edge = settle(
-        reachable.where("upto >= take and upto - n < take and take > 0")
-        .select(*by, F.col("bucket").alias("edge"), (F.col("take") - F.col("upto") + F.col("n")).alias("need"))
-    )
+        bounded.where((reach > 0) & (F.col("upto") >= reach) & (F.col("upto") - F.col("n") < reach))
+        .select(*by, F.col("bucket").alias("edge"), (reach - F.col("upto") + F.col("n")).alias("need")))
     if by:
         at_edge = lookup_join(hashed, edge, by, "inner").where(bucket == F.col("edge"))
     else:
@@ -64,8 +70,7 @@ def flag_lowest(df: DataFrame, key: str, quotas: DataFrame | int, by: Sequence[s
     place = F.row_number().over(Window.partitionBy(*by).orderBy(_H, "_key"))
     cuts = settle(
         at_edge.withColumn("place", place).where(F.col("place") == F.col("need"))
-        .select(*by, F.col(_H).alias("cut_hash"), F.col("_key").alias("cut_key"))
-    )
+        .select(*by, F.col(_H).alias("cut_hash"), F.col("_key").alias("cut_key")))
     mine = seeded_hash(key, seed)
     if by:
         joined = lookup_join(df, cuts, by, "left")
@@ -77,22 +82,50 @@ def flag_lowest(df: DataFrame, key: str, quotas: DataFrame | int, by: Sequence[s
     return joined.withColumn(name, F.coalesce(taken, F.lit(False))).select(*df.columns, name)
 
 
+def take_n(n: int) -> Quotas:
+    """The same number from every group."""
+    return lambda groups: groups.withColumn("take", F.lit(n).cast("bigint"))
+
+
+def take_proportional(size: int) -> Quotas:
+    """Per group max(1, floor(n_s / N x size)) rows."""
+    def quotas(groups: DataFrame) -> DataFrame:
+        total = groups.agg(F.sum("n")).first()[0] or 1
+        return groups.withColumn("take", F.greatest(F.lit(1), F.floor(F.col("n") / F.lit(total) * F.lit(size))))
+    return quotas
+
+
+def take_share(share: float) -> Quotas:
+    """ceil(share x n) rows of every group."""
+    return lambda groups: groups.withColumn("take", F.ceil(F.lit(share) * F.col("n")))
+
+
+def take_stratified(share: float, label: str) -> Quotas:
+    """ceil(share x N) rows over all groups, in proportion to their sizes.
+
+    Groups get the floor of their part; the rows left over go to the largest
+    fractions, ties to the lower label.
+    """
+    def quotas(groups: DataFrame) -> DataFrame:
+        total = groups.agg(F.sum("n")).first()[0] or 0
+        wanted = math.ceil(share * total)
+        part = F.col("n") * F.lit(wanted) / F.lit(total or 1)
+        floors = groups.withColumn("base", F.floor(part)).withColumn("part", part - F.floor(part))
+        spare = wanted - (floors.agg(F.sum("base")).first()[0] or 0)
+        # one row per class
+        order = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("part"), label))
+        return floors.withColumn("take", F.col("base") + F.when(order <= spare, 1).otherwise(0))
+    return quotas
+
+
 def strata_key(*parts: Column) -> Column:
     """Parts joined by ``_``; a missing part reads ``nan``."""
     return F.concat_ws("_", *[F.coalesce(p.cast("string"), F.lit("nan")) for p in parts])
 
 
-def stratum_quotas(df: DataFrame, stratum: str, size: int) -> Settled:
-    """Per stratum max(1, floor(n_s / N x size)) rows, with the counts."""
-    counts = settle(df.groupBy(stratum).agg(F.count("*").alias("n")))
-    total = counts.frame.agg(F.sum("n")).first()[0] or 1
-    take = F.greatest(F.lit(1), F.floor(F.col("n") / F.lit(total) * F.lit(size)))
-    return settle(counts.frame.select(stratum, "n", take.alias("take")))
-
-
 def stratified_sample(df: DataFrame, key: str, stratum: str, size: int, seed: int = SEED) -> DataFrame:
-    quotas = stratum_quotas(df, stratum, size)
-    marked = flag_lowest(df, key, quotas.frame.select(stratum, "take"), [stratum], seed)
+    """Per stratum max(1, floor(n_s / N x size)) rows."""
+    marked = flag_lowest(df, key, take_proportional(size), [stratum], seed)
     return marked.where("is_taken").drop("is_taken")
 
 
@@ -103,13 +136,20 @@ def sample_with_top_up(df: DataFrame, key: str, stratum: str, size: int,
     The fill comes from rows not yet sampled, so no row appears twice.
     ``origin`` tells the two parts apart.
     """
-    quotas = stratum_quotas(df, stratum, size)
-    marked = flag_lowest(df, key, quotas.frame.select(stratum, "take"), [stratum], seed)
+    drawn = []
+
+    def quotas(groups: DataFrame) -> DataFrame:
+        taken = take_proportional(size)(groups)
+        drawn.append(taken.agg(F.sum(F.least("n", "take"))).first()[0] or 0)
+        return taken
+
+    marked = flag_lowest(df, key, quotas, [stratum], seed)
     first = marked.where("is_taken").drop("is_taken")
-    drawn = quotas.frame.agg(F.sum(F.least("n", "take"))).first()[0] or 0
     rest = marked.where(~F.col("is_taken")).drop("is_taken")
-    missing = max(0, size - drawn)
-    fill = flag_lowest(rest, key, missing, seed=seed).where("is_taken").drop("is_taken")
+    missing = max(0, size - drawn[0])
+    if missing == 0:
+        return first.withColumn("origin", F.lit("stratified"))
+    fill = flag_lowest(rest, key, take_n(missing), seed=seed).where("is_taken").drop("is_taken")
     return union_samples(first.withColumn("origin", F.lit("stratified")),
                          fill.withColumn("origin", F.lit("top_up")))
 
@@ -125,14 +165,13 @@ def not_sampled(df: DataFrame, sample: DataFrame, key: str) -> DataFrame:
 
 def cap_sample(df: DataFrame, key: str, n: int, seed: int = SEED) -> DataFrame:
     """The whole table, or a seeded choice of ``n`` rows when it is larger."""
-    return flag_lowest(df, key, n, seed=seed).where("is_taken").drop("is_taken")
+    return flag_lowest(df, key, take_n(n), seed=seed).where("is_taken").drop("is_taken")
 
 
 def split_exact(df: DataFrame, key: str, test_share: float = 0.2, seed: int = SEED,
                 name: str = "is_test") -> DataFrame:
     """Mark exactly ceil(share x n) rows as test."""
-    n = df.select(key).count()
-    return flag_lowest(df, key, math.ceil(test_share * n), seed=seed, name=name)
+    return flag_lowest(df, key, take_share(test_share), seed=seed, name=name)
 
 
 def split_by_hash(df: DataFrame, key: str, percent: int = 20, seed: int = SEED,
@@ -143,21 +182,8 @@ def split_by_hash(df: DataFrame, key: str, percent: int = 20, seed: int = SEED,
 
 def split_stratified(df: DataFrame, key: str, label: str, test_share: float = 0.2,
                      seed: int = SEED, name: str = "is_test") -> DataFrame:
-    """Mark ceil(share x n) test rows so that class shares are preserved.
-
-    Classes get the floor of their share; the rows left over go to the
-    largest fractions, ties to the lower label.
-    """
-    counts = settle(df.groupBy(label).agg(F.count("*").alias("n")))
-    total = counts.frame.agg(F.sum("n")).first()[0] or 0
-    wanted = math.ceil(test_share * total)
-    share = F.col("n") * F.lit(wanted) / F.lit(total or 1)
-    floors = counts.frame.withColumn("base", F.floor(share)).withColumn("part", share - F.floor(share))
-    spare = wanted - (floors.agg(F.sum("base")).first()[0] or 0)
-    # one row per class
-    order = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("part"), label))
-    quotas = floors.select(label, (F.col("base") + F.when(order <= spare, 1).otherwise(0)).alias("take"))
-    return flag_lowest(df, key, quotas, [label], seed, name)
+    """Mark ceil(share x n) test rows so that class shares are preserved."""
+    return flag_lowest(df, key, take_stratified(test_share, label), [label], seed, name)
 
 
 def pick_examples(df: DataFrame, key: str, actual: str, predicted: str, n: int = 3,

@@ -10,6 +10,7 @@ that a hot key spreads over ``salts`` tasks.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -24,14 +25,15 @@ SALTS = 32
 
 @dataclass(frozen=True)
 class Settled:
-    """A table computed once. ``rows`` is set when it fits the bound."""
+    """A table computed once; ``local`` when it fits the bound."""
 
     frame: DataFrame
-    rows: list[dict[str, Any]] | None
+    local: bool
 
-    @property
-    def local(self) -> bool:
-        return self.rows is not None
+    @cached_property
+    def rows(self) -> list[dict[str, Any]]:
+        """The rows of a local table, or of one small by construction."""
+        return [r.asDict() for r in self.frame.collect()]
 
 
 def settle(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> Settled:
@@ -39,8 +41,8 @@ def settle(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES)
     head = df.limit(max_rows + 1).toArrow()
     if head.num_rows <= max_rows and head.nbytes <= max_bytes:
         local = df.sparkSession.createDataFrame(head, df.schema)
-        return Settled(local, head.to_pylist())
-    return Settled(cut_lineage(df), None)
+        return Settled(local, True)
+    return Settled(cut_lineage(df), False)
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",

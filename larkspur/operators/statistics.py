@@ -49,9 +49,9 @@ def target_range(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
 
 
 def pearson(y: Column, x: Column) -> Column:
-    """Correlation; NULL when either side is constant."""
-    spread = F.stddev_pop(y) * F.stddev_pop(x)
-    return F.covar_pop(y, x) / F.nullif(spread, F.lit(0.0))
+    """Correlation over the rows where both are known; NULL if either is constant there."""
+    spread = F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))
+    return F.regr_sxy(y, x) / F.nullif(spread, F.lit(0.0))
 
 
 def pearson_pairs(df: DataFrame, features: Sequence[str], targets: Sequence[str]) -> DataFrame:
