@@ -14,10 +14,11 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.operators.skew import lookup_join, settle
+from larkspur.operators.skew import Settled, lookup_join, settle
 
 SEED = 42
-PREFIX_DIGITS = 4
+FIRST_DIGITS, NEXT_DIGITS = 2, 4
+EDGE_LIMIT = 1_000_000
 _H = "_hash"
 
 
@@ -33,52 +34,68 @@ def hash_percent(key: str, seed: int = SEED) -> Column:
 Quotas = Callable[[DataFrame], DataFrame]
 
 
+def _edges(sizes: DataFrame, by: list[str]) -> Settled:
+    """Per group the prefix bucket that holds the ``take``-th lowest hash.
+
+    ``sizes`` has (by…, bucket, n, take). Returns (by…, edge, inside, need):
+    rows in the bucket, and how many of them to take.
+    """
+    group = Window.partitionBy(*by)
+    placed = sizes.withColumns({
+        "upto": F.sum("n").over(group.orderBy("bucket")),
+        "reach": F.least("take", F.sum("n").over(group))})
+    return settle(
+        placed.where("reach > 0 and upto >= reach and upto - n < reach")
+        .select(*by, F.col("bucket").alias("edge"), F.col("n").alias("inside"),
+                (F.col("reach") - F.col("upto") + F.col("n")).alias("need")))
+
+
+def _with_group_values(df: DataFrame, side: Settled, by: list[str], names: list[str], how: str) -> DataFrame:
+    """Bring per-group values to the rows; one group means plain constants."""
+    if by:
+        return lookup_join(df, side, by, how)
+    row = side.rows[0]
+    return df.withColumns({n: F.lit(row[n]) for n in names})
+
+
 def flag_lowest(df: DataFrame, key: str, quotas: Quotas, by: Sequence[str] = (), seed: int = SEED,
-                name: str = "is_taken", digits: int = PREFIX_DIGITS) -> DataFrame:
+                name: str = "is_taken", edge_limit: int = EDGE_LIMIT) -> DataFrame:
     """Mark, per group, the ``take`` rows with the lowest seeded hash.
 
     ``quotas`` turns the group sizes (by…, n) into (by…, take). ``key`` must
     be unique. Groups without a quota are marked false.
 
-    Three passes: counts per hash prefix (at most 16**digits per group), the
-    rows of one prefix bucket per group, and the comparison with the cut.
+    Passes: counts per hash prefix; again inside one bucket per group while a
+    bucket exceeds ``edge_limit`` rows; the rows of that bucket; and the
+    comparison of every row with its group's cut.
     """
     by = list(by)
     hashed = df.select(*by, F.col(key).alias("_key"), seeded_hash(key, seed).alias(_H))
-    bucket = F.substring(_H, 1, digits)
-    sizes = settle(hashed.groupBy(*by, bucket.alias("bucket")).agg(F.count("*").alias("n"))).frame
-    groups = sizes.groupBy(*by).agg(F.sum("n").alias("n"))
-    wanted = quotas(groups).select(*by, "take")
-    upto = sizes.withColumn("upto", F.sum("n").over(Window.partitionBy(*by).orderBy("bucket")))
-    if by:
-        bounded = upto.join(groups.select(*by, F.col("n").alias("total")), by).join(wanted, by)
-    else:
-        sole = groups.select(F.col("n").alias("total")).first(), wanted.first()
-        bounded = upto.withColumns({"total": F.lit(sole[0]["total"]).cast("bigint"),
-                                    "take": F.lit(sole[1]["take"]).cast("bigint")})
-    reach = F.least("take", "total")
-    edge = settle(
-        bounded.where((reach > 0) & (F.col("upto") >= reach) & (F.col("upto") - F.col("n") < reach))
-        .select(*by, F.col("bucket").alias("edge"), (reach - F.col("upto") + F.col("n")).alias("need")))
-    if by:
-        at_edge = lookup_join(hashed, edge, by, "inner").where(bucket == F.col("edge"))
-    else:
-        if not edge.rows:
+    depth = FIRST_DIGITS
+    sizes = settle(
+        hashed.groupBy(*by, F.substring(_H, 1, depth).alias("bucket")).agg(F.count("*").alias("n"))).frame
+    wanted = settle(quotas(sizes.groupBy(*by).agg(F.sum("n").alias("n"))).select(*by, "take"))
+    if not by and not wanted.rows:
+        return df.withColumn(name, F.lit(False))
+    edge = _edges(_with_group_values(sizes, wanted, by, ["take"], "inner"), by)
+    while True:
+        if not by and not edge.rows:
             return df.withColumn(name, F.lit(False))
-        row = edge.rows[0]
-        at_edge = hashed.where(bucket == row["edge"]).withColumn("need", F.lit(row["need"]))
+        at_edge = _with_group_values(hashed, edge, by, ["edge", "inside", "need"], "inner").where(
+            F.substring(_H, 1, depth) == F.col("edge"))
+        if (edge.frame.agg(F.max("inside")).first()[0] or 0) <= edge_limit or depth >= 32:
+            break
+        depth += NEXT_DIGITS
+        finer = at_edge.groupBy(*by, F.substring(_H, 1, depth).alias("bucket"), F.col("need").alias("take")).agg(
+            F.count("*").alias("n"))
+        edge = _edges(finer, by)
     place = F.row_number().over(Window.partitionBy(*by).orderBy(_H, "_key"))
     cuts = settle(
         at_edge.withColumn("place", place).where(F.col("place") == F.col("need"))
         .select(*by, F.col(_H).alias("cut_hash"), F.col("_key").alias("cut_key")))
     mine = seeded_hash(key, seed)
-    if by:
-        joined = lookup_join(df, cuts, by, "left")
-        cut_hash, cut_key = F.col("cut_hash"), F.col("cut_key")
-    else:
-        joined = df
-        cut_hash, cut_key = F.lit(cuts.rows[0]["cut_hash"]), F.lit(cuts.rows[0]["cut_key"])
-    taken = (mine < cut_hash) | ((mine == cut_hash) & (F.col(key) <= cut_key))
+    joined = _with_group_values(df, cuts, by, ["cut_hash", "cut_key"], "left")
+    taken = (mine < F.col("cut_hash")) | ((mine == F.col("cut_hash")) & (F.col(key) <= F.col("cut_key")))
     return joined.withColumn(name, F.coalesce(taken, F.lit(False))).select(*df.columns, name)
 
 
