@@ -158,14 +158,16 @@ def not_sampled_anti(t: Tables):
     return sampling.not_sampled(df, sample, "ride_id").select("ride_id", "stratum")
 
 
-@query("""select ride_id, source, coalesce(code, -1) as source_encoded from rides left join (select source as s,
-  cast(row_number() over (order by source) - 1 as int) as code from (select distinct source from rides
-    where cab_type = 'A' and source < 'NATION_5')) on s = source""", "rides")
+@query("""select ride_id, route, coalesce(code, -1) as route_encoded from (select ride_id,
+  source || '_' || destination as route from rides) left join (select r, cast(row_number() over (order by r) - 1 as int)
+  as code from (select distinct source || '_' || destination as r from rides where surge_multiplier > 2)) on r = route""",
+       "rides")
 def encoder_apply(t: Tables):
-    """Codes learnt on part of the zones; the other zones are unseen."""
-    seen = t.rides.where((C("cab_type") == "A") & (C("source") < "NATION_5"))
-    codes = encoding.fit_dictionary(seen, ["source"])
-    return encoding.apply_dictionary(t.rides.select("ride_id", "source"), codes, ["source"])
+    """Codes learnt on high-surge rides; routes that never surged are unseen."""
+    from larkspur.functions.ride import route_key
+    routed = t.rides.withColumn("route", route_key(C("source"), C("destination")))
+    codes = encoding.fit_dictionary(routed.where("surge_multiplier > 2"), ["route"])
+    return encoding.apply_dictionary(routed.select("ride_id", "route"), codes, ["route"])
 
 
 @query("""select ride_id, count(starts) filter (ts >= starts and ts < ends) as n_events,
@@ -178,15 +180,13 @@ def event_day_join(t: Tables):
     return joined.select("ride_id", "n_events", "is_event_day", "is_during_event", "is_at_event_venue")
 
 
-@query("""select o_orderkey, f.week as week_matched, gas_price from orders asof left join
-  (select week, gas_price from fuel where cast(date_diff('week', timestamp '1990-01-01', week) as bigint) % 3 <> 0) f
-  on o_orderdate >= f.week""", "fuel")
+@query("""select cast(l_orderkey as varchar) || ':' || l_partkey || ':' || l_suppkey || ':' || l_linenumber as ride,
+  l_shipdate, f.week as week_matched, gas_price from lineitem asof left join fuel f on l_shipdate >= f.week""", "fuel")
 def asof_weekly_price(t: Tables):
-    """Weekly prices with every third week missing, so the match reaches back."""
-    weeks = F.floor(F.date_diff(F.to_date("week"), F.lit("1990-01-01").cast("date")) / 7)
-    sparse = t.fuel.where(weeks % 3 != 0)
-    return joins.asof_join(t.table("orders").select("o_orderkey", "o_orderdate"), "o_orderdate", sparse, "week",
-                           ["gas_price"]).select("o_orderkey", "week_matched", "gas_price")
+    """The order-week price in force on each ship date; late dates reach back to the last week."""
+    shipped = t.table("lineitem").select(
+        F.concat_ws(":", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("ride"), "l_shipdate")
+    return joins.asof_join(shipped, "l_shipdate", t.fuel, "week", ["gas_price"])
 
 
 view("traffic", """select source || '_' || destination as route, cast(hour(ts) as int) as hour,

@@ -48,16 +48,19 @@ def window_join(df: DataFrame, ts: str, place: str, calendar: DataFrame) -> Data
 
     ``calendar`` has (event_date, starts, ends, venue). The day is the equi
     key, so only windows of that day are compared. Several windows may hold a
-    ride: the counts are per ride, without repeating it.
+    ride: the counts are per ride, without repeating it. Repeated windows are
+    counted before they are listed, so a day holds its distinct windows only.
     """
-    by_day = calendar.groupBy("event_date").agg(
-        F.collect_list(F.struct("starts", "ends", "venue")).alias("_windows"))
+    distinct = calendar.groupBy("event_date", "starts", "ends", "venue").agg(F.count("*").alias("n"))
+    by_day = distinct.groupBy("event_date").agg(
+        F.collect_list(F.struct("starts", "ends", "venue", "n")).alias("_windows"))
     dated = df.withColumn("event_date", F.to_date(ts))
     joined = lookup_join(dated, by_day, ["event_date"], "left")
     open_now = F.filter("_windows", lambda w: (F.col(ts) >= w["starts"]) & (F.col(ts) < w["ends"]))
     at_venue = F.filter(open_now, lambda w: w["venue"] == F.col(place))
     return (
-        joined.withColumn("n_events", F.coalesce(F.size(open_now), F.lit(0)))
+        joined.withColumn("n_events", F.coalesce(
+            F.aggregate(open_now, F.lit(0).cast("bigint"), lambda total, w: total + w["n"]), F.lit(0)))
         .withColumn("is_event_day", flag(F.col("_windows").isNotNull()))
         .withColumn("is_during_event", flag(F.size(open_now) > 0))
         .withColumn("is_at_event_venue", flag(F.size(at_venue) > 0))

@@ -39,7 +39,10 @@ KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VA
 
 
 def compare(df, con, sql: str) -> list[str]:
-    """Differences in columns, types, row count and values; empty when equal."""
+    """Differences in columns, types, row count and values; empty when equal.
+
+    An empty result is a difference too: it would prove nothing.
+    """
     found = con.execute(sql)
     sql_types = {d[0]: str(d[1]) for d in found.description}
     sql_rows = found.fetchall()
@@ -50,6 +53,8 @@ def compare(df, con, sql: str) -> list[str]:
     for name, kind in df.dtypes:
         if KINDS.get(kind, kind) != sql_types[name] and not kind.startswith(("array", "struct")):
             out.append(f"type of {name}: {kind} != {sql_types[name]}")
+    if not sql_rows:
+        out.append("no rows")
     if len(spark_rows) != len(sql_rows):
         out.append(f"rows {len(spark_rows)} != {len(sql_rows)}")
     ours, theirs = canonical(df.columns, spark_rows), canonical(list(sql_types), sql_rows)
