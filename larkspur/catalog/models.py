@@ -310,7 +310,7 @@ def model_grid_services(t: Tables):
     return experiment.within_service(ride_table(t), "ride_id", ["click", "view", "purchase"])
 
 
-@query()
+@query("select is_delayed, count(*) as n, count(*) as n_equal from flights group by 1", "flights")
 def model_store(t: Tables):
     """Save a tree with its dictionary, load both, and compare the predictions."""
     from larkspur.catalog.tables import scratch_path
@@ -329,12 +329,13 @@ def model_store(t: Tables):
         F.count("*").alias("n"), F.count_if(C("prediction") == C("loaded")).alias("n_equal"))
 
 
-@query()
+@query(f"""select block_id, cast(i - 1 as int) as pos, v[i] as value from (select block_id,
+  [{', '.join(housing_plan.RAW)}] as v from blocks), (select unnest(range(1, {len(housing_plan.RAW) + 1})) as i)""",
+       "blocks", doubles="value")
 def assemble_matrix(t: Tables):
-    """Feature vectors as arrays, in list order."""
-    columns = housing_plan.RAW
-    vectors = linear.assemble(t.blocks, columns)
-    return vectors.select("block_id", vector_to_array("features").alias("features"))
+    """Cells of the assembled feature vectors, in list order."""
+    vectors = linear.assemble(t.blocks, housing_plan.RAW)
+    return vectors.select("block_id", F.posexplode(vector_to_array("features")).alias("pos", "value"))
 
 
 def _solve_pair(a: str, b: str, y: str, alpha: str) -> str:
@@ -364,3 +365,11 @@ def ols_two_features(t: Tables):
        "from blocks", "blocks", doubles="coefficient")
 def ridge_two_features(t: Tables):
     return _pair_fit(t, lambda df, f, y: linear.fit_ridge(df, f, y, alpha=50.0))
+
+
+@query("""select 'MedInc' as feature, sign(c) * greatest(abs(c) - 0.01e0, 0) as coefficient from (select
+  covar_pop(MedHouseVal, MedInc) / stddev_pop(MedInc) as c from blocks)""", "blocks", doubles="coefficient")
+def lasso_one_feature(t: Tables):
+    """On one standardised column the lasso is a soft threshold."""
+    scaled = encoding.Scaler.fit(t.blocks, ["MedInc"]).apply(t.blocks)
+    return linear.report(t.spark, linear.fit_lasso(scaled, ["MedInc"], "MedHouseVal", 0.01).coefficients())
