@@ -10,6 +10,7 @@ from larkspur.catalog.registry import query, view
 from larkspur.catalog.tables import BAND_SQL, fine_strata, strata
 from larkspur.functions import geo
 from larkspur.functions.distance import price_band
+from larkspur.functions.timeparts import hour_floor
 from larkspur.operators import cleaning, decisions, encoding, evaluation, joins, ordering, sampling, statistics
 from larkspur.sources.tables import Tables
 
@@ -218,7 +219,7 @@ view("station_delays", """select station, hour_ts, max(delay) as max_delay, avg(
   from rides left join station_delays d on station = destination and d.hour_ts = date_trunc('hour', ts)""",
        "rides station_delays", doubles="avg_delay")
 def station_delay_join(t: Tables):
-    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour_ts")
+    hour = hour_floor(C("ts")).alias("hour_ts")
     following = F.concat(F.lit("ZONE_"), (
         (F.substring("destination", 6, 3).cast("int") + 1) % 12).cast("string"))
     alerts = t.rides.where("surge_multiplier > 1").select(

@@ -10,6 +10,7 @@ from larkspur import fixed_values as fv
 from larkspur.catalog import features as ff
 from larkspur.catalog.registry import query, view
 from larkspur.functions import geo
+from larkspur.functions.timeparts import hour_floor
 from larkspur.operators import cleaning, encoding, evaluation, sampling, statistics
 from larkspur.session import shared_dir
 from larkspur.sources import files, pages, payloads, reference
@@ -260,7 +261,7 @@ view("zone_grid", """select g.source, g.hour_ts, temp from (select source, unnes
        "zone_grid", doubles="temp temp_filled temp_linear")
 def fill_gaps(t: Tables):
     """Mean temperature per zone and hour; hours without rides are filled."""
-    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    hour = hour_floor(C("ts"))
     series = t.rides.groupBy("source", hour.alias("hour_ts")).agg(F.avg("temperature").alias("temp"))
     return cleaning.fill_gaps(series, "hour_ts", "temp", ["source"])
 

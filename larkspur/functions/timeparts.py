@@ -95,10 +95,25 @@ def cyclic_encoding(hour: Column, day_of_week: Column) -> dict[str, Column]:
     }
 
 
+def hour_floor(ts: Column) -> Column:
+    """Start of the hour. ``date_trunc`` would go through the session's time zone."""
+    return F.to_date(ts).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.hour(ts))
+
+
+def week_floor(ts: Column) -> Column:
+    """Midnight of the week's Monday."""
+    return F.trunc(F.to_date(ts), "week").cast("timestamp_ntz")
+
+
 def nearest_hour(ts: Column) -> Column:
     """Round to the nearest hour; exactly half past goes up.
 
     Rounding half to even would differ only at :30:00.000000.
     """
-    shifted = ts + F.expr("INTERVAL 30 MINUTES")
-    return F.date_trunc("hour", shifted).cast("timestamp_ntz")
+    return hour_floor(ts + F.expr("INTERVAL 30 MINUTES"))
+
+
+def wall_seconds(ts: Column) -> Column:
+    """Seconds since 1970 on the clock shown, whatever the session's time zone."""
+    days = F.date_diff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint")
+    return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)

@@ -8,6 +8,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larkspur.functions.timeparts import wall_seconds
 from larkspur.operators.skew import lookup_join
 
 
@@ -128,15 +129,14 @@ def fill_gaps(df: DataFrame, time: str, value: str, by: Sequence[str], step: str
     back = series.rowsBetween(Window.unboundedPreceding, 0)
     ahead = series.rowsBetween(0, Window.unboundedFollowing)
     known = F.when(F.col(value).isNotNull(), F.col(time))
-    seconds = lambda c: F.unix_timestamp(c.cast("timestamp"))
     out = (
         grid.withColumn("_v0", F.last(value, ignorenulls=True).over(back))
         .withColumn("_v1", F.first(value, ignorenulls=True).over(ahead))
         .withColumn("_t0", F.last(known, ignorenulls=True).over(back))
         .withColumn("_t1", F.first(known, ignorenulls=True).over(ahead))
     )
-    span = seconds(F.col("_t1")) - seconds(F.col("_t0"))
-    done = seconds(F.col(time)) - seconds(F.col("_t0"))
+    span = wall_seconds(F.col("_t1")) - wall_seconds(F.col("_t0"))
+    done = wall_seconds(F.col(time)) - wall_seconds(F.col("_t0"))
     line = F.when(span == 0, F.col("_v0")).otherwise(
         F.col("_v0") + (F.col("_v1") - F.col("_v0")) * F.try_divide(done, span))
     return out.select(*by, time, value, F.col("_v0").alias(f"{value}_filled"),

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larkspur.functions.timeparts import hour_floor, week_floor
+
 
 def _k():
     return F.get_json_object("props", "$.k").cast("bigint")
@@ -143,7 +145,7 @@ join nation o on s_nationkey = o.n_nationkey join nation d on c_nationkey = d.n_
 def hourly(events: DataFrame) -> DataFrame:
     k = F.col("k")
     return (
-        events.select(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour_ts"), _k().alias("k"),
+        events.select(hour_floor(F.col("ts")).alias("hour_ts"), _k().alias("k"),
                       "event_type")
         .groupBy("hour_ts").agg(
             (F.max(k) - 60).cast("double").alias("temp_c"), F.min(k).cast("double").alias("humidity"),
@@ -160,8 +162,7 @@ from (select *, cast(json_extract_string(props, '$.k') as bigint) as k from even
 
 
 def fuel(orders: DataFrame) -> DataFrame:
-    week = F.date_trunc("week", "o_orderdate").cast("timestamp_ntz")
-    return orders.groupBy(week.alias("week")).agg(
+    return orders.groupBy(week_floor(F.col("o_orderdate")).alias("week")).agg(
         (F.lit(2.45) + (F.count("*") % 70) / 100).alias("gas_price"))
 
 
