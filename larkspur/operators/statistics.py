@@ -55,13 +55,19 @@ def pearson(y: Column, x: Column) -> Column:
 
 
 def pearson_pairs(df: DataFrame, features: Sequence[str], targets: Sequence[str]) -> DataFrame:
-    """Correlation of every feature with every target, in one pass."""
-    wide = df.agg(*[
-        pearson(F.col(t).cast("double"), F.col(f).cast("double")).alias(f"{f}|{t}")
-        for f in features for t in targets])
-    return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(f).alias("feature"), *[F.col(f"`{f}|{t}`").alias(f"r_{t}") for t in targets])
-        for f in features])))
+    """Correlation of every feature with every target, in one pass.
+
+    Features become rows under a small integer key and are combined on the map
+    side: the generated code stays short however many features there are.
+    """
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f).cast("double").alias("x"))
+                      for i, f in enumerate(features)])
+    ys = {f"_y{j}": F.col(t).cast("double") for j, t in enumerate(targets)}
+    tall = df.select(*[c.alias(n) for n, c in ys.items()], F.inline(cells))
+    r = tall.groupBy("i").agg(*[
+        pearson(F.col(n), F.col("x")).alias(f"r_{t}") for n, t in zip(ys, targets)])
+    name = F.get(F.array(*[F.lit(f) for f in features]), F.col("i"))
+    return r.select(name.alias("feature"), *[f"r_{t}" for t in targets])
 
 
 def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
