@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import decontaminate, repeats, simhash
-from larkspur.llm.sql import DECONTAMINATE, REPEATS
+from larkspur.llm import decontaminate, mixing, repeats, secrets, simhash
+from larkspur.llm.sql import DECONTAMINATE, MIX, REPEATS
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    rows = mixing.mix(_table(spark, folder, "documents"))
+    return rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = repeats.remove_repeats(_table(spark, folder, "documents"), with_text=False)
     return rows.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
@@ -25,11 +30,22 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    rows = secrets.scan(_table(spark, folder, "documents"))
+    counts = [F.size(F.filter("base", lambda x, kind=kind: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+              for kind in ("assign", "access", "hex")]
+    return rows.select(
+        F.col("id").alias("doc_id"), *counts, F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"),
+        secrets.listed(F.array_sort(F.concat("base", "added"))).alias("spans"),
+        F.size("live").cast("long").alias("n_live"), "n_shared")
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     rows = simhash.near_duplicates(_table(spark, folder, "documents"))
     return rows.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
                        F.col("component").alias("component_id"))
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op4_decontamination, op10_simhash)}
-ORACLES = {"op2_substring_dedup": REPEATS, "op4_decontamination": DECONTAMINATE}
+QUERIES = {f.__name__: f for f in (
+    op1_mix_sources, op2_substring_dedup, op4_decontamination, op5_secret_scan, op10_simhash)}
+ORACLES = {"op1_mix_sources": MIX, "op2_substring_dedup": REPEATS, "op4_decontamination": DECONTAMINATE}
