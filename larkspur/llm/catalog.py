@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import decontaminate, mixing, repeats, secrets, simhash
-from larkspur.llm.sql import DECONTAMINATE, MIX, REPEATS
+from larkspur.llm import decontaminate, knn, langid, mixing, repeats, secrets, simhash, toxicity
+from larkspur.llm.sql import DECONTAMINATE, MIX, REPEATS, TOP_K
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -40,6 +40,29 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.size("live").cast("long").alias("n_live"), "n_shared")
 
 
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select(
+        "doc_id", "lang", "text", langid.held_out("doc_id", 3, 1).alias("held_out"))
+    model = langid.fit(documents.where("not held_out"))
+    return langid.identify(documents.drop("lang"), model).select(
+        "doc_id", "held_out", F.col("_lang").alias("lang_pred"), F.col("_score").alias("score"),
+        F.col("_ambiguous").alias("ambiguous"))
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents").select("doc_id", "text")
+    labels = _table(spark, folder, "labels").where(~langid.held_out("doc_id", 5, 0))
+    model = toxicity.fit(documents, labels)
+    return toxicity.score(documents, model).select(
+        "doc_id", langid.held_out("doc_id", 5, 0).alias("held_out"), F.col("_toxicity").alias("score"),
+        (F.col("_toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
+def op8_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    rows = knn.top_k(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+    return rows.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     rows = simhash.near_duplicates(_table(spark, folder, "documents"))
     return rows.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
@@ -47,5 +70,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op2_substring_dedup, op4_decontamination, op5_secret_scan, op10_simhash)}
-ORACLES = {"op1_mix_sources": MIX, "op2_substring_dedup": REPEATS, "op4_decontamination": DECONTAMINATE}
+    op1_mix_sources, op2_substring_dedup, op4_decontamination, op5_secret_scan,
+    op6_language_id, op7_toxicity, op8_top_k, op10_simhash)}
+ORACLES = {"op1_mix_sources": MIX, "op2_substring_dedup": REPEATS, "op4_decontamination": DECONTAMINATE,
+           "op8_top_k": TOP_K}

@@ -59,3 +59,13 @@ q AS (SELECT d.doc_id, d.size, p.source_size, p.target, n_whole, target - n_whol
       FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
 SELECT doc_id, size, source_size, target, (size * (n_whole + CASE WHEN before + size / 2 <= need THEN 1 ELSE 0 END))::BIGINT AS taken FROM q
 """
+
+TOP_K = """
+WITH v AS (SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS f FROM embeddings
+           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+             AND coalesce(list_bool_and([x IS NOT NULL AND isfinite(x::DOUBLE) FOR x IN embedding]), true)),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.f, c.f)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
