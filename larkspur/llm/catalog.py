@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import decontaminate, knn, langid, mixing, repeats, secrets, simhash, toxicity
+from larkspur.llm import decontaminate, html, knn, langid, licences, mixing, repeats, secrets, simhash, toxicity
 from larkspur.llm.sql import DECONTAMINATE, MIX, REPEATS, TOP_K
 
 
@@ -23,6 +23,11 @@ def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
+def op3_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    rows = html.extract(_table(spark, folder, "pages").select("page_id", "url", "html"))
+    return rows.select("page_id", "url", F.col("_text").alias("text"), F.length("_text").cast("long").alias("n_chars"))
+
+
 def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     rows = decontaminate.decontaminate(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
     return rows.select(
@@ -63,6 +68,15 @@ def op8_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
 
 
+def op9_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    rows = licences.scan(_table(spark, folder, "documents").select("doc_id", "text"))
+    return rows.select(
+        "doc_id", F.array_join(F.transform("_licences", lambda x: x["licence"]), ",").alias("licences"),
+        F.array_join(F.transform("_licences", lambda x: F.concat_ws(":", x["start"], x["end"])), ",").alias("spans"),
+        F.size("_sentences").cast("long").alias("n_sentences"),
+        F.array_join(F.transform("_sentences", lambda x: x["identifier"]), ",").alias("identifiers"))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     rows = simhash.near_duplicates(_table(spark, folder, "documents"))
     return rows.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
@@ -70,7 +84,7 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mix_sources, op2_substring_dedup, op4_decontamination, op5_secret_scan,
-    op6_language_id, op7_toxicity, op8_top_k, op10_simhash)}
+    op1_mix_sources, op2_substring_dedup, op3_main_text, op4_decontamination, op5_secret_scan,
+    op6_language_id, op7_toxicity, op8_top_k, op9_licence_scan, op10_simhash)}
 ORACLES = {"op1_mix_sources": MIX, "op2_substring_dedup": REPEATS, "op4_decontamination": DECONTAMINATE,
            "op8_top_k": TOP_K}

@@ -21,7 +21,7 @@ BASE = (
     ("hex", r"[0-9a-f]{24,}", 0, 24),
 )
 TOKEN = ("token", r"[A-Za-z0-9+/_=-]{20,}", 0, 20)
-MAX_OWNERS = 1
+MAX_OWNERS = 2
 
 _MARK, _STAND_IN = "\ue000", "\ue001"
 
@@ -43,15 +43,16 @@ def _same_row(*order) -> Window:
 
 def candidates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
                repository_col: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Rows (row, id, owner, repository) of all documents, and spans (row, start, end, kind, value, is_base).
+    """Rows (row, id, key, owner, repository) of all documents, and spans (row, start, end, kind, value, is_base).
 
-    ``row`` is unique and keeps equal rows apart; a null text is empty. Without
+    ``row`` is unique and keeps equal rows apart, ``key`` is the hash of the
+    text as given; a null text is empty. Without
     ``repository_col`` a document is a repository of its own. Wide spans need a
     letter and a digit and touch no base span. Positions are code points.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = cut_lineage(documents.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"),
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("key"),
         F.col(owner_col).cast("string").alias("owner"), F.col(repository_col or id_col).cast("string").alias("repository"),
         F.array(*[F.struct(F.lit(kind).alias("kind"), _pieces(text, pattern).alias("pieces"))
                   for kind, pattern, _, _ in (*BASE, TOKEN)]).alias("_kinds")))
@@ -88,7 +89,7 @@ def ownership(rows: DataFrame, spans: DataFrame) -> DataFrame:
 
 def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
          repository_col: str | None = None, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """One row per document: row, id, base, added and live spans, n_shared.
+    """One row per document: row, id, key, base, added and live spans, n_shared.
 
     ``base`` are the pattern matches, ``added`` the wide tokens whose value at
     most ``max_owners`` owners have, ``live`` the base spans of such values;
@@ -107,9 +108,22 @@ def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
     lists = [F.coalesce(F.array_sort(name), F.array().cast("array<struct<start:int,order:bigint,end:int,kind:string,value:string>>"))
              .alias(name) for name in ("base", "added", "live")]
     return rows.join(judged, "row", "left").select(
-        "row", "id", *lists, F.coalesce("n_shared", F.lit(0).cast("long")).alias("n_shared"))
+        "row", "id", "key", *lists, F.coalesce("n_shared", F.lit(0).cast("long")).alias("n_shared"))
 
 
 def listed(spans: Column) -> Column:
     """``kind:start:end`` of each span, comma-joined."""
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+
+def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
+    """The text with each span replaced by ``mark``; spans are in order of their start and may overlap."""
+    state = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
+
+    def step(acc, span):
+        apart = span["start"] >= acc["at"]
+        done = F.when(apart, F.concat(acc["done"], text.substr(acc["at"] + 1, span["start"] - acc["at"]), F.lit(mark))) \
+            .otherwise(acc["done"])
+        return F.struct(F.greatest(acc["at"], span["end"]).alias("at"), done.alias("done"))
+
+    return F.aggregate(spans, state, step, lambda acc: F.concat(acc["done"], text.substr(acc["at"] + 1, F.length(text))))

@@ -59,16 +59,18 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
 
 def fingerprints(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                  seed: int = SEED) -> DataFrame:
-    """(id, fingerprint) of every row; a null text has no words."""
+    """(id, key, fingerprint) of every row; a null text has no words. ``key`` is the text's hash."""
 
     def run(batches):
         for batch in batches:
-            buffer, offsets = text_buffer(batch.column(1))
+            buffer, offsets = text_buffer(batch.column(2))
             values = [fingerprint(buffer[a:b].tobytes(), shingle, seed) for a, b in zip(offsets[:-1], offsets[1:])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.int64())], names=["id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(values, pa.int64())], names=["id", "key", "fingerprint"])
 
-    return documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, "id long, fingerprint long")
+    text = F.col(text_col).cast("string")
+    return documents.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("key"), text.alias("text")) \
+        .mapInArrow(run, "id long, key long, fingerprint long")
 
 
 def _fronts(budget: int, clean: int) -> list[tuple[list[tuple[int, int]], int]]:
@@ -254,7 +256,9 @@ def links(distinct: DataFrame, budget: int = BUDGET, clean: int | None = None) -
 
 def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     seed: int = SEED, budget: int = BUDGET) -> DataFrame:
-    """One row per document: id, fingerprint, component (the smallest id reachable over links).
+    """One row per document: id, key, fingerprint, root, component (the smallest id reachable over links).
+
+    ``root`` is the smallest fingerprint reachable, the same for a whole group.
 
     Null texts and texts without words have fingerprint zero and link like any
     other. Null ids are never a component's id unless it has no other. Equal
@@ -267,5 +271,11 @@ def near_duplicates(documents: DataFrame, id_col: str = "doc_id", text_col: str
     members = nodes.join(roots, nodes["fingerprint"] == roots["node"], "left").select(
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
     least = members.groupBy("root").agg(F.min("least").alias("component"))
-    named = members.join(least, "root").select("fingerprint", "component")
-    return marked.join(named, "fingerprint").select("id", "fingerprint", "component")
+    named = members.join(least, "root").select("fingerprint", "root", "component")
+    return marked.join(named, "fingerprint").select("id", "key", "fingerprint", "root", "component")
+
+
+def representatives(grouped: DataFrame) -> DataFrame:
+    """(id, key) of one document of each group: the smallest id, null last, and of its texts the smallest key."""
+    first = grouped.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("_none"), "id", "key")).alias("_first"))
+    return first.select("_first.id", "_first.key")
