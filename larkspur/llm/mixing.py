@@ -4,7 +4,8 @@ A source's target is its share of the total by weight, but at most ``epochs``
 times its own size. Sources above their limit are clamped there and what they
 leave is shared among the rest by weight, until none is above. A target of e
 epochs takes every document ``floor(e)`` times and fills the fraction with
-documents in a seeded order.
+documents in a seeded order, in a few rounds: each takes the documents that
+fit, up to the first that does not, out of those no larger than what is left.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from larkspur.session import cut_lineage
 EPOCHS = 3
 CYCLE = (1, 2, 3)
 SEED = 7
+ROUNDS = 4
 
 
 def count_words(text: Column) -> Column:
@@ -73,19 +75,21 @@ def water_fill(sources: DataFrame, total: int | None = None, epochs: int = EPOCH
 
 
 def mix(documents: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source", epochs: int = EPOCHS, total: int | None = None, seed: int = SEED) -> DataFrame:
+        source_col: str = "source", epochs: int = EPOCHS, total: int | None = None, seed: int = SEED,
+        rounds: int = ROUNDS) -> DataFrame:
     """One row per document: id, source, size, source_size, target, copies, taken (= size * copies).
 
     ``weights`` has (source, weight), one row a source; without it they repeat
     1, 2, 3. Sizes are words; a null text has none. Null is a source of its
     own. The seeded order is by MD5 of seed and id; equal rows are told apart
-    only by their order, which does not change the result. Per source, words
-    taken miss the target by at most half of one document.
+    only by their order, which does not change the result. A source's words
+    never pass its target. After round r they miss it by less than the document
+    that did not fit, which is no larger than what round r - 1 left.
 
     The order is dealt by leading bits of the hash into about sqrt(n) bins a
     source, so neither a bin nor the list of bins is the whole of a hot source.
     """
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+    order = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("")))), 1, 16)
     rows = cut_lineage(documents.select(
         F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
         count_words(F.col(text_col)).alias("size"), order.alias("_order")))
@@ -97,22 +101,35 @@ def mix(documents: DataFrame, weights: DataFrame | None = None, id_col: str = "d
     targets = water_fill(weighed, total, epochs)
     epoch = F.when(F.col("size") > 0, F.col("target") / F.col("size")).otherwise(F.lit(0.0))
     whole = F.floor(epoch).cast("long")
-    plan = targets.join(sizes.select(F.col("source").alias("_s"), "_n"), F.col("source").eqNullSafe(F.col("_s"))).select(
-        F.col("source").alias("_source"), F.col("size").alias("source_size"), "target", whole.alias("_whole"),
-        (F.col("target") - whole * F.col("size")).alias("_need"),
-        F.greatest(F.lit(0), F.least(F.lit(24), F.ceil(F.log2(F.col("_n").cast("double")) / 2))).cast("int").alias("_bits"))
+    plan = cut_lineage(
+        targets.join(sizes.select(F.col("source").alias("_s"), "_n"), F.col("source").eqNullSafe(F.col("_s"))).select(
+            F.col("source").alias("_source"), F.col("size").alias("source_size"), "target", whole.alias("copies"),
+            (F.col("target") - whole * F.col("size")).alias("_left"),
+            F.greatest(F.lit(0), F.least(F.lit(24), F.ceil(F.log2(F.col("_n").cast("double")) / 2))).cast("int").alias("_bits")))
     leading = F.conv(F.substring("_order", 1, 6), 16, 10).cast("long")
-    binned = rows.join(plan, F.col("source").eqNullSafe(F.col("_source"))).withColumn(
-        "_bin", F.call_function("shiftright", leading, (F.lit(24) - F.col("_bits")).cast("int")))
-    bins = binned.groupBy("source", "_bin").agg(F.sum("size").alias("_words"))
+    now = rows.join(plan, F.col("source").eqNullSafe(F.col("_source"))).withColumns({
+        "_bin": F.call_function("shiftright", leading, (F.lit(24) - F.col("_bits")).cast("int")),
+        "_done": F.lit(False)}).drop("_bits", "_source")
+    for _ in range(rounds):
+        now = cut_lineage(_take(now))
+    return now.select("id", "source", "size", "source_size", "target",
+                      (F.col("copies") + F.col("_done").cast("long")).alias("copies")).withColumn(
+        "taken", F.col("size") * F.col("copies"))
+
+
+def _take(rows: DataFrame) -> DataFrame:
+    """Mark the documents that fit into what is left of their source, up to the first that does not."""
+    open_ = ~F.col("_done") & (F.col("size") <= F.col("_left"))
+    step = F.when(open_, F.col("size")).otherwise(0)
+    bins = rows.groupBy("source", "_bin").agg(F.sum(step).alias("_words"))
     before = bins.select(
         F.col("source").alias("_s"), F.col("_bin").alias("_b"),
         F.coalesce(F.sum("_words").over(Window.partitionBy("source").orderBy("_bin").rowsBetween(
             Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    placed = binned.join(before, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_bin") == F.col("_b")))
-    inside = F.coalesce(F.sum("size").over(Window.partitionBy("source", "_bin").orderBy(
-        "_order", "id", "size").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    middle = F.col("_before") + inside + F.col("size") / 2
-    copies = (F.col("_whole") + (middle <= F.col("_need")).cast("long")).alias("copies")
-    return placed.select("id", "source", "size", "source_size", "target", copies).withColumn(
-        "taken", F.col("size") * F.col("copies"))
+    placed = rows.join(before, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_bin") == F.col("_b"))).drop("_s", "_b")
+    inside = F.sum(step).over(Window.partitionBy("source", "_bin").orderBy("_order", "id", "size").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow))
+    marked = cut_lineage(placed.withColumn("_new", open_ & (F.col("_before") + inside <= F.col("_left"))).drop("_before"))
+    gained = marked.groupBy(F.col("source").alias("_s")).agg(F.sum(F.when(F.col("_new"), F.col("size")).otherwise(0)).alias("_got"))
+    return marked.join(gained, F.col("source").eqNullSafe(F.col("_s"))).withColumns({
+        "_left": F.col("_left") - F.col("_got"), "_done": F.col("_done") | F.col("_new")}).drop("_s", "_got", "_new")

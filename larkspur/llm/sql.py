@@ -40,9 +40,18 @@ SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_
 FROM d LEFT JOIN c ON d.doc_id = c.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
 """
 
+
+def _rounds(count: int) -> str:
+    """Each round takes what fits into the remainder, up to the first document that does not."""
+    return ",\n".join(f"""a{i} AS (SELECT *, NOT done AND size <= remain AND sum(CASE WHEN NOT done AND size <= remain THEN size ELSE 0 END)
+        OVER (PARTITION BY source ORDER BY o, doc_id, size ROWS UNBOUNDED PRECEDING) <= remain AS new FROM r{i - 1}),
+r{i} AS (SELECT * EXCLUDE (new) REPLACE (remain - sum(CASE WHEN new THEN size ELSE 0 END) OVER (PARTITION BY source) AS remain,
+        done OR new AS done) FROM a{i})""" for i in range(1, count + 1))
+
+
 MIX = rf"""
 WITH RECURSIVE d AS (SELECT doc_id, source, len(coalesce(regexp_extract_all(text, '{_BLANKS}'), []))::BIGINT AS size,
-                            md5('7:' || coalesce(doc_id::VARCHAR, '')) AS o FROM documents),
+                            md5('7:' || coalesce(doc_id::VARCHAR, ''))[1:16] AS o FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS size, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::BIGINT AS weight
       FROM d GROUP BY source),
 r AS (SELECT *, 3 * size AS cap, sum(size) OVER () AS total,
@@ -54,10 +63,10 @@ e AS (SELECT (total - held)::DOUBLE AS rest, left_weight::DOUBLE AS weights FROM
 t AS (SELECT source, size AS source_size, CASE WHEN k < (SELECT k FROM f) THEN cap::DOUBLE
              ELSE weight * (SELECT rest FROM e) / (SELECT weights FROM e) END AS target FROM r),
 p AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS n_whole FROM t),
-q AS (SELECT d.doc_id, d.size, p.source_size, p.target, n_whole, target - n_whole * source_size AS need,
-             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY o, doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-      FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source)
-SELECT doc_id, size, source_size, target, (size * (n_whole + CASE WHEN before + size / 2 <= need THEN 1 ELSE 0 END))::BIGINT AS taken FROM q
+r0 AS (SELECT d.*, p.source_size, p.target, n_whole, target - n_whole * source_size AS remain, false AS done
+      FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
+{_rounds(4)}
+SELECT doc_id, size, source_size, target, (size * (n_whole + done::BIGINT))::BIGINT AS taken FROM r4
 """
 
 TOP_K = """
