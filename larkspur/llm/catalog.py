@@ -37,10 +37,12 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     rows = secrets.scan(_table(spark, folder, "documents"))
-    counts = [F.size(F.filter("base", lambda x, kind=kind: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
-              for kind in ("assign", "access", "hex")]
+
+    def of(kind):
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     return rows.select(
-        F.col("id").alias("doc_id"), *counts, F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"),
+        F.col("id").alias("doc_id"), of("assign"), of("access"), of("hex"), F.sha2(secrets.listed(F.col("base")), 256).alias("base_sha256"),
         secrets.listed(F.array_sort(F.concat("base", "added"))).alias("spans"),
         F.size("live").cast("long").alias("n_live"), "n_shared")
 
