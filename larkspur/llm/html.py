@@ -277,7 +277,11 @@ def _belongs(node: Node, best: Node) -> bool:
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
-    """``pages`` with _text, the main text of the whole page; a null page gives an empty text."""
+    """``pages`` with _text, the main text of the whole page, which replaces a column of that name.
+
+    A null or empty page gives an empty text.
+    """
+    pages = pages.drop("_text")
 
     @F.pandas_udf("string")
     def text(column: pd.Series) -> pd.Series:

@@ -86,8 +86,8 @@ def top_k(vectors: DataFrame, queries, k: int = K, id_col: str = "vec_id", vecto
     """(query, rank, id, score): the ``k`` largest integer products of each query row with all other rows.
 
     ``queries`` is a condition on the rows that are queries. Ties go to the
-    smaller id. A query never meets rows of its own id; equal ids with other
-    vectors are rows of their own. Rows with a null id, or a vector that is
+    smaller id. A query never meets rows of its own id; repeated rows count as
+    often as they occur. Rows with a null id, or a vector that is
     null or holds null or non-finite components, take no part; vectors of other
     lengths count as filled up with zeros. Sums must fit 64 bits.
 

@@ -183,8 +183,9 @@ def scan(documents: DataFrame, text_col: str = "text") -> DataFrame:
 
     ``_licences`` is an array of (licence, start, end), ``_sentences`` one of
     (start, end, identifier); positions are code points, end exclusive. Both are
-    empty for a null or empty text. All columns are kept, whatever their names.
+    empty for a null or empty text. Other columns are kept; one that has an added name is replaced.
     """
+    documents = documents.drop("_licences", "_sentences", "_judged")
     schema = "licences array<struct<licence:string,start:int,end:int>>, sentences array<struct<start:int,end:int,identifier:string>>"
 
     @F.pandas_udf(schema)

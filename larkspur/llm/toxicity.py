@@ -149,7 +149,8 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def score(documents: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``documents`` with _toxicity, 0 to 1; a null text scores as an empty one."""
+    """``documents`` with _toxicity, 0 to 1, which replaces a column of that name; a null text scores as an empty one."""
+    documents = documents.drop("_toxicity")
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
