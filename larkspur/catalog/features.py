@@ -176,7 +176,7 @@ def fixed_bands(t: Tables):
 view("tiered", """select p.*, cast(case when price <= q[1] then 0 when price <= q[2] then 1 when price <= q[3] then 2
   else 3 end as int) as tier from priced p, (select quantile_cont(price, [0.25, 0.5, 0.75]) as q from priced)""",
      "priced")
-TIER_NAME_SQL = "['budget', 'economy', 'standard', 'premium'][tier + 1]"
+TIER_NAME_SQL = "['Budget', 'Economy', 'Premium', 'Luxury'][tier + 1]"
 
 
 @query(f"""select tier, {TIER_NAME_SQL} as tier_name, count(*) as n, count(*) / (select count(*) from priced) as share,
@@ -412,7 +412,7 @@ def uniform_sql(key: str, stream: str) -> str:
 
 def _vehicle_sql(key: str) -> str:
     u = uniform_sql(key, "vehicle")
-    return f"case when {u} < 1e0 / 3 then 'three_wheeler' when {u} < 2e0 / 3 then 'compact' else 'premier' end"
+    return f"case when {u} < 1e0 / 3 then 'Rickshaw' when {u} < 2e0 / 3 then 'UberGo' else 'Premier' end"
 
 
 view("synth", f"""select event_id as ride_id, 1 + {uniform_sql('event_id', 'distance')} * 24 as distance_km,
@@ -437,7 +437,7 @@ def fares(t: Tables) -> DataFrame:
     return rated.withColumn("fare", fare)
 
 
-@query("""select ride_id, vehicle_type, (distance_km * case vehicle_type when 'three_wheeler' then 15 when 'compact'
+@query("""select ride_id, vehicle_type, (distance_km * case vehicle_type when 'Rickshaw' then 15 when 'UberGo'
   then 18 else 25 end + 89.5e0 * 0.05e0) * case when hour in (8, 9, 17, 18) then 1.4e0 else 1e0 end
   * case when is_monsoon = 1 then 1.3e0 else 1e0 end * traffic_level as fare from synth""", "synth", doubles="fare")
 def fare_formula(t: Tables):

@@ -56,8 +56,8 @@ HOUSE = housing_plan.feature_sets()["enriched"]
 FLIGHT = ["month", "day", "hour", "distance", "is_early_morning", "is_morning", "is_afternoon", "is_evening",
           "is_night", "is_winter", "is_spring", "is_summer", "is_fall", "short_haul", "medium_haul", "long_haul",
           "carrier_encoded", "origin_encoded", "dest_encoded"]
-FARE = ["distance_km", "hour", "is_monsoon", "traffic_level", "vehicle_type_compact", "vehicle_type_premier",
-        "vehicle_type_three_wheeler"]
+FARE = ["distance_km", "hour", "is_monsoon", "traffic_level", "vehicle_type_UberGo", "vehicle_type_Premier",
+        "vehicle_type_Rickshaw"]
 VECTOR_SIZE = 64
 
 

@@ -283,12 +283,12 @@ def encode_all_strings(t: Tables):
     return coded.select("flight_id", *[f"{c}_encoded" for c in text])
 
 
-@query("""select ride_id, distance_km, cast(vehicle_type = 'compact' as int) as vehicle_type_compact,
-  cast(vehicle_type = 'premier' as int) as vehicle_type_premier, cast(vehicle_type = 'three_wheeler' as int)
-  as vehicle_type_three_wheeler from synth""", "synth", doubles="distance_km")
+@query("""select ride_id, distance_km, cast(vehicle_type = 'UberGo' as int) as vehicle_type_UberGo,
+  cast(vehicle_type = 'Premier' as int) as vehicle_type_Premier, cast(vehicle_type = 'Rickshaw' as int)
+  as vehicle_type_Rickshaw from synth""", "synth", doubles="distance_km")
 def one_hot(t: Tables):
     return encoding.one_hot(ff.synthetic(t), "vehicle_type", list(fv.FARE_RATES)).select(
-        "ride_id", "distance_km", "vehicle_type_compact", "vehicle_type_premier", "vehicle_type_three_wheeler")
+        "ride_id", "distance_km", "vehicle_type_UberGo", "vehicle_type_Premier", "vehicle_type_Rickshaw")
 
 
 SCALED = ["distance", "temperature", "pressure", "always_one"]

@@ -127,13 +127,14 @@ def distance_matrix(t: Tables):
 @query(f"""select ride_id, severity, case severity when 0 then 'Clear' when 1 then 'Moderate' when 2 then 'Severe' end
   as severity_name, case surge_multiplier when 1 then '1x' when 1.25 then '1.25x' when 1.5 then '1.5x'
   when 1.75 then '1.75x' when 2 then '2x' when 2.5 then '2.5x' when 3 then '3x' end as surge_name,
-  case name when 'click' then 'Click' when 'view' then 'View' end as service_name from
-  (select *, {ff.RAINY} + {ff.COLD} + {ff.HUMID} as severity from rides)""", "rides")
+  [{", ".join(f"'{n}'" for n in fv.SERVICE_NAMES.values())}][service_code + 1] as service_name from
+  (select *, {ff.RAINY} + {ff.COLD} + {ff.HUMID} as severity, ride_id % 15 as service_code from rides)""", "rides")
 def code_lookup(t: Tables):
     df = ff.weathered(t.rides).withColumn("severity", C("is_rainy") + C("is_cold") + C("is_high_humidity"))
     df = joins.code_lookup(df, "severity", fv.SEVERITY_LABELS, "severity_name")
     df = joins.code_lookup(df, "surge_multiplier", dict(zip(fv.SURGE_LEVELS, fv.SURGE_LABELS)), "surge_name")
-    df = joins.code_lookup(df, "name", {"click": "Click", "view": "View"}, "service_name")
+    df = joins.code_lookup(df.withColumn("service_code", (C("ride_id") % 15).cast("int")), "service_code", fv.SERVICE_NAMES,
+                           "service_name")  # two codes are in no table
     return df.select("ride_id", "severity", "severity_name", "surge_name", "service_name")
 
 
@@ -174,20 +175,22 @@ def encoder_apply(t: Tables):
 @query("""select ride_id, count(starts) filter (ts >= starts and ts < ends) as n_events,
   cast(count(starts) > 0 as int) as is_event_day, cast(count(starts) filter (ts >= starts and ts < ends) > 0 as int)
   as is_during_event, cast(count(starts) filter (ts >= starts and ts < ends and venue = source) > 0 as int)
-  as is_at_event_venue from rides left join calendar on cast(ts as date) = event_date group by 1""", "rides calendar",
-       bigints="n_events")
+  as is_at_event_venue from rides left join calendar on cast(ts as date) >= cast(starts as date)
+  and cast(cast(ts as date) as timestamp) < ends group by 1""", "rides calendar", bigints="n_events")
 def event_day_join(t: Tables):
     joined = joins.window_join(t.rides.select("ride_id", "ts", "source"), "ts", "source", t.calendar)
     return joined.select("ride_id", "n_events", "is_event_day", "is_during_event", "is_at_event_venue")
 
 
-@query("""select cast(l_orderkey as varchar) || ':' || l_partkey || ':' || l_suppkey || ':' || l_linenumber as ride,
-  l_shipdate, f.week as week_matched, gas_price from lineitem asof left join fuel f on l_shipdate >= f.week""", "fuel")
+@query("""select ride, as_of, f.week as week_matched, gas_price from (
+  select cast(l_orderkey as varchar) || ':' || l_partkey || ':' || l_suppkey || ':' || l_linenumber as ride,
+    unnest([l_shipdate, l_shipdate + interval 11 year]) as as_of from lineitem) asof left join fuel f on as_of >= f.week""", "fuel")
 def asof_weekly_price(t: Tables):
-    """The order-week price in force on each ship date; late dates reach back to the last week."""
-    shipped = t.table("lineitem").select(
-        F.concat_ws(":", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("ride"), "l_shipdate")
-    return joins.asof_join(shipped, "l_shipdate", t.fuel, "week", ["gas_price"])
+    """The order-week price in force on each ship date, and eleven years later, when only the last week is left."""
+    ride = F.concat_ws(":", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber").alias("ride")
+    later = (C("l_shipdate") + F.make_ym_interval(F.lit(11))).cast(dict(t.table("lineitem").dtypes)["l_shipdate"])
+    shipped = t.table("lineitem").select(ride, F.explode(F.array("l_shipdate", later)).alias("as_of"))
+    return joins.asof_join(shipped, "as_of", t.fuel, "week", ["gas_price"])
 
 
 view("traffic", """select source || '_' || destination as route, cast(hour(ts) as int) as hour,

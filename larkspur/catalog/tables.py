@@ -96,10 +96,15 @@ TEXT_SQL = r"""regexp_replace(regexp_replace(html, '(?s)<script.*?</script>|<sty
     coalesce(try_cast(regexp_extract({TEXT_SQL}, '([0-9]+(?:\.[0-9]+)?)', 1) as double), 89.5e0) as number,
     regexp_extract_all(html, '<a [^>]*href="([^"]*)"[^>]*>([^<]*)</a>', 1) as hrefs,
     regexp_extract_all(html, '<a [^>]*href="([^"]*)"[^>]*>([^<]*)</a>', 2) as texts,
-    unnest(range(1, 1 + len(regexp_extract_all(html, '<a [^>]*href="([^"]*)"[^>]*>([^<]*)</a>', 1)))) as i from pages)
+    unnest(case when len(regexp_extract_all(html, '<a [^>]*href="([^"]*)"[^>]*>([^<]*)</a>', 1)) = 0 then [null]
+      else range(1, 1 + len(regexp_extract_all(html, '<a [^>]*href="([^"]*)"[^>]*>([^<]*)</a>', 1))) end) as i
+    from (select page_id, html from pages union all select -1 - page_id, replace(html, '<a ', '<i ') from pages where page_id % 10 = 0))
   """, doubles="number")
 def html_field_extract(t: Tables):
-    fields = t.table("pages").select(
+    """Title, number and links of every page; every tenth page comes once more without its links."""
+    raw = t.table("pages").select("page_id", "html")
+    bare = raw.where("page_id % 10 = 0").select((-1 - C("page_id")).alias("page_id"), F.replace(C("html"), F.lit("<a "), F.lit("<i ")).alias("html"))
+    fields = raw.unionByName(bare).select(
         "page_id", "html", F.coalesce(pages.element_text(C("html"), "h1"), F.lit("")).alias("title"),
         pages.number_of(pages.visible_text(C("html")), fv.FUEL_PRICE_DEFAULT).alias("number"))
     return pages.repeated_items(fields, "html", '<a [^>]*href="([^"]*)"[^>]*>([^<]*)</a>', ["href", "link_text"],
@@ -129,11 +134,10 @@ def reference_points(t: Tables):
         reference.with_fallback(C("seen_lat"), C("lat")).alias("used_lat"))
 
 
-@query("select distinct event_type, cast(ts as date) as event_date from events where event_type in ('purchase', 'signup')")
+@query("select distinct event_type, cast(ts as date) as event_date from events")
 def event_calendar_rows(t: Tables):
     """{type: [dates]} per day, built from events, to one row per type and date."""
-    daily = t.table("events").where(C("event_type").isin("purchase", "signup")).select(
-        "event_type", F.to_date("ts").alias("d")).distinct()
+    daily = t.table("events").select("event_type", F.to_date("ts").alias("d")).distinct()
     packed = daily.groupBy("d").agg(F.map_from_entries(
         F.collect_list(F.struct("event_type", F.array("d")))).alias("calendar"))
     return payloads.map_rows(packed, "calendar", "event_type", "event_date")

@@ -28,11 +28,18 @@ RIDE_CUTS_MILES = (2, 5)
 HAUL_CUTS_MILES = (500, 1500)
 PRICE_BAND_EDGES = [0, 10, 15, 25, 1000]
 PRICE_BAND_LABELS = ["low", "mid", "high", "premium"]
-TIER_NAMES = ["budget", "economy", "standard", "premium"]
+TIER_NAMES = ["Budget", "Economy", "Premium", "Luxury"]
 SURGE_LEVELS = [1.0, 1.25, 1.5, 1.75, 2.0, 2.5, 3.0]
 SURGE_LABELS = ["1x", "1.25x", "1.5x", "1.75x", "2x", "2.5x", "3x"]
 SEVERITY_LABELS = {0: "Clear", 1: "Moderate", 2: "Severe"}
 
+# --- code of a service in alphabetical order -> its name --------------------
+SERVICE_NAMES = {
+    0: "Black", 1: "Black SUV", 2: "Lux", 3: "Lux Black", 4: "Lux Black XL",
+    5: "Lyft", 6: "Lyft XL", 7: "Shared", 8: "Taxi", 9: "UberPool",
+    10: "UberX", 11: "UberXL", 12: "WAV",
+}
+
 # --- service classes ------------------------------------------------------
 PREMIUM_PATTERN = "Black|Lux|SUV|XL"
 
@@ -97,7 +104,7 @@ SOUTH_MILES = 60
 HOUSING_CAPS = {"target": 5.0001, "AveOccup": 10, "AveRooms": 15, "AveBedrms": 5}
 
 # --- synthetic fares ------------------------------------------------------
-FARE_RATES = {"three_wheeler": 15, "compact": 18, "premier": 25}
+FARE_RATES = {"Rickshaw": 15, "UberGo": 18, "Premier": 25}
 FUEL_PRICE_DEFAULT = 89.50
 FUEL_SHARE = 0.05
 PEAK_FACTOR = 1.4
@@ -106,6 +113,26 @@ MONSOON_SHARE = 0.2
 # cumulative share -> level
 TRAFFIC_LEVELS = [(0.5, 1.0), (0.8, 1.5), (1.0, 2.0)]
 
+# --- feature lists of the studies, as published; "_enc" columns are codes ----
+SURGE_FEATURES = [
+    "hour", "hour_sin", "hour_cos", "day_of_week", "is_weekend",
+    "is_morning_rush", "is_evening_rush", "is_rush_hour", "is_night", "is_late_night",
+    "temperature", "humidity", "windSpeed", "precipIntensity", "precipProbability",
+    "visibility", "pressure", "cloudCover", "windGust", "dewPoint",
+    "is_rainy", "is_cold", "wind_chill", "low_visibility", "high_precip_prob",
+    "low_pressure", "high_wind", "overcast", "severe_weather",
+    "rain_rush", "cold_night", "rain_night", "bad_weather_rush",
+    "distance", "short_ride", "long_ride",
+    "cab_type_enc", "source_enc", "destination_enc",
+]
+SERVICE_FEATURES = [
+    "distance", "distance_sq", "hour", "hour_sin", "hour_cos",
+    "day_of_week", "is_weekend", "is_rush_hour", "is_night",
+    "temperature", "humidity", "windSpeed", "precipIntensity",
+    "is_rainy", "is_cold", "wind_chill", "low_visibility",
+    "rain_rush", "source_enc", "destination_enc",
+]
+
 # --- enrichment study: raw and derived columns, recorded results ------------
 RAW_ENRICHMENT = [
     "apparentTemperature", "precipProbability", "visibility", "pressure",

@@ -122,18 +122,18 @@ def fill_gaps(df: DataFrame, time: str, value: str, by: Sequence[str], step: str
     between the neighbours.
 
     A series holds one row per step, so its length is bounded by the calendar
-    whatever the number of measurements behind it.
+    whatever the number of measurements behind it. Both frames run up to the
+    current row, one of them in descending time, so a series costs one pass each.
     """
     grid = complete_grid(df, time, by, step)
-    series = Window.partitionBy(*by).orderBy(time)
-    back = series.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = series.rowsBetween(0, Window.unboundedFollowing)
+    back = Window.partitionBy(*by).orderBy(time).rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy(*by).orderBy(F.desc(time)).rowsBetween(Window.unboundedPreceding, 0)
     known = F.when(F.col(value).isNotNull(), F.col(time))
     out = (
         grid.withColumn("_v0", F.last(value, ignorenulls=True).over(back))
-        .withColumn("_v1", F.first(value, ignorenulls=True).over(ahead))
+        .withColumn("_v1", F.last(value, ignorenulls=True).over(ahead))
         .withColumn("_t0", F.last(known, ignorenulls=True).over(back))
-        .withColumn("_t1", F.first(known, ignorenulls=True).over(ahead))
+        .withColumn("_t1", F.last(known, ignorenulls=True).over(ahead))
     )
     span = wall_seconds(F.col("_t1")) - wall_seconds(F.col("_t0"))
     done = wall_seconds(F.col(time)) - wall_seconds(F.col("_t0"))

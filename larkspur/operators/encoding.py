@@ -6,11 +6,13 @@ from dataclasses import dataclass
 from itertools import combinations_with_replacement
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larkspur.operators.skew import lookup_join, settle
+from larkspur.operators.ranks import sorted_position
+from larkspur.operators.skew import lookup_join
+from larkspur.session import cut_lineage
 
 
 def _as_category(column: str) -> Column:
@@ -21,32 +23,24 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def fit_dictionary(df: DataFrame, columns: Sequence[str], max_rows: int = 100_000) -> DataFrame:
-    """(column, value, code): codes 0… in sorted order per column.
-
-    NULL is the category ``nan``. A dictionary beyond ``max_rows`` values is
-    numbered by a range-partitioned sort instead of one window per column.
-    """
+def fit_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, value, code): codes 0… in sorted order per column; NULL is the category ``nan``."""
     tall = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), _as_category(c).alias("value")) for c in columns
     ])).alias("e")).select("e.column", "e.value").distinct()
-    side = settle(tall, max_rows)
-    if side.local:
-        code = F.row_number().over(Window.partitionBy("column").orderBy("value")) - 1
-        return side.frame.select("column", "value", code.alias("code"))
-    numbered = (
-        side.frame.orderBy("column", "value").rdd.zipWithIndex()
-        .map(lambda r: (r[0]["column"], r[0]["value"], r[1]))
-        .toDF("column string, value string, position bigint")
-    )
+    numbered = sorted_position(tall, ["column", "value"])
     starts = numbered.groupBy("column").agg(F.min("position").alias("start"))
-    return lookup_join(numbered, starts, ["column"], "inner").select(
-        "column", "value", (F.col("position") - F.col("start")).cast("int").alias("code"))
+    return cut_lineage(lookup_join(numbered, starts, ["column"], "inner").select(
+        "column", "value", (F.col("position") - F.col("start")).cast("int").alias("code")))
 
 
 def apply_dictionary(df: DataFrame, dictionary: DataFrame, columns: Sequence[str],
                      suffix: str = "_encoded", unseen: int = -1) -> DataFrame:
-    """Add the code of every listed column; unseen values get ``unseen``."""
+    """Add the code of every listed column; unseen values get ``unseen``.
+
+    The dictionary is a stored table, so its columns are map-side joins of one
+    stage wherever Catalyst measures them small.
+    """
     out = df
     for c in columns:
         codes = dictionary.where(F.col("column") == c).select(

@@ -44,50 +44,60 @@ def membership_semi(df: DataFrame, members: DataFrame, on: list[str]) -> DataFra
 
 
 def window_join(df: DataFrame, ts: str, place: str, calendar: DataFrame) -> DataFrame:
-    """Rides against event windows: same day, start <= ts < end.
+    """Rides against event windows: start <= ts < end.
 
-    ``calendar`` has (event_date, starts, ends, venue). The day is the equi
-    key, so only windows of that day are compared. Several windows may hold a
-    ride: the counts are per ride, without repeating it. Repeated windows are
-    counted before they are listed, so a day holds its distinct windows only.
+    ``calendar`` has (event_date, starts, ends, venue). A window counts on
+    every day it touches, clipped to that day; ``is_event_day`` tells whether
+    any does. The windows of a day become the number open after each instant
+    at which one starts or ends, in all and per venue, so a ride meets the
+    distinct instants of its day and never single windows.
     """
-    distinct = calendar.groupBy("event_date", "starts", "ends", "venue").agg(F.count("*").alias("n"))
-    by_day = distinct.groupBy("event_date").agg(
-        F.collect_list(F.struct("starts", "ends", "venue", "n")).alias("_windows"))
-    dated = df.withColumn("event_date", F.to_date(ts))
-    joined = lookup_join(dated, by_day, ["event_date"], "left")
-    open_now = F.filter("_windows", lambda w: (F.col(ts) >= w["starts"]) & (F.col(ts) < w["ends"]))
-    at_venue = F.filter(open_now, lambda w: w["venue"] == F.col(place))
-    return (
-        joined.withColumn("n_events", F.coalesce(
-            F.aggregate(open_now, F.lit(0).cast("bigint"), lambda total, w: total + w["n"]), F.lit(0)))
-        .withColumn("is_event_day", flag(F.col("_windows").isNotNull()))
-        .withColumn("is_during_event", flag(F.size(open_now) > 0))
-        .withColumn("is_at_event_venue", flag(F.size(at_venue) > 0))
-        .drop("_windows")
-    )
+    whole = calendar.where("starts < ends")
+    day = F.explode(F.sequence(F.to_date("starts"), F.to_date(F.col("ends") - F.expr("interval 1 microsecond")), F.expr("interval 1 day")))
+    touched = whole.withColumn("_day", day).select(
+        "_day", "venue", F.greatest("starts", F.col("_day").cast("timestamp_ntz")).alias("a"),
+        F.least("ends", F.date_add("_day", 1).cast("timestamp_ntz")).alias("b"))
+    changes = touched.select("_day", "venue", F.inline(F.array(
+        F.struct(F.col("a").alias("at"), F.lit(1).alias("step")), F.struct(F.col("b").alias("at"), F.lit(-1).alias("step")))))
+
+    def open_after(*by: str) -> DataFrame:
+        steps = changes.groupBy("_day", *by, "at").agg(F.sum("step").alias("step"))
+        running = F.sum("step").over(Window.partitionBy("_day", *by).orderBy("at"))
+        return steps.withColumn("n", running).groupBy("_day", *by).agg(
+            F.array_sort(F.collect_list(F.struct("at", "n"))).alias(f"_open{len(by)}"))
+
+    def now(column: str) -> Column:
+        return F.coalesce(F.try_element_at(F.filter(column, lambda w: w["at"] <= F.col(ts)), F.lit(-1))["n"], F.lit(0))
+
+    dated = df.withColumns({"_day": F.to_date(ts), "_place": F.col(place)})
+    joined = lookup_join(dated, open_after(), ["_day"])
+    joined = lookup_join(joined, open_after("venue").withColumnRenamed("venue", "_place"), ["_day", "_place"])
+    return joined.withColumns({
+        "event_date": F.col("_day"), "n_events": now("_open0"), "is_event_day": flag(F.col("_open0").isNotNull()),
+        "is_during_event": flag(now("_open0") > 0), "is_at_event_venue": flag(now("_open1") > 0),
+    }).drop("_open0", "_open1", "_day", "_place")
 
 
 def asof_join(df: DataFrame, ts: str, series: DataFrame, at: str, values: Sequence[str],
-              horizon_days: int = 3660) -> DataFrame:
-    """The last series row at or before each ride.
-
-    Each series row is valid until the next one. Validity is cut into days, so
-    the match is an equi-join on the day plus a range test that holds for
-    exactly one row; neither side is sorted as a whole. The window runs over
-    the series alone (one row per week here). ``horizon_days`` is how long the
-    last row stays valid.
+              period: str = "day") -> DataFrame:
+    """The last series row at or before each ride, however long ago.
+
+    Both sides are cut into periods. The series gives one summary per period,
+    its last row; carried forward over the periods, it answers rides that
+    precede every series row of their own period. Rides then meet the series
+    rows of their period only, so ``period`` should hold few of them.
     """
-    until = F.lead(at).over(Window.partitionBy(F.lit(0)).orderBy(at))
-    last = F.col(at) + F.make_dt_interval(F.lit(horizon_days))
-    valid = series.select(
-        F.col(at).alias("_from"), F.coalesce(until, last).alias("_until"), *values)
-    days = valid.withColumn("_day", F.explode(F.sequence(
-        F.to_date("_from"), F.to_date("_until"), F.expr("interval 1 day"))))
-    by_day = days.groupBy("_day").agg(F.collect_list(F.struct("_from", "_until", *values)).alias("_rows"))
-    joined = lookup_join(df.withColumn("_day", F.to_date(ts)), by_day, ["_day"], "left")
-    match = F.filter("_rows", lambda r: (F.col(ts) >= r["_from"]) & (F.col(ts) < r["_until"]))
-    hit = F.get(match, F.lit(0))
+    row = F.struct(F.col(at).cast("timestamp_ntz").alias("at"), F.col(at).alias("_from"), *values)
+    own = series.where(F.col(at).isNotNull()).groupBy(F.date_trunc(period, at).cast("timestamp_ntz").alias("_period")).agg(
+        F.array_sort(F.collect_list(row)).alias("_own"))
+    periods = df.select(F.date_trunc(period, ts).cast("timestamp_ntz").alias("_period")).distinct().join(own, "_period", "full")
+    # one row per period of the calendar
+    before = F.last(F.element_at("_own", -1), ignorenulls=True).over(
+        Window.orderBy("_period").rowsBetween(Window.unboundedPreceding, -1))
+    known = periods.withColumn("_before", before)
+    joined = lookup_join(df.withColumn("_period", F.date_trunc(period, ts).cast("timestamp_ntz")), known, ["_period"])
+    mine = F.filter("_own", lambda r: r["at"] <= F.col(ts).cast("timestamp_ntz"))
+    hit = F.coalesce(F.try_element_at(mine, F.lit(-1)), F.col("_before"))
     return joined.withColumn("_hit", hit).select(
         *df.columns, F.col("_hit._from").alias(f"{at}_matched"), *[F.col(f"_hit.{v}") for v in values])
 

@@ -1,152 +1,96 @@
 """Exact quantiles without gathering a column in one task.
 
-``percentile`` keeps every distinct value of a group in one buffer. Here a
-group larger than ``gather_limit`` is narrowed first: a mergeable sketch gives
-a bracket that must contain the wanted order statistics, a count verifies its
-position, and the step repeats inside the bracket until it is small. Only then
-are the distinct values of the bracket sorted. Each pass moves partial
-aggregates, never rows.
+The input is read once, into counts of distinct values per group. A mergeable
+sketch of the distinct values gives each group a grid of marks; every value
+falls between two of them. Counts per bin tell which bins hold the wanted order
+statistics, and only those bins are sorted, each in a task of its own. A value
+that fills much of a group is one row with a large count. The steps are the
+same for every size.
 """
 
 from __future__ import annotations
 
-import math
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.operators.skew import Settled, lookup_join, settle
+from larkspur.session import cut_lineage
 
-GATHER_LIMIT = 1_000_000
-ACCURACY = 10_000
-GRID = 1_000
+GRID = 32  # GRID * GRID marks a group, found by two short scans
+ACCURACY = 10 * GRID * GRID
 
 _X = "_x"
 
 
-def _struct_array(rows: list[dict], fields: dict[str, str]) -> Column:
-    """A literal array of structs."""
-    return F.array(*[
-        F.struct(*[F.lit(r[f]).cast(kind).alias(f) for f, kind in fields.items()]) for r in rows
-    ])
-
-
-_BRACKET = {"b": "int", "lo": "double", "hi": "double", "below": "bigint", "inside": "bigint"}
-_TARGET = {"b": "int", "i": "int", "k0": "bigint", "k1": "bigint", "place": "double"}
-
-
-def _explode_per_group(df: DataFrame, table: Settled, by: list[str], fields: dict[str, str],
-                       keep) -> DataFrame:
-    """Give each row the entries of its group for which ``keep(entry)`` holds."""
-    if by:
-        grouped = table.frame.groupBy(*by).agg(
-            F.collect_list(F.struct(*[F.col(f) for f in fields])).alias("_entries")
-        )
-        joined = lookup_join(df, grouped, by, "inner")
-    else:
-        joined = df.withColumn("_entries", _struct_array(table.rows, fields))
-    return joined.withColumn("_e", F.explode(F.filter("_entries", keep))).drop("_entries")
-
-
-def _narrow(base: DataFrame, brackets: Settled, targets: Settled, by: list[str],
-            accuracy: int, grid: int) -> tuple[Settled, Settled]:
-    """One step: a sketch inside each bracket, then counts for the new ones."""
-    inside = _explode_per_group(base, brackets, by, _BRACKET,
-                                lambda e: (F.col(_X) >= e["lo"]) & (F.col(_X) <= e["hi"]))
-    marks = [j / grid for j in range(grid + 1)]
-    sketch = inside.groupBy(*by, F.col("_e.b").alias("b")).agg(
-        F.percentile_approx(_X, marks, accuracy).alias("marks"),
-    )
-    # new bracket per target: one grid step of slack on both sides
-    located = (
-        targets.frame.join(brackets.frame, [*by, "b"]).join(sketch, [*by, "b"])
-        .withColumn("first", F.floor((F.col("k0") - F.col("below")) / F.col("inside") * grid) - 1)
-        .withColumn("last", F.ceil((F.col("k1") - F.col("below") + 1) / F.col("inside") * grid) + 1)
-        .select(
-            *by, F.col("i").alias("b"),
-            F.expr(f"element_at(marks, cast(greatest(0, first) + 1 as int))").alias("lo"),
-            F.expr(f"element_at(marks, cast(least({grid}, last) + 1 as int))").alias("hi"),
-            F.lit(0).cast("bigint").alias("below"), F.lit(0).cast("bigint").alias("inside"),
-        )
-    )
-    new = settle(located)
-    counted = (
-        _explode_per_group(base, new, by, _BRACKET, lambda e: F.col(_X) <= e["hi"])
-        .groupBy(*by, F.col("_e.b").alias("b"), F.col("_e.lo").alias("lo"), F.col("_e.hi").alias("hi"))
-        .agg(F.count_if(F.col(_X) < F.col("_e.lo")).alias("below"),
-             F.count_if(F.col(_X) >= F.col("_e.lo")).alias("inside"))
-    )
-    retargeted = targets.frame.withColumn("b", F.col("i"))
-    return settle(counted), settle(retargeted)
+def _bin(marks: Column, grid: int) -> Column:
+    """How many marks lie below the value: first by every ``grid``-th mark, then inside that stretch."""
+    below = lambda some: F.size(F.filter(some, lambda m: m < F.col(_X)))
+    coarse = F.transform(F.sequence(F.lit(1), F.lit(grid)), lambda j: F.element_at(marks, (j * grid).cast("int")))
+    stretch = below(coarse)
+    return (stretch * grid + below(F.slice(marks, stretch * grid + 1, F.lit(grid)))).cast("int")
 
 
 def quantile_arrays(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-                    gather_limit: int = GATHER_LIMIT, accuracy: int = ACCURACY,
-                    grid: int = GRID) -> DataFrame:
+                    grid: int = GRID, accuracy: int = ACCURACY) -> DataFrame:
     """Linear-interpolated quantiles: one row (by…, q) with an array per group.
 
-    NULL and NaN values are ignored. Groups are counted first: when none
-    exceeds ``gather_limit`` rows the built-in exact aggregate is bounded by
-    that limit and is used as it is.
+    NULL and NaN values are ignored; a group without any other gives NULL.
     """
     by, probs = list(by), [float(p) for p in probs]
-    x = F.col(value).cast("double")
     # NaN to NULL, which aggregates skip; a filter would repeat a long expression in the scan
-    base = df.select(*by, F.nanvl(x, F.lit(None)).alias(_X))
-    counts = base.groupBy(*by).agg(F.count(_X).alias("inside"))
-    if (counts.agg(F.max("inside")).first()[0] or 0) <= gather_limit:
-        return base.groupBy(*by).agg(F.percentile(_X, F.array(*[F.lit(p) for p in probs])).alias("q"))
-    return _narrowed_quantiles(base, counts, probs, by, gather_limit, accuracy, grid)
-
-
-def _narrowed_quantiles(base: DataFrame, counts: DataFrame, probs: list[float], by: list[str],
-                        gather_limit: int, accuracy: int, grid: int) -> DataFrame:
-    sizes = settle(counts.where("inside > 0"))
-    brackets = settle(sizes.frame.select(
-        *by, F.lit(0).alias("b"), F.lit(-math.inf).alias("lo"), F.lit(math.inf).alias("hi"),
-        F.lit(0).cast("bigint").alias("below"), "inside"))
-    spread = sizes.frame.select(
-        *by, "inside", F.posexplode(F.array(*[F.lit(p) for p in probs])).alias("i", "prob"))
-    place = F.col("prob") * (F.col("inside") - 1)
-    targets = settle(spread.select(
-        *by, F.lit(0).alias("b"), "i", F.floor(place).alias("k0"), F.ceil(place).alias("k1"),
-        place.alias("place")))
-
-    widest = _widest(brackets)
-    while widest > gather_limit:
-        brackets, targets = _narrow(base, brackets, targets, by, accuracy, grid)
-        shrunk = _widest(brackets)
-        if shrunk > 0.9 * widest:
-            break  # the rest is mostly ties, which collapse to few distinct values
-        widest = shrunk
-
-    counted = (
-        _explode_per_group(base, brackets, by, _BRACKET,
-                           lambda e: (F.col(_X) >= e["lo"]) & (F.col(_X) <= e["hi"]))
-        .groupBy(*by, F.col("_e.b").alias("b"), F.col("_e.below").alias("below"), _X)
-        .agg(F.count("*").alias("n"))
-    )
-    upto = F.sum("n").over(Window.partitionBy(*by, "b").orderBy(_X))
-    ranked = counted.withColumn("upto", F.col("below") + upto)
-    picked = _explode_per_group(
-        ranked, targets, by, _TARGET,
-        lambda e: (e["b"] == F.col("b")) & (F.col("upto") > e["k0"])
-        & (F.col("upto") - F.col("n") <= e["k1"]),
-    )
-    per_target = picked.groupBy(*by, *[F.col(f"_e.{c}").alias(c) for c in ("i", "k0", "k1", "place")]).agg(
-        F.min(_X).alias("v0"), F.min(F.when(F.col("upto") > F.col("_e.k1"), F.col(_X))).alias("v1"))
+    x = F.nanvl(F.col(value).cast("double"), F.lit(None))
+    counts = cut_lineage(df.select(*by, x.alias(_X)).groupBy(*by, _X).agg(F.count(_X).alias("n")))
+    known = counts.where(F.col(_X).isNotNull())
+    steps = [j / (grid * grid) for j in range(1, grid * grid + 1)]
+    sketch = known.groupBy(*by).agg(
+        F.percentile_approx(_X, steps, accuracy).alias("marks"), F.sum("n").alias("total"))
+    place = lambda p: F.lit(p) * (F.col("total") - 1)
+    targets = F.array(*[F.struct(
+        F.lit(i).alias("i"), F.floor(place(p)).alias("k0"), F.ceil(place(p)).alias("k1"), place(p).alias("place"))
+        for i, p in enumerate(probs)])
+    sketch = cut_lineage(sketch.withColumn("targets", targets))
+    binned = _with_group(known, sketch.select(*by, "marks"), by).withColumn("bin", _bin(F.col("marks"), grid)).drop("marks")
+    bins = binned.groupBy(*by, "bin").agg(F.sum("n").alias("size"))
+    upto = F.sum("size").over(Window.partitionBy(*by).orderBy("bin"))
+    placed = _with_group(bins.withColumn("before", upto - F.col("size")), sketch.select(*by, "targets"), by)
+    wanted = F.filter("targets", lambda t: _inside(t["k0"]) | _inside(t["k1"]))
+    wanted = placed.withColumn("wanted", wanted).where("size(wanted) > 0").select(*by, "bin", "before", "wanted")
+    rows = _with_group(binned, wanted, [*by, "bin"])
+    last = F.col("before") + F.sum("n").over(Window.partitionBy(*by, "bin").orderBy(_X))
+    picked = rows.withColumn("upto", last).withColumn("_e", F.explode(F.filter(
+        "wanted", lambda t: _here(t["k0"]) | _here(t["k1"]))))
+    at = lambda k: F.max(F.when(_here(F.col(k)), F.col(_X)))
+    each = picked.groupBy(*by, *[F.col(f"_e.{c}").alias(c) for c in ("i", "k0", "k1", "place")]).agg(
+        at("_e.k0").alias("v0"), at("_e.k1").alias("v1"))
     between = (F.col("k1") - F.col("place")) * F.col("v0") + (F.col("place") - F.col("k0")) * F.col("v1")
-    value = F.when(F.col("k0") == F.col("k1"), F.col("v0")).otherwise(between)
+    value_at = F.when(F.col("k0") == F.col("k1"), F.col("v0")).otherwise(between)
     # one short array per group: as many entries as probabilities
-    return per_target.groupBy(*by).agg(
-        F.array_sort(F.collect_list(F.struct("i", value.alias("v"))))["v"].alias("q"))
+    arrays = each.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("i", value_at.alias("v"))))["v"].alias("q"))
+    if not by:
+        return arrays.select(F.when(F.size("q") > 0, F.col("q")).alias("q"))
+    groups = counts.select(*by).distinct()
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
+    return groups.alias("l").join(arrays.alias("r"), same, "left").select(*[f"l.{c}" for c in by], "r.q")
 
 
-def _widest(brackets: Settled) -> int:
-    """Rows in the largest bracket that still spans more than one value."""
-    row = brackets.frame.where("lo < hi").agg(F.max("inside").alias("m")).first()
-    return row["m"] or 0
+def _inside(k: Column) -> Column:
+    """Whether a bin (before, size) holds the k-th value."""
+    return (k >= F.col("before")) & (k < F.col("before") + F.col("size"))
+
+
+def _here(k: Column) -> Column:
+    """Whether a distinct value (upto, n) is the k-th."""
+    return (k < F.col("upto")) & (k >= F.col("upto") - F.col("n"))
+
+
+def _with_group(df: DataFrame, side: DataFrame, by: list[str]) -> DataFrame:
+    """Inner join on group columns, NULL being a group; without any, ``side`` is one row."""
+    if not by:
+        one = F.lit(0).alias("_one")  # the side is a single row of bounded size
+        return df.select("*", one).join(F.broadcast(side.select("*", one)), "_one").drop("_one")
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
+    return df.alias("l").join(side.alias("r"), same).select("l.*", *[f"r.{c}" for c in side.columns if c not in by])
 
 
 def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),

@@ -2,8 +2,8 @@
 
 The order of ``md5(key:seed)`` is the shuffle: any engine, any partitioning
 and any recomputed task gives the same rows. "The n lowest hashes" is found by
-counting hash prefixes and looking inside one prefix bucket per group, so the
-final pass only compares each row with a cut; no group is sorted in one task.
+counting bins of leading hash bits, about sqrt(rows) of them a group, and
+ranking the rows of one bin; the final pass only compares each row with a cut.
 """
 
 from __future__ import annotations
@@ -14,11 +14,11 @@ from typing import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.operators.skew import Settled, lookup_join, settle
+from larkspur.operators.ranks import leading_bits, root_bits
+from larkspur.operators.skew import lookup_join
+from larkspur.session import cut_lineage
 
 SEED = 42
-FIRST_DIGITS, NEXT_DIGITS = 2, 4
-EDGE_LIMIT = 1_000_000
 _H = "_hash"
 
 
@@ -34,67 +34,38 @@ def hash_percent(key: str, seed: int = SEED) -> Column:
 Quotas = Callable[[DataFrame], DataFrame]
 
 
-def _edges(sizes: DataFrame, by: list[str]) -> Settled:
-    """Per group the prefix bucket that holds the ``take``-th lowest hash.
-
-    ``sizes`` has (by…, bucket, n, take). Returns (by…, edge, inside, need):
-    rows in the bucket, and how many of them to take.
-    """
-    group = Window.partitionBy(*by)
-    placed = sizes.withColumns({
-        "upto": F.sum("n").over(group.orderBy("bucket")),
-        "reach": F.least("take", F.sum("n").over(group))})
-    return settle(
-        placed.where("reach > 0 and upto >= reach and upto - n < reach")
-        .select(*by, F.col("bucket").alias("edge"), F.col("n").alias("inside"),
-                (F.col("reach") - F.col("upto") + F.col("n")).alias("need")))
-
-
-def _with_group_values(df: DataFrame, side: Settled, by: list[str], names: list[str], how: str) -> DataFrame:
-    """Bring per-group values to the rows; one group means plain constants."""
+def _with_group_values(df: DataFrame, side: DataFrame, by: list[str], how: str) -> DataFrame:
+    """Bring per-group values to the rows; without groups ``side`` has one row or none."""
     if by:
         return lookup_join(df, side, by, how)
-    row = side.rows[0]
-    return df.withColumns({n: F.lit(row[n]) for n in names})
+    one = F.lit(0).alias("_one")
+    return df.select("*", one).join(F.broadcast(side.select("*", one)), "_one", how).drop("_one")
 
 
 def flag_lowest(df: DataFrame, key: str, quotas: Quotas, by: Sequence[str] = (), seed: int = SEED,
-                name: str = "is_taken", edge_limit: int = EDGE_LIMIT) -> DataFrame:
+                name: str = "is_taken") -> DataFrame:
     """Mark, per group, the ``take`` rows with the lowest seeded hash.
 
     ``quotas`` turns the group sizes (by…, n) into (by…, take). ``key`` must
-    be unique. Groups without a quota are marked false.
-
-    Passes: counts per hash prefix; again inside one bucket per group while a
-    bucket exceeds ``edge_limit`` rows; the rows of that bucket; and the
-    comparison of every row with its group's cut.
+    be unique. Groups without a quota are marked false. ``df`` is read twice:
+    once for its keys and hashes, once for the marks.
     """
     by = list(by)
-    hashed = df.select(*by, F.col(key).alias("_key"), seeded_hash(key, seed).alias(_H))
-    depth = FIRST_DIGITS
-    sizes = settle(
-        hashed.groupBy(*by, F.substring(_H, 1, depth).alias("bucket")).agg(F.count("*").alias("n"))).frame
-    wanted = settle(quotas(sizes.groupBy(*by).agg(F.sum("n").alias("n"))).select(*by, "take"))
-    if not by and not wanted.rows:
-        return df.withColumn(name, F.lit(False))
-    edge = _edges(_with_group_values(sizes, wanted, by, ["take"], "inner"), by)
-    while True:
-        if not by and not edge.rows:
-            return df.withColumn(name, F.lit(False))
-        at_edge = _with_group_values(hashed, edge, by, ["edge", "inside", "need"], "inner").where(
-            F.substring(_H, 1, depth) == F.col("edge"))
-        if (edge.frame.agg(F.max("inside")).first()[0] or 0) <= edge_limit or depth >= 32:
-            break
-        depth += NEXT_DIGITS
-        finer = at_edge.groupBy(*by, F.substring(_H, 1, depth).alias("bucket"), F.col("need").alias("take")).agg(
-            F.count("*").alias("n"))
-        edge = _edges(finer, by)
+    hashed = cut_lineage(df.select(*by, F.col(key).alias("_key"), seeded_hash(key, seed).alias(_H)))
+    sizes = hashed.groupBy(*by).agg(F.count("*").alias("n"))
+    takes = quotas(sizes).where("take > 0").select(*by, F.least("take", "n").alias("take"), root_bits(F.col("n")).alias("bits"))
+    placed = _with_group_values(hashed, cut_lineage(takes), by, "inner").withColumn("bin", leading_bits(F.col(_H), F.col("bits")))
+    bins = placed.groupBy(*by, "bin", "take").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy(*by).orderBy("bin"))
+    edge = bins.withColumn("upto", upto).where("upto >= take and upto - n < take").select(
+        *by, F.col("bin").alias("edge"), (F.col("take") - F.col("upto") + F.col("n")).alias("need"))
+    at_edge = _with_group_values(placed, edge, by, "inner").where("bin = edge")
     place = F.row_number().over(Window.partitionBy(*by).orderBy(_H, "_key"))
-    cuts = settle(
+    cuts = cut_lineage(
         at_edge.withColumn("place", place).where(F.col("place") == F.col("need"))
         .select(*by, F.col(_H).alias("cut_hash"), F.col("_key").alias("cut_key")))
     mine = seeded_hash(key, seed)
-    joined = _with_group_values(df, cuts, by, ["cut_hash", "cut_key"], "left")
+    joined = _with_group_values(df, cuts, by, "left")
     taken = (mine < F.col("cut_hash")) | ((mine == F.col("cut_hash")) & (F.col(key) <= F.col("cut_key")))
     return joined.withColumn(name, F.coalesce(taken, F.lit(False))).select(*df.columns, name)
 

@@ -1,69 +1,17 @@
-"""Joins and small tables that hold up when one key owns much of the data.
+"""Per-key values brought back to the rows they belong to.
 
-Per-group results (counts, cuts, dictionaries) have to be brought back to the
-rows they came from. ``settle`` measures such a table first. Within the bound
-it becomes a local relation that is safe to broadcast, so the large side does
-not move. Beyond the bound it is checkpointed and joined with salted keys, so
-that a hot key spreads over ``salts`` tasks.
+There is one plan for every size. Catalyst broadcasts the smaller side when its
+measured size allows; otherwise adaptive execution splits the partitions that a
+hot key makes large (inner, left, semi and anti joins), whatever the rows hold.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import cached_property
-from typing import Any
+from typing import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from larkspur.session import cut_lineage
 
-MAX_ROWS = 100_000
-MAX_BYTES = 32 * 1024 * 1024
-SALTS = 32
-
-
-@dataclass(frozen=True)
-class Settled:
-    """A table computed once; ``local`` when it fits the bound."""
-
-    frame: DataFrame
-    local: bool
-
-    @cached_property
-    def rows(self) -> list[dict[str, Any]]:
-        """The rows of a local table, or of one small by construction."""
-        return [r.asDict() for r in self.frame.collect()]
-
-
-def settle(df: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> Settled:
-    """Compute ``df`` once: a local relation within the bound, else a checkpoint."""
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows <= max_rows and head.nbytes <= max_bytes:
-        local = df.sparkSession.createDataFrame(head, df.schema)
-        return Settled(local, True)
-    return Settled(cut_lineage(df), False)
-
-
-def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
-                salts: int = SALTS) -> DataFrame:
-    """Equi-join whose hot keys spread over ``salts`` partitions.
-
-    Every salt holds all rows of ``small``, so inner, left, semi and anti
-    joins give exactly the unsalted result. The salt is a hash of the row, so
-    a recomputed partition gets the same salts.
-    """
-    salt = "_salt"
-    hashed = [F.col(c) for c in big.columns]
-    left = big.withColumn(salt, F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
-    right = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*on, salt], how).drop(salt)
-
-
-def lookup_join(big: DataFrame, small: DataFrame | Settled, on: list[str], how: str = "left",
-                max_rows: int = MAX_ROWS, salts: int = SALTS) -> DataFrame:
-    """Join rows to a per-key table: broadcast if it is small, salted if not."""
-    side = small if isinstance(small, Settled) else settle(small, max_rows)
-    if side.local:
-        return big.join(F.broadcast(side.frame), on, how)
-    return salted_join(big, side.frame, on, how, salts)
+def lookup_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join rows to a table with one row per key."""
+    return big.join(small, list(on), how)

@@ -5,14 +5,13 @@ from __future__ import annotations
 from statistics import NormalDist
 from typing import Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.operators.cleaning import unpivot
 from larkspur.operators.quantiles import quantile_columns, quantile_values, quantiles
 from larkspur.operators.skew import lookup_join
+from larkspur.session import cut_lineage
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -71,16 +70,25 @@ def pearson_pairs(df: DataFrame, features: Sequence[str], targets: Sequence[str]
 
 
 def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Correlation of every ordered pair, in long form; constant columns give NULL.
+    """Correlation of every ordered pair over the rows where both are known, in long form.
 
-    One pass of matrix sums over the executors; only the k x k result, for
-    the listed columns, is read back. The columns must be free of NULL.
+    Constant columns give NULL. Each column's row of the matrix is one global
+    aggregate over a stored projection, so partial sums move, never rows.
     """
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="_v").transform(df)
-    matrix = Correlation.corr(vectors.select("_v"), "_v").first()[0].toArray()
-    cells = [(a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
-    tall = df.sparkSession.createDataFrame(cells, "x string, y string, r double")
-    return tall.withColumn("r", F.when(~F.isnan("r"), F.col("r")))
+    n = len(columns)
+    names = F.array(*[F.lit(c) for c in columns])
+    wide = cut_lineage(df.select(*[F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(columns)]))
+    # one aggregate call a column keeps the generated code short
+    rows = []
+    for i in range(n):
+        sums = wide.agg(*[pearson(F.col(f"_c{i}"), F.col(f"_c{j}")).alias(f"r{j}") for j in range(i, n)])
+        rows.append(sums.select(F.lit(i).alias("i"), F.posexplode(F.array(*[F.col(f"r{j}") for j in range(i, n)])).alias("j", "r")))
+    half = rows[0]
+    for more in rows[1:]:
+        half = half.unionByName(more)
+    both = half.select("i", (F.col("j") + F.col("i")).alias("j"), "r")
+    both = both.unionByName(both.where("i <> j").select(F.col("j").alias("i"), F.col("i").alias("j"), "r"))
+    return both.select(F.get(names, F.col("i")).alias("x"), F.get(names, F.col("j")).alias("y"), "r")
 
 
 def pivot_mean(df: DataFrame, row: str, column: str, values: Sequence[str], measure: str) -> DataFrame:

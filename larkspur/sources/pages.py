@@ -37,8 +37,8 @@ def visible_text(html: Column) -> Column:
 
 
 def repeated_items(df: DataFrame, html: str, pattern: str, names: list[str], keys: list[str]) -> DataFrame:
-    """One row per match of ``pattern``, one column per group."""
+    """One row per match of ``pattern``, one column per group; a page without any keeps one row, its item NULL."""
     groups = [F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(i + 1)).alias(n)
               for i, n in enumerate(names)]
-    zipped = df.select(*keys, *groups).select(*keys, F.posexplode(F.arrays_zip(*names)).alias("item_no", "_item"))
+    zipped = df.select(*keys, *groups).select(*keys, F.posexplode_outer(F.arrays_zip(*names)).alias("item_no", "_item"))
     return zipped.select(*keys, "item_no", *[F.col(f"_item.{n}").alias(n) for n in names])

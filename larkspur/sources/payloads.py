@@ -48,7 +48,7 @@ def lat_lon(coordinates: Column) -> Column:
     return F.struct(F.get(coordinates, F.lit(1)).alias("lat"), F.get(coordinates, F.lit(0)).alias("lon"))
 
 
-def leading_features(df: DataFrame, features: str, keys: Sequence[str], n: int = 6) -> DataFrame:
+def leading_features(df: DataFrame, features: str, keys: Sequence[str], n: int) -> DataFrame:
     """The first n elements of an array, one row each, with their position."""
     return df.select(*keys, F.posexplode(F.slice(F.col(features), 1, n)).alias("pos", "feature"))
 

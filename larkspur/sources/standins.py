@@ -173,17 +173,22 @@ from orders group by 1
 
 
 def calendar(events: DataFrame) -> DataFrame:
-    day = F.to_date("ts")
+    """Late windows of three hours on every day with events, and one across midnight each tenth day."""
+    days = events.select(F.to_date("ts").alias("event_date")).distinct()
     midnight = F.col("event_date").cast("timestamp_ntz")
-    return (
-        events.where(F.dayofmonth("ts").isin(5, 12, 19, 26)).select(day.alias("event_date")).distinct()
-        .select("event_date", (midnight + F.expr("interval 21 hours")).alias("starts"),
-                (midnight + F.expr("interval 24 hours")).alias("ends"), F.lit("NATION_5").alias("venue"))
-    )
+    hours = lambda h: midnight + F.make_dt_interval(F.lit(0), F.lit(h))
+    venue = lambda shift: F.concat(F.lit("NATION_"), ((F.dayofmonth("event_date") + shift) % 25).cast("string"))
+    late = days.select("event_date", hours(21).alias("starts"), hours(24).alias("ends"), venue(0).alias("venue"))
+    night = days.where(F.dayofmonth("event_date") % 10 == 5).select(
+        "event_date", hours(22).alias("starts"), hours(25).alias("ends"), venue(1).alias("venue"))
+    return late.unionByName(night)
 
 
 CALENDAR_SQL = """
+with d as (select distinct cast(ts as date) as event_date from events)
 select event_date, cast(event_date as timestamp) + interval 21 hour as starts,
-  cast(event_date as timestamp) + interval 24 hour as ends, 'NATION_5' as venue
-from (select distinct cast(ts as date) as event_date from events where day(ts) in (5, 12, 19, 26))
+  cast(event_date as timestamp) + interval 24 hour as ends, 'NATION_' || (day(event_date) % 25) as venue from d
+union all select event_date, cast(event_date as timestamp) + interval 22 hour,
+  cast(event_date as timestamp) + interval 25 hour, 'NATION_' || ((day(event_date) + 1) % 25) from d
+where day(event_date) % 10 = 5
 """

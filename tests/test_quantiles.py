@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from larkspur.operators.quantiles import quantile_columns, quantile_values, quantiles
@@ -11,15 +12,30 @@ def wide(spark, n=30_000):
     return spark.range(n).select((F.col("id") % 4).alias("g"), x.alias("x"))
 
 
-def test_narrowing_equals_the_builtin(spark):
+def builtin(df, by=()):
+    p = F.percentile("x", F.array(*[F.lit(p) for p in PROBS])).alias("q")
+    return {tuple(r[c] for c in by): r["q"] for r in df.groupBy(*by).agg(p).collect()}
+
+
+@pytest.mark.parametrize("grid", [2, 5, 32])
+def test_equals_the_builtin(spark, grid):
     df = wide(spark)
-    assert quantile_values(df, "x", PROBS, gather_limit=10_000) == quantile_values(df, "x", PROBS)
+    assert quantile_values(df, "x", PROBS, grid=grid) == builtin(df)[()]
+
+
+@pytest.mark.parametrize("grid", [3, 32])
+def test_per_group_with_a_hot_group_and_a_null_group(spark, grid):
+    df = wide(spark).withColumn("g", F.when(F.col("g") < 2, 0).when(F.col("g") == 2, 1))
+    got = {}
+    for r in quantiles(df, "x", PROBS, ["g"], grid=grid).collect():
+        got.setdefault((r["g"],), {})[r["i"]] = r["quantile"]
+    assert {k: [v[i] for i in range(len(PROBS))] for k, v in got.items()} == builtin(df, ["g"])
 
 
-def test_narrowing_per_group_with_a_hot_group(spark):
-    df = wide(spark).withColumn("g", F.when(F.col("g") < 3, 0).otherwise(1))
-    rows = lambda d: sorted(tuple(r) for r in d.collect())
-    assert rows(quantiles(df, "x", PROBS, ["g"], gather_limit=10_000)) == rows(quantiles(df, "x", PROBS, ["g"]))
+def test_one_value_and_few_values(spark):
+    for values in ([4.0] * 1000, [1.0, 2.0], [1.0] * 99 + [5.0], [float(i % 3) for i in range(50)]):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        assert quantile_values(df, "x", PROBS) == builtin(df)[()]
 
 
 def test_missing_values_are_ignored(spark):

@@ -1,35 +1,40 @@
 import pytest
 from pyspark.sql import functions as F
 
-from larkspur.operators.skew import lookup_join, salted_join, settle
-
-
-@pytest.fixture(scope="module")
-def sides(spark):
-    big = spark.range(3000).select("id", F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 50).alias("k"))
-    small = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    return big, small
-
-
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salting_changes_nothing(sides, how):
-    big, small = sides
-    rows = lambda df: sorted(tuple(r) for r in df.select(sorted(df.columns)).na.fill(-1).collect())
-    plain = rows(big.join(small, ["k"], how))
-    assert rows(salted_join(big, small, ["k"], how, salts=5)) == plain
-    assert rows(lookup_join(big, small, ["k"], how, max_rows=10)) == plain
-    assert rows(lookup_join(big, small, ["k"], how)) == plain
-
-
-def test_a_hot_key_is_spread(sides):
-    big, small = sides
-    joined = big.where("k = 1").withColumn("salt", F.pmod(F.xxhash64("id", "k"), F.lit(32)))
-    assert joined.select("salt").distinct().count() == 32
-
-
-def test_settle_checks_the_size(sides):
-    _, small = sides
-    assert settle(small).local
-    large = settle(small, max_rows=10)
-    assert not large.local and large.frame.count() == 40
-    assert not settle(small, max_bytes=10).local
+from larkspur.operators.ranks import sorted_position
+from larkspur.operators.skew import lookup_join
+
+
+@pytest.fixture
+def small_partitions(spark):
+    """Adaptive execution that regards partitions over a few kB (equal rows compress well) as skewed, and no broadcast."""
+    options = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k"}
+    before = {k: spark.conf.get(k, None) for k in options}
+    for k, v in options.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_a_million_identical_rows_are_split(spark, small_partitions):
+    big = spark.range(1_100_000, numPartitions=16).select(
+        F.when(F.col("id") < 1_000_000, F.lit(7)).otherwise(F.col("id") % 1000).alias("k"), F.lit(2.5).alias("value"))
+    small = spark.range(1000).select(F.col("id").cast("int").alias("k"), F.col("id").alias("v"))
+    for how in ("inner", "left"):
+        joined = lookup_join(big.withColumn("k", F.col("k").cast("int")), small, ["k"], how)
+        hot = joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count_if((F.col("k") == 7) & (F.col("value") == 2.5)).alias("n")).where("n > 0")
+        counts = [r["n"] for r in hot.collect()]
+        assert sum(counts) >= 1_000_000 and len(counts) >= 4 and max(counts) < 500_000, counts
+
+
+def test_positions_over_ranges(spark):
+    df = spark.range(5000, numPartitions=7).select(F.md5(F.col("id").cast("string")).alias("h"))
+    got = sorted_position(df, ["h"]).collect()
+    assert [r["h"] for r in sorted(got, key=lambda r: r["position"])] == sorted(r["h"] for r in got)
+    assert sorted(r["position"] for r in got) == list(range(5000))
+    assert sorted_position(df.where("false"), ["h"]).collect() == []

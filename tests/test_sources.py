@@ -24,7 +24,7 @@ def test_missing_elements_fall_back(spark):
     price = pages.number_of(pages.element_text(C("html"), "strong", "price"), 89.5)
     assert [r[0] for r in df.orderBy("id").select(price).collect()] == [91.25, 89.5]
     items = pages.repeated_items(df, "html", '<a href="([^"]*)">([^<]*)</a>', ["href", "text"], ["id"])
-    assert [tuple(r) for r in items.collect()] == [(1, 0, "/x", "one")]
+    assert [tuple(r) for r in items.collect()] == [(1, 0, "/x", "one"), (2, None, None, None)]
 
 
 def test_empty_match_gives_null(spark):
