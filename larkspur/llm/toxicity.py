@@ -21,8 +21,9 @@ ORDERS = (3, 4, 5)
 TRAIN_ROWS = 16_000
 MIN_TEXTS = 3
 MIN_Z = 3.0
+MAX_SLOTS = 40_000
 PENALTY = 1e-3
-STEPS = 300
+STEPS = 200
 
 #: Letters stay (ASCII ones in lower case), every other ASCII byte is a blank.
 _LETTERS = np.full(256, 32, np.uint8)
@@ -81,8 +82,8 @@ def _logistic(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray) ->
     width = len(ratios)
     sizes = np.array([len(r) for r in rows])
     columns = np.concatenate(rows) if len(rows) else np.zeros(0, np.int32)
-    whose = np.repeat(np.arange(len(rows)), sizes)
-    values = ratios[columns]
+    whose = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
+    values = ratios[columns].astype(np.float32)
     norm = np.bincount(whose, values * values, len(rows))
     rate = 1.0 / (0.25 * (np.mean(norm) + 1.0) + PENALTY)
     weight = np.where(labels == 1, 0.5 / max(labels.mean(), 1e-9), 0.5 / max(1 - labels.mean(), 1e-9)) ** 0.5
@@ -105,6 +106,8 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         label_id_col: str = "doc_id", label_col: str = "toxic", train_rows: int = TRAIN_ROWS) -> Model:
     """A model from at most ``train_rows`` labelled texts, those of the least hashed ids.
 
+    It keeps the ``MAX_SLOTS`` features whose shares differ most between the classes.
+
     Ids with several labels are toxic if any label is; null ids, labels and
     texts are not learned from. Without both classes every score is the share
     of toxic labels (0.5 without any). The sample's ids are broadcast: their
@@ -127,7 +130,8 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("off"))
     share = (F.col("on") + F.col("off")) / F.lit(n0 + n1)
     z = F.abs(F.col("on") / n1 - F.col("off") / n0) / F.sqrt(share * (1.0000001 - share) * F.lit(1 / n0 + 1 / n1))
-    kept: pd.DataFrame = counts.where((F.col("on") + F.col("off") >= MIN_TEXTS) & (z >= MIN_Z)).toPandas().sort_values("slot")
+    kept: pd.DataFrame = counts.where((F.col("on") + F.col("off") >= MIN_TEXTS) & (z >= MIN_Z)) \
+        .orderBy(F.desc(z), "slot").limit(MAX_SLOTS).toPandas().sort_values("slot")
     ratios = np.log((kept["on"].to_numpy(float) + 1) / (n1 + 2)) - np.log((kept["off"].to_numpy(float) + 1) / (n0 + 2))
     slots = kept["slot"].to_numpy(np.int32)
     place = np.full(1 << SLOTS_LOG2, -1, np.int32)
