@@ -125,7 +125,7 @@ def averaged_report(t, predictions, label):
         "f1_macro double")
 
 
-@query()
+@query(name="ols_full")
 def ols(t: Tables):
     train, test = parts(house_table(t), "block_id", HOUSE, "MedHouseVal")
     fit = linear.fit_ols(train, HOUSE, "MedHouseVal")
@@ -134,14 +134,14 @@ def ols(t: Tables):
     return out.join(p, "feature")
 
 
-@query()
+@query(name="ridge_full")
 def ridge(t: Tables):
     train, test = parts(house_table(t), "block_id", HOUSE, "MedHouseVal")
     fit = linear.fit_ridge(train, HOUSE, "MedHouseVal")
     return regression_report(t, fit, test, "MedHouseVal", fit.coefficients())
 
 
-@query()
+@query(name="lasso_full")
 def lasso(t: Tables):
     train, test = parts(house_table(t), "block_id", HOUSE, "MedHouseVal")
     fit = linear.fit_lasso(train, HOUSE, "MedHouseVal", 0.01)
@@ -150,14 +150,14 @@ def lasso(t: Tables):
         "is_selected", F.col("feature").isin(list(kept)))
 
 
-@query()
+@query(name="tree_regressor_full")
 def tree_regressor(t: Tables):
     train, test = parts(fare_table(t), "ride_id", FARE, "fare", scaled=False)
     fit = trees.fit_tree_regressor(train, FARE, "fare")
     return regression_report(t, fit, test, "fare", trees.importances(fit), "importance")
 
 
-@query()
+@query(name="poly_ridge_full")
 def poly_ridge(t: Tables):
     columns = [c for c in housing_plan.POLY_CANDIDATES if c in HOUSE][:5]
     train, test = parts(house_table(t), "block_id", columns, "MedHouseVal", scaled=False)
@@ -165,28 +165,28 @@ def poly_ridge(t: Tables):
     return regression_report(t, fit, test, "MedHouseVal", fit.coefficients())
 
 
-@query()
+@query(name="linear_regression_plain_full")
 def linear_regression_plain(t: Tables):
     train, test = parts(fare_table(t), "ride_id", FARE, "fare", scaled=False)
     fit = linear.fit_plain(train, FARE, "fare")
     return regression_report(t, fit, test, "fare", fit.coefficients())
 
 
-@query()
+@query(name="forest_regressor_full")
 def forest_regressor(t: Tables):
     train, test = parts(house_table(t), "block_id", HOUSE, "MedHouseVal", scaled=False)
     fit = trees.fit_forest_regressor(train, HOUSE, "MedHouseVal", trees=50, depth=20)
     return regression_report(t, fit, test, "MedHouseVal", trees.importances(fit), "importance")
 
 
-@query()
+@query(name="boosted_regressor_full")
 def boosted_regressor(t: Tables):
     train, test = parts(fare_table(t), "ride_id", FARE, "fare", scaled=False)
     fit = trees.fit_boosted_regressor(train, FARE, "fare")
     return regression_report(t, fit, test, "fare", trees.importances(fit), "importance")
 
 
-@query()
+@query(name="logistic_full")
 def logistic(t: Tables):
     train, test = parts(house_table(t), "block_id", HOUSE, "is_high_value", stratify=True)
     fit = linear.fit_logistic(train, HOUSE, "is_high_value")
@@ -195,16 +195,16 @@ def logistic(t: Tables):
                             "direction": F.when(F.col("coefficient") > 0, "up").otherwise("down")})
 
 
-@query()
+@query(name="logistic_multiclass_full")
 def logistic_multiclass(t: Tables):
     columns = experiment.TIER_FEATURES
-    table = experiment.tier_table(ride_table(t), "ride_id").select("ride_id", "tier", *columns)
+    table = experiment.tiers(ride_table(t)).select("ride_id", "tier", *columns)
     train, test = parts(table, "ride_id", columns, "tier", stratify=True)
     fit = linear.fit_logistic(train, columns, "tier", multiclass=True)
     return averaged_report(t, fit.transform(test), "tier")
 
 
-@query()
+@query(name="tree_classifier_full")
 def tree_classifier(t: Tables):
     train, test = parts(flight_table(t), "flight_id", FLIGHT, "is_delayed", scaled=False, stratify=True)
     fit = trees.fit_tree_classifier(train, FLIGHT, "is_delayed", depth=20)
@@ -230,7 +230,7 @@ def gaussian_nb(t: Tables):
         "ride_id", "name", "prediction", F.try_element_at(F.create_map(*pairs), C("prediction")).alias("prior"))
 
 
-@query()
+@query(name="lda_classifier_full")
 def lda_classifier(t: Tables):
     train, test = parts(vector_table(t), "vec_id", VECTOR, "label", stratify=True)
     fit = Discriminant.fit(train, VECTOR, "label")
@@ -256,10 +256,10 @@ def lda_pooled_covariance(t: Tables):
     return t.spark.createDataFrame(cells, "x string, y string, covariance double")
 
 
-@query()
+@query(name="perceptron_full")
 def perceptron(t: Tables):
     train, test = parts(vector_table(t), "vec_id", VECTOR, "label", stratify=True)
-    fit = Perceptron.fit(train, VECTOR, "label", "vec_id", classes=10)
+    fit = Perceptron.fit(train, VECTOR, "label", "vec_id", partitions=8, classes=10)
     return averaged_report(t, fit.transform(test), "label")
 
 
@@ -269,7 +269,7 @@ def balanced_weights(t: Tables):
     return t.priced.select("ride_id", trees.balanced_weight(t.priced, "name").alias("weight"))
 
 
-@query()
+@query(name="forest_classifier_full")
 def forest_classifier(t: Tables):
     train, test = parts(vector_table(t), "vec_id", VECTOR, "label", scaled=False, stratify=True)
     weighted = train.withColumn("weight", trees.balanced_weight(train, "label"))
@@ -277,14 +277,14 @@ def forest_classifier(t: Tables):
     return averaged_report(t, fit.transform(test), "label")
 
 
-@query()
+@query(name="boosted_classifier_full")
 def boosted_classifier(t: Tables):
     train, test = parts(house_table(t), "block_id", HOUSE, "is_high_value", scaled=False, stratify=True)
     fit = trees.fit_boosted_classifier(train, HOUSE, "is_high_value")
     return binary_report(t, fit, test, "is_high_value", trees.importances(fit), "importance")
 
 
-@query()
+@query(name="importance_report_full")
 def importance_report(t: Tables):
     from larkspur import fixed_values as fv
     train, _ = parts(house_table(t), "block_id", HOUSE, "MedHouseVal", scaled=False)
@@ -292,7 +292,7 @@ def importance_report(t: Tables):
     return grid.importance_report(t.spark, trees.importances(fit), fv.GEO_ENRICHMENT)
 
 
-@query()
+@query(name="model_grid_full")
 def model_grid(t: Tables):
     """Ten models on housing blocks, base and enriched."""
     return housing_plan.run_models(house_table(t), "block_id")

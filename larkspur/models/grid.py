@@ -52,13 +52,13 @@ def regressors(poly: Sequence[str] | None = None, alpha: float = 0.1) -> dict[st
     }
 
 
-def classifiers(key: str) -> dict[str, Model]:
-    """The five classifiers."""
+def classifiers(key: str, partitions: int = 8) -> dict[str, Model]:
+    """The five classifiers; ``partitions`` are the perceptron's mixing parts, which its weights depend on."""
     return {
         "Logistic Reg": Model(linear.fit_logistic),
         "Decision Tree": Model(trees.fit_tree_classifier, scaled=False),
         "Naive Bayes": Model(GaussianBayes.fit), "LDA": Model(Discriminant.fit),
-        "Perceptron": Model(lambda t, f, y: Perceptron.fit(t, f, y, key)),
+        "Perceptron": Model(lambda t, f, y: Perceptron.fit(t, f, y, key, partitions)),
     }
 
 

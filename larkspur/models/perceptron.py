@@ -71,18 +71,17 @@ class Perceptron:
     classes: int
 
     @staticmethod
-    def fit(train: DataFrame, features: Sequence[str], label: str, key: str, classes: int = 2,
-            max_iter: int = 1000, tolerance: float = 1e-3, patience: int = 5,
-            partitions: int | None = None) -> "Perceptron":
-        """Stop when the mistake rate has not improved by ``tolerance`` for
+    def fit(train: DataFrame, features: Sequence[str], label: str, key: str, partitions: int, classes: int = 2,
+            max_iter: int = 1000, tolerance: float = 1e-3, patience: int = 5) -> "Perceptron":
+        """``partitions`` parts are mixed in every epoch; the weights depend on
+        their number, so it is given and not left to the cluster. Stop when the mistake rate has not improved by ``tolerance`` for
         ``patience`` epochs. Labels are 0 … classes - 1; more than two classes
         are learnt one against the rest in the same pass."""
         order = seeded_hash(key)
         ready = train.select(
             F.array(*[F.col(f).cast("double") for f in features]).alias("x"),
             F.col(label).cast("int").alias("y"), order.alias("h"))
-        spread = ready.repartition("h") if partitions is None else ready.repartition(partitions, "h")
-        ordered = spread.sortWithinPartitions("h").select("x", "y")
+        ordered = ready.repartition(partitions, "h").sortWithinPartitions("h").select("x", "y")
         rows = cut_lineage(ordered).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             weights = np.zeros((classes if classes > 2 else 1, len(features) + 1))

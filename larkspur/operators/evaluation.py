@@ -21,8 +21,9 @@ def _ratio(top: Column, bottom: Column) -> Column:
 
 
 def regression_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
+    """Metrics over the rows that have both a label and a prediction."""
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
-    sums = df.groupBy(*by).agg(
+    sums = df.where(y.isNotNull() & p.isNotNull()).groupBy(*by).agg(
         F.count("*").alias("n"), F.avg((y - p) * (y - p)).alias("mse"),
         F.avg(F.abs(y - p)).alias("mae"), F.var_pop(y).alias("_v"))
     return sums.select(

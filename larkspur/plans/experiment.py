@@ -8,20 +8,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur import fixed_values as fv
-from larkspur.models import grid
+from larkspur.models import grid, linear
+from larkspur.models.perceptron import Perceptron
 from larkspur.operators import cleaning, evaluation, joins, ordering, sampling
 from larkspur.plans import rides
+from larkspur.plans.trainers import score_weighted
 
 C = F.col
+SURGE_FEATURES = [c.replace("_enc", "_encoded") for c in fv.SURGE_FEATURES]
+SERVICE_FEATURES = [c.replace("_enc", "_encoded") for c in fv.SERVICE_FEATURES]
 TIME = ["hour", "hour_sin", "hour_cos", "day_of_week", "is_weekend", "is_rush_hour", "is_night"]
 WEATHER = ["temperature", "humidity", "windSpeed", "precipIntensity", "visibility", "pressure", "cloudCover",
            "windGust", "is_rainy", "is_cold", "wind_chill", "low_visibility"]
 PLACE = ["distance", "short_ride", "long_ride", "cab_type_encoded", "source_encoded", "destination_encoded"]
-
-SURGE_FEATURES = TIME + ["is_morning_rush", "is_evening_rush"] + WEATHER + [
-    "precipProbability", "dewPoint", "high_precip_prob", "low_pressure", "high_wind", "overcast",
-    "severe_weather", "rain_rush", "cold_night", "rain_night", "bad_weather_rush"] + PLACE
-SERVICE_FEATURES = [c for c in TIME + WEATHER + PLACE if c != "cab_type_encoded"]
 PLATFORM_FEATURES = [c for c in TIME + WEATHER + ["severe_weather", "rain_rush", "overcast"] + PLACE
                      if c != "cab_type_encoded"]
 TIER_FEATURES = TIME + WEATHER + PLACE + ["distance_surge", "surge_multiplier", "rain_rush", "name_encoded"]
@@ -36,7 +35,8 @@ def enrichment_sets(regression: bool) -> dict[str, list[str]]:
 
 def surge_study(table: DataFrame, key: str) -> DataFrame:
     """Can surge be told from time, weather and place?"""
-    labelled = table.withColumn("is_surging", (C("surge_multiplier") > 1).cast("int"))
+    labelled = table.withColumns({
+        "is_surging": (C("surge_multiplier") > 1).cast("int"), "is_late_night": C("hour").between(0, 3).cast("int")})
     return grid.run_grid(sampling.split_stratified(labelled, key, "is_surging"), {"all": SURGE_FEATURES},
                          "is_surging", grid.classifiers(key), grid.score_binary, grid.CLF_METRICS)
 
@@ -50,7 +50,8 @@ def platform_study(table: DataFrame, key: str, platform: str) -> DataFrame:
 def within_service(table: DataFrame, key: str, services: Sequence[str]) -> DataFrame:
     """Price inside one service, with and without the surge columns."""
     sets = {"without surge": SERVICE_FEATURES,
-            "with surge": SERVICE_FEATURES + ["surge_multiplier", "distance_surge"]}
+            "with surge": SERVICE_FEATURES + ["surge_multiplier"]}
+    table = table.withColumn("distance_sq", C("distance") * C("distance"))
     out = None
     for service in services:
         part = cleaning.segment_filter(table, "name", [service])
@@ -61,9 +62,18 @@ def within_service(table: DataFrame, key: str, services: Sequence[str]) -> DataF
     return out
 
 
-def tier_table(table: DataFrame, key: str) -> DataFrame:
-    """Four price classes cut at the quartiles, split by class."""
-    return sampling.split_stratified(ordering.quantile_tiers(table, "price"), key, "tier")
+def tiers(table: DataFrame) -> DataFrame:
+    """Four price classes cut at the quartiles."""
+    return ordering.quantile_tiers(table, "price")
+
+
+def tier_study(table: DataFrame, key: str, partitions: int = 8) -> DataFrame:
+    """Five classifiers on the four price classes, scored by class size."""
+    models = grid.classifiers(key) | {
+        "Logistic Reg": grid.Model(lambda t, f, y: linear.fit_logistic(t, f, y, multiclass=True)),
+        "Perceptron": grid.Model(lambda t, f, y: Perceptron.fit(t, f, y, key, partitions, classes=4))}
+    split = sampling.split_stratified(tiers(table), key, "tier")
+    return grid.run_grid(split, {"all": TIER_FEATURES}, "tier", models, score_weighted, grid.CLF_METRICS)
 
 
 def enrichment_study(table: DataFrame, key: str, regression: bool = True) -> DataFrame:
