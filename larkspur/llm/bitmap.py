@@ -18,17 +18,18 @@ def slot(hashed: Column) -> Column:
     return F.shiftrightunsigned(hashed, 42)
 
 
-def build(df: DataFrame, column: str) -> np.ndarray:
-    """``BITS / 64`` words; bit ``h >>> 42`` is set for each non-null hash."""
+def words(df: DataFrame, column: str) -> DataFrame:
+    """(word, bits): bit ``h >>> 42`` is set for each non-null hash; at most ``BITS / 64`` rows."""
     at = df.where(F.col(column).isNotNull()).select(slot(F.col(column)).alias("_at"))
-    bits = (
-        at.groupBy(F.shiftright("_at", 6).alias("_word"))
-        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_at") % 64).cast("int"))).alias("_bits"))
-        .collect()
-    )
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("_at") % 64).cast("int"))
+    return at.groupBy(F.shiftright("_at", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+
+
+def build(df: DataFrame, column: str) -> np.ndarray:
+    """The bitmap as an array, for use in tasks."""
     out = np.zeros(BITS // 64, np.int64)
-    for row in bits:
-        out[row["_word"]] = row["_bits"]
+    for row in words(df, column).collect():
+        out[row["word"]] = row["bits"]
     return out.view(np.uint64)
 
 
@@ -37,8 +38,12 @@ def contains(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
 
 
-def contains_column(bits: np.ndarray, hashed: Column) -> Column:
-    """The same test as an expression; the bitmap is one binary literal of the plan."""
-    at = slot(hashed)
-    byte = F.substring(F.lit(bits.tobytes()), F.shiftright(at, 3).cast("int") + 1, F.lit(1))
-    return F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (at % 8).cast("int")) == 1
+def mark(rows: DataFrame, column: str, bitmap: DataFrame, name: str) -> DataFrame:
+    """``rows`` with ``name``: whether the hash may be in the bitmap, given as :func:`words`.
+
+    The broadcast side has at most ``BITS / 64`` rows of 16 bytes.
+    """
+    at = slot(F.col(column))
+    met = rows.withColumn("_word", F.shiftright(at, 6)).join(
+        F.broadcast(bitmap.select(F.col("word").alias("_word"), F.col("bits").alias("_bits"))), "_word", "left")
+    return met.withColumn(name, F.getbit(F.coalesce("_bits", F.lit(0)), (at % 64).cast("int")) == 1).drop("_word", "_bits")

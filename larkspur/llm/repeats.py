@@ -335,11 +335,11 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, seed: int | None
     text = F.col(text_col).cast("string")
     rows = documents.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
     spans = cut_lineage(repeated_spans(documents, length, seed, id_col, text_col)).dropDuplicates(["id", "key"])
-    may = bitmap.contains_column(bitmap.build(spans, "key"), F.col("key"))
-    met = rows.where(may).alias("l").join(
+    rows = bitmap.mark(rows, "key", bitmap.words(spans, "key"), "may")
+    met = rows.where("may").alias("l").join(
         spans.alias("r"), F.col("l.id").eqNullSafe(F.col("r.id")) & (F.col("l.key") == F.col("r.key")), "left"
     ).select("l.id", "l.key", "l.text", "r.starts", "r.ends")
     none = F.lit(None).cast("array<int>")
-    alone = rows.where(~may).select("id", "key", "text", none.alias("starts"), none.alias("ends"))
+    alone = rows.where("not may").select("id", "key", "text", none.alias("starts"), none.alias("ends"))
     return met.unionByName(alone).mapInArrow(
         _cut(with_text), "id long, n_words long, n_removed long, kept string, kept_sha256 string")
