@@ -155,9 +155,7 @@ def valid_strata_semi(t: Tables):
 
 @query("select ride_id, stratum from strata where ride_id not in (select ride_id from sampled)", "strata sampled")
 def not_sampled_anti(t: Tables):
-    df = strata(t)
-    sample = sampling.stratified_sample(df, "ride_id", "stratum", SIZE)
-    return sampling.not_sampled(df, sample, "ride_id").select("ride_id", "stratum")
+    return sampling.outside_sample(strata(t), "ride_id", "stratum", SIZE).select("ride_id", "stratum")
 
 
 @query("""select ride_id, route, coalesce(code, -1) as route_encoded from (select ride_id,

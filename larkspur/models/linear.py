@@ -93,6 +93,11 @@ class MomentFit:
     weights: dict[str, float]
     intercept: float
 
+    @property
+    def model(self) -> "MomentFit":
+        """Itself, as other fits name their parameters ``fit.model.intercept``."""
+        return self
+
     def transform(self, df: DataFrame) -> DataFrame:
         terms = [F.lit(w) * F.col(f) for f, w in self.weights.items() if w]
         return df.withColumn("prediction", sum(terms, F.lit(self.intercept)))

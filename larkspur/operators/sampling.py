@@ -151,6 +151,12 @@ def not_sampled(df: DataFrame, sample: DataFrame, key: str) -> DataFrame:
     return df.join(sample.select(key), key, "left_anti")
 
 
+def outside_sample(df: DataFrame, key: str, stratum: str, size: int, seed: int = SEED) -> DataFrame:
+    """Rows that a stratified sample of ``size`` leaves, by the same mark and without a join of keys."""
+    marked = flag_lowest(df, key, take_proportional(size), [stratum], seed)
+    return marked.where(~F.col("is_taken")).drop("is_taken")
+
+
 def cap_sample(df: DataFrame, key: str, n: int, seed: int = SEED) -> DataFrame:
     """The whole table, or a seeded choice of ``n`` rows when it is larger."""
     return flag_lowest(df, key, take_n(n), seed=seed).where("is_taken").drop("is_taken")

@@ -9,7 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 def local_session(cpus: str | int = "*", app: str = "larkspur", memory: str = "8g",
                   partitions: int = 8) -> SparkSession:
-    """A session for tests and benchmarks; clusters bring their own."""
+    """A session for tests and benchmarks; clusters bring their own.
+
+    It names a checkpoint folder of this machine, and files in it go when
+    nothing refers to them any more.
+    """
     return (
         SparkSession.builder.master(f"local[{cpus}]").appName(app)
         .config("spark.sql.shuffle.partitions", str(partitions))
@@ -17,6 +21,8 @@ def local_session(cpus: str | int = "*", app: str = "larkspur", memory: str = "8
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="larkspur-"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

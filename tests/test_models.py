@@ -7,6 +7,8 @@ from larkspur.models.bayes import GaussianBayes
 from larkspur.models.discriminant import Discriminant
 from larkspur.models.perceptron import Perceptron
 
+C = F.col
+
 X = ["a", "b", "c"]
 
 
@@ -121,3 +123,22 @@ def test_grid_has_every_model_and_set(data):
     out = grid.run_grid(df, sets, "y", grid.regressors(), grid.score_regression, grid.REG_METRICS)
     assert {(r["feature_set"], r["model"]) for r in out.collect()} == {
         (s, m) for s in sets for m in grid.regressors()}
+
+
+def test_perceptron_does_not_depend_on_the_cluster(spark):
+    df = spark.range(400).select("id", (C("id") % 17).cast("double").alias("a"), (C("id") % 5).cast("double").alias("b"),
+                                 ((C("id") % 17) + (C("id") % 3) > 8).cast("int").alias("y"))
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    for n in ("8", "200"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        found.append(Perceptron.fit(df, ["a", "b"], "y", "id", partitions=4, max_iter=5).weights)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1]
+
+
+def test_pairwise_correlations_leave_missing_values_out(spark):
+    from larkspur.operators.statistics import pearson_matrix
+    rows = [(float(i), float(i * i % 7) if i % 3 else None, 4.0 if i % 5 else None) for i in range(40)]
+    got = {(r["x"], r["y"]): r["r"] for r in pearson_matrix(spark.createDataFrame(rows, "a double, b double, c double"), ["a", "b", "c"]).collect()}
+    pairs = np.array([(a, b) for a, b, _ in rows if b is not None])
+    assert abs(got["a", "b"] - np.corrcoef(pairs.T)[0, 1]) < 1e-12 and got["a", "b"] == got["b", "a"] and got["c", "a"] is None
