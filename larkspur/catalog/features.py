@@ -196,13 +196,19 @@ def median_split_target(t: Tables):
     return t.blocks.select("block_id", ordering.above_median(t.blocks, "MedHouseVal").alias("is_high_value"))
 
 
+view("flights_delay", "select f.*, m.avgdelay from flights f left join (select carrier, avg(arr_delay) as avgdelay from flights "
+     "group by 1) m on f.carrier = m.carrier", "flights")
+
+
 @query("""select *, cast(hour >= 8 and hour < 12 as int) * high_traffic_route as morning_busy_route,
   cast(month in (12, 1, 2) and distance >= 1500 as int) as winter_long_haul
   from (select flight_id, hour, month, distance,
-    cast(totflight > (select quantile_cont(totflight, 0.5) from flights) as int) as high_traffic_route,
-    0 as high_avg_delay_route from flights)""", "flights", doubles="distance")
+    cast(totflight > (select quantile_cont(totflight, 0.5) from flights_delay) as int) as high_traffic_route,
+    cast(avgdelay > (select quantile_cont(avgdelay, 0.5) from flights_delay) as int) as high_avg_delay_route
+    from flights_delay)""", "flights_delay", doubles="distance")
 def median_flag_feature(t: Tables):
-    df = t.flights
+    means = t.flights.groupBy("carrier").agg(F.avg("arr_delay").alias("avgdelay"))
+    df = t.flights.join(means, "carrier", "left")
     busy = ordering.above_median(df, "totflight") if "totflight" in df.columns else F.lit(0)
     late = ordering.above_median(df, "avgdelay") if "avgdelay" in df.columns else F.lit(0)
     out = df.select("flight_id", "hour", "month", "distance", busy.alias("high_traffic_route"),

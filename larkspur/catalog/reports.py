@@ -261,6 +261,15 @@ def price_delta_decomposition(t: Tables):
     return service.withColumn("choice", F.lit("service")).unionByName(platform.withColumn("choice", F.lit("platform")))
 
 
+@query("""with m as (select name, surge_multiplier, avg(price) as p from priced group by 1, 2)
+  select a.name as first, b.name as second, a.surge_multiplier, a.p as first_mean, b.p as second_mean, b.p - a.p as saving
+  from m a join m b on a.surge_multiplier = b.surge_multiplier and a.name < b.name""".replace("with m as (", "select * from (with m as (") + ")",
+       "priced", doubles="first_mean second_mean saving")
+def service_price_deltas(t: Tables):
+    """What any service costs beside any other, at equal surge."""
+    return statistics.all_price_deltas(t.priced, "name", ["surge_multiplier"], "price")
+
+
 # --- encodings --------------------------------------------------------------------
 @query("""select "column", value, cast(dense_rank() over (partition by "column" order by value) - 1 as int) as code
   from (select distinct unnest(['cab_type', 'source', 'route']) as "column", unnest([cab_type, source,

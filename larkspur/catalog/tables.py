@@ -27,8 +27,19 @@ def scratch_path(t: Tables, name: str) -> str:
 # --- sources and sinks ----------------------------------------------------------
 @query("select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate from orders")
 def scan_table(t: Tables):
-    return files.scan_parquet(t.spark, f"{t.folder}/orders.parquet", SCHEMAS["orders"]).select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    return scan_table_frame(t).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+
+
+def scan_table_frame(t: Tables):
+    return files.scan_parquet(t.spark, f"{t.folder}/orders.parquet", SCHEMAS["orders"])
+
+
+@query("select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders", doubles="o_totalprice", digits=2)
+def scan_csv_table(t: Tables):
+    """Orders as a headered CSV, read with declared types."""
+    path = scratch_path(t, "orders-csv")
+    files.sink_dataset(scan_table_frame(t).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"), path, "csv")
+    return files.scan_csv(t.spark, path, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double")
 
 
 @query("""select cab_type, count(*) as n, sum(price) as total_price, min(ts) as first_ts, max(ts) as last_ts
@@ -134,6 +145,28 @@ def reference_points(t: Tables):
         reference.with_fallback(C("seen_lat"), C("lat")).alias("used_lat"))
 
 
+@query(f"""select block_id, zone as climate_zone, [{", ".join(f"'{n}'" for n in fv.ZONE_NAMES.values())}][zone] as zone_name
+  from (select block_id, case when Latitude < 34 then 1 when Latitude < 36 then 2 when Latitude < 38 then 3 else 4 end as zone
+  from blocks)""", "blocks")
+def climate_zone_names(t: Tables):
+    """Blocks with the name of their zone from the reference table."""
+    zoned = t.blocks.select("block_id", geo.latitude_zone(C("Latitude")).alias("climate_zone"))
+    return zoned.join(reference.climate_zones(t.spark), "climate_zone").select("block_id", "climate_zone", "zone_name")
+
+
+@query(f"""select ride_id, condition, case condition {" ".join(f"when '{k}' then {v}e0" for k, v in fv.DELAY_PROBABILITY.items())} end
+  as probability from (select ride_id, case when precipIntensity > 0 then 'rain' when isodow(ts) >= 6 then 'weekend'
+  when hour(ts) between 7 and 9 then 'weekday_morning' when hour(ts) between 17 and 19 then 'weekday_evening' end as condition
+  from rides)""", "rides", doubles="probability")
+def delay_probability(t: Tables):
+    """Rides with the published probability of a delay for their condition; NULL for the rest."""
+    hour = F.hour("ts")
+    condition = F.when(C("precipIntensity") > 0, "rain").when(F.weekday("ts") >= 5, "weekend").when(
+        hour.between(7, 9), "weekday_morning").when(hour.between(17, 19), "weekday_evening")
+    rides = t.rides.select("ride_id", condition.alias("condition"))
+    return rides.join(reference.delay_probabilities(t.spark), "condition", "left").select("ride_id", "condition", "probability")
+
+
 @query("select distinct event_type, cast(ts as date) as event_date from events")
 def event_calendar_rows(t: Tables):
     """{type: [dates]} per day, built from events, to one row per type and date."""

@@ -219,6 +219,14 @@ def price_deltas(df: DataFrame, group: str, first, second, by: Sequence[str], va
     )
 
 
+def all_price_deltas(df: DataFrame, group: str, by: Sequence[str], value: str) -> DataFrame:
+    """Mean gap between every two values of ``group`` at equal ``by``; the values are few."""
+    means = df.groupBy(group, *by).agg(F.avg(value).alias("_mean"))
+    first = means.select(*by, F.col(group).alias("first"), F.col("_mean").alias("first_mean"))
+    second = means.select(*by, F.col(group).alias("second"), F.col("_mean").alias("second_mean"))
+    return first.join(second, list(by)).where("first < second").withColumn("saving", F.col("second_mean") - F.col("first_mean"))
+
+
 def table_profile(df: DataFrame, target: str) -> DataFrame:
     """Rows, columns and the range of the target, in one row."""
     return target_range(df, target).select(
