@@ -21,7 +21,7 @@ ORDERS = (3, 4, 5)
 TRAIN_ROWS = 16_000
 MIN_TEXTS = 3
 MIN_Z = 3.0
-MAX_SLOTS = 40_000
+MAX_SLOTS = 10_000
 PENALTY = 1e-3
 STEPS = 200
 
