@@ -28,8 +28,8 @@ def words(df: DataFrame, column: str) -> DataFrame:
 def build(df: DataFrame, column: str) -> np.ndarray:
     """The bitmap as an array, for use in tasks."""
     out = np.zeros(BITS // 64, np.int64)
-    for row in words(df, column).collect():
-        out[row["word"]] = row["bits"]
+    found = words(df, column).toArrow()
+    out[found["word"].to_numpy()] = found["bits"].to_numpy()
     return out.view(np.uint64)
 
 
