@@ -13,8 +13,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Only texts with one of these can hold a licence sentence (lower case).
-HINTS = ("licen", "copyright", "permission", "redistribut", "warrant", "spdx", "public domain", "rights reserved", "cc0", "cc by")
+#: Every pattern below needs one of these in the normalised sentence.
+HINTS = ("license", "copyright", "(c)", "©", "permission", "redistribut", "spdx", "public domain", "all rights reserved", "cc0", "cc zero",
+         "cc-zero", "creative commons", "provided", "liable", "endorse", "advertising", "applicable law", "free software", "in the hope",
+         "gpl", "bsd", "confidential")
 
 _NAME = r"(?:the )?(?:terms of )?(?:the )?"
 _CC = r"(?:creative commons|cc)[ -]"
@@ -92,8 +94,7 @@ RULES = (
 _SENTENCES = tuple((name, re.compile(pattern)) for name, pattern in SENTENCES)
 _RULES = tuple((name, tuple(re.compile(p) for p in parts)) for name, parts in RULES)
 _CUT = re.compile(r"[.!?;](?=\s)|\n[\s*#/]*\n|\n(?=[\s*#/]*(?:\d+[.)]|[•-])\s)|\Z")
-_DECORATION = re.compile(r"(?m)^[\s*#/;>|•-]+|[\s*/]+$")
-_LONGEST = 2000
+_DECORATION = re.compile(r"(?m)^[\s*#/;>|•-]+|(?<![\s*/])[\s*/]+$")
 
 
 def normalised(sentence: str) -> str:
@@ -109,8 +110,8 @@ def _fill(template: str, groups) -> str:
 
 def _known(raw: str) -> str | None:
     """Identifier of a sentence, or None."""
-    if 4 <= len(raw) <= _LONGEST and any(h in (low := raw.lower()) for h in _SENTENCE_HINTS):
-        plain = normalised(low)
+    plain = normalised(raw)
+    if any(h in plain for h in HINTS):
         for name, pattern in _SENTENCES:
             if found := pattern.fullmatch(plain):
                 return _fill(name, [(g or "").strip() for g in found.groups()])
@@ -120,8 +121,7 @@ def _known(raw: str) -> str | None:
 def sentences(text: str) -> list[tuple[int, int, str]]:
     """Known sentences as (start, end, identifier), in order.
 
-    A sentence that is not known as a whole is tried line by line. No known
-    sentence is over 2000 characters.
+    A sentence that is not known as a whole is tried line by line. Sentences may be of any length.
     """
     out, start = [], 0
 
@@ -143,10 +143,6 @@ def sentences(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-_SENTENCE_HINTS = (*HINTS, "provided", "liable", "version", "in compliance", "obtain a copy", "required by applicable", "free software",
-                   "in the hope", "general public", "confidential", "endorse", "advertising", "(c)", "©", "cc by", "cc-by")
-
-
 def licences(identifiers: list[str]) -> list[tuple[str, int, int]]:
     """(licence, first, last) of each rule match in the sequence; copyright lines between parts of a rule are passed over."""
     at = [i for i, name in enumerate(identifiers) if name != "copyright"]
@@ -192,8 +188,7 @@ def scan(documents: DataFrame, text_col: str = "text") -> DataFrame:
     def judge(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for text in texts:
-            low = (text or "").lower()
-            known = sentences(text) if any(h in low for h in HINTS) else []
+            known = sentences(text or "")
             found = [{"licence": name, "start": known[a][0], "end": known[b][1]}
                      for name, a, b in licences([k[2] for k in known])]
             rows.append((found, [{"start": s, "end": e, "identifier": i} for s, e, i in known]))

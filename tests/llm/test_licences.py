@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from larkspur.llm import licences
@@ -54,3 +56,24 @@ def test_spans_are_the_sentences(spark):
     (["mit-grant", "mit-notice", "mit-grant", "mit-notice", "as-is"], ["MIT", "MIT"]), ([], [])])
 def test_rules_need_the_order(identifiers, want):
     assert [x[0] for x in licences.licences(identifiers)] == want
+
+
+LINE = "words without any stop " * 400
+
+
+@pytest.mark.parametrize("text,licence,identifier", [
+    ("This document is proprietary and confidential.", "Proprietary", "proprietary"), ("Creative Commons Zero", "CC0-1.0", "cc0"),
+    ("CC0", "CC0-1.0", "cc0"), ("(c) 2020 Acme", None, "copyright"), ("© 2021 Acme", None, "copyright"), ("Released under GPL v3", "GPL-3.0", "gpl==3="),
+    ("Released under the 3-clause BSD.", "BSD-3-Clause", "bsd-name=3"), ("# All rights\n# reserved.", "All-Rights-Reserved", "all-rights-reserved"),
+    (LINE + "licensed under the MIT License", "MIT", "mit-name"), (LINE + "proprietary and confidential " + LINE, "Proprietary", "proprietary")])
+def test_texts_with_a_single_sentence_of_any_length(spark, text, licence, identifier):
+    row = licences.scan(documents(spark, [(1, text)])).collect()[0]
+    assert [x["licence"] for x in row["_licences"]] == ([licence] if licence else [])
+    assert [x["identifier"] for x in row["_sentences"]] == [identifier]
+
+
+def test_long_sentences_take_linear_time():
+    start = time.time()
+    for text in (" ", "/", "copyright ", "under the ", "license, ", "x\n*\n", "licensed under a"):
+        licences.sentences("license " + text * 100_000 + "x")
+    assert time.time() - start < 30
