@@ -3,8 +3,9 @@
 Two kinds of candidates are found in every text: base matches of fixed patterns
 and wider tokens (long, with letters and digits). Hashes of the candidates'
 values are counted over distinct repositories and owners. A value that many
-owners have is a copied example; one that a single owner has looks live, and
-the wider tokens among those are added to the base spans.
+owners have, or many repositories of one owner, is a copied example; one that a
+single owner has in a few repositories looks live, and the wider tokens among
+those are added to the base spans.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ BASE = (
 )
 TOKEN = ("token", r"[A-Za-z0-9+/_=-]{20,}", 0, 20)
 MAX_OWNERS = 2
+#: A live value is in at most so many repositories an owner; a larger number is an example that one owner copied.
+MAX_REPOSITORIES = 10
 
 _MARK, _STAND_IN = "\ue000", "\ue001"
 
@@ -88,18 +91,20 @@ def ownership(rows: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def scan(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-         repository_col: str | None = None, max_owners: int = MAX_OWNERS) -> DataFrame:
+         repository_col: str | None = None, max_owners: int = MAX_OWNERS,
+         max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """One row per document: row, id, key, base, added and live spans, n_shared.
 
     ``base`` are the pattern matches, ``added`` the wide tokens whose value at
-    most ``max_owners`` owners have, ``live`` the base spans of such values;
+    most ``max_owners`` owners have, in at most ``max_repositories`` repositories
+    each on average, ``live`` the base spans of such values;
     ``n_shared`` counts base spans of widely copied values. Spans are arrays of
     (start, end, kind, value) by start, then kind as listed; empty where nothing is found.
     """
     rows, spans = candidates(documents, id_col, text_col, owner_col, repository_col)
     kinds = F.array(*[F.lit(k[0]) for k in (*BASE, TOKEN)])
     span = F.struct("start", F.array_position(kinds, F.col("kind")).alias("order"), "end", "kind", "value")
-    owned = F.col("n_owners") <= max_owners
+    owned = (F.col("n_owners") <= max_owners) & (F.col("n_repositories") <= max_repositories * F.col("n_owners"))
     judged = spans.withColumn("hash", F.xxhash64("value")).join(ownership(rows, spans), "hash").groupBy("row").agg(
         F.collect_list(F.when(F.col("is_base"), span)).alias("base"),
         F.collect_list(F.when(~F.col("is_base") & owned, span)).alias("added"),
