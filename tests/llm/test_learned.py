@@ -58,6 +58,18 @@ def test_undetermined(spark):
     assert [r["_lang"] for r in langid.identify(documents(spark, [(1, "abc")]), None).collect()] == ["und"]
 
 
+def test_mixed_and_unlearned_texts_are_flagged(spark):
+    rng, names = random.Random(5), ["xa", "xb", "xc", "xd"]
+    model = langid.fit(documents(spark, [(i, speak(rng, lang, 60), lang, None) for i in range(150) for lang in names]))
+    rows = [(i, speak(rng, lang, 50), None, "clean") for i in range(25) for lang in names]
+    for i in range(100):
+        a, b = rng.sample(names, 2)
+        rows += [(i, speak(rng, a, 25) + " " + speak(rng, b, 25), None, "mixed"), (i, speak(rng, rng.choice(["xf", "xg"]), 50), None, "foreign")]
+    got = langid.identify(documents(spark, rows), model).collect()
+    share = {kind: np.mean([r["_ambiguous"] for r in got if r["source"] == kind]) for kind in ("clean", "mixed", "foreign")}
+    assert share["clean"] <= 0.05 and share["mixed"] >= 0.9 and share["foreign"] == 1, share
+
+
 def insult(rng, bad):
     words = speak(rng, rng.choice(["xa", "xb"]), rng.randint(5, 60)).split()
     for _ in range(rng.randint(2, 4) if bad else 0):
