@@ -3,8 +3,10 @@
 A page becomes a tree. Every paragraph gives points for its length and its
 commas to the element that holds it and, in shrinking shares, to the elements
 above. An element's score is discounted by the share of its text that is links.
-The best element and those siblings that score well beside it are kept, without
-the parts that are menus, adverts, forms, comments and the like.
+The best element, or the article or main element around it, and those siblings
+that belong to it are kept, without the parts that are menus, adverts, forms,
+comments and the like. A name does not take out what holds most
+of the page's paragraphs, unless it is beside an article.
 """
 
 from __future__ import annotations
@@ -58,6 +60,12 @@ _COMMENT_HEADING = re.compile(
     r"\W*(?:\d+\s+)?(?:(?:reader|user)\s+)?(?:comments?|replies|responses|discussion|kommentare?|leserkommentare|commentaires?|comentarios?|"
     r"related(?: articles| posts| stories)?|see also|more from|advertisement)\b[\s\d():.]*\Z", re.I)
 
+#: Name parts of talk below an article, and words that make another part a mere property of the page.
+_TALK = frozenset("comment comments commentlist discussion disqus replies reply respond".split())
+_PROPERTY = frozenset("no has have with without is open opened closed on off hide hidden enabled disabled".split())
+#: Blocks that go on a text beside its best container.
+_GOES_ON = frozenset("section ul ol dl pre blockquote table figure header hgroup".split())
+
 _LEVELS = 5
 _SIBLING_SHARE = 0.2
 _LINKS_ONLY = 0.75
@@ -135,26 +143,61 @@ def _apart(node: Node, in_article: bool) -> bool:
         return node.hidden
     if node.tag in _APART or node.hidden or node.role in _ROLES:
         return True
-    if node.tag == "header" and not in_article:
-        return True
-    return bool(node.names & _NAMES) and node.tag not in HEADINGS
+    return node.tag == "header" and not in_article
 
 
-def _prune(root: Node) -> None:
-    """Take out parts that are never the article, then what is only links."""
+def _named_apart(node: Node) -> bool:
+    return bool(node.names & _NAMES) and node.tag not in HEADINGS and node.tag not in ("article", "main", "body", "html")
+
+
+def _walk(root: Node, apart) -> list[Node]:
+    """Take out what is ``apart``; the rest, each element before those in it."""
     stack, order = [(root, False)], []
     while stack:
         node, inside = stack.pop()
         order.append(node)
         inside = inside or node.tag in ("article", "main")
-        kept = []
-        for child in node.children:
-            if isinstance(child, Node):
-                if _apart(child, inside):
-                    continue
-                stack.append((child, inside))
-            kept.append(child)
-        node.children = kept
+        node.children = [c for c in node.children if not isinstance(c, Node) or not apart(c, inside)]
+        stack.extend((c, inside) for c in node.children if isinstance(c, Node))
+    return order
+
+
+def _held(root: Node, order: list[Node]) -> dict[int, float]:
+    """Points of the paragraphs in each element, less the share of links in each paragraph."""
+    size, linked, held = {}, {}, {}
+    for node in reversed(order):
+        own = [c for c in node.children if isinstance(c, Node)]
+        size[id(node)] = sum(size[id(c)] for c in own) + sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        linked[id(node)] = size[id(node)] if node.tag == "a" else sum(linked[id(c)] for c in own)
+    for owner, text in blocks(root):
+        if owner.tag not in HEADINGS and size[id(owner)]:
+            held[id(owner)] = held.get(id(owner), 0.0) + points(text) * (1 - linked[id(owner)] / size[id(owner)])
+    for node in reversed(order):
+        if node.parent is not None:
+            held[id(node.parent)] = held.get(id(node.parent), 0.0) + held.get(id(node), 0.0)
+    return held
+
+
+def _prune(root: Node) -> None:
+    """Take out parts that are never the article, then what is only links."""
+    order = _walk(root, _apart)
+    if any(map(_named_apart, order)):
+        held = _held(root, order)
+        most = held.get(id(root), 0.0) / 2
+        around = set()
+        for node in order:
+            if node.tag in ("article", "main") and held.get(id(node)):
+                while node is not None and id(node) not in around:
+                    around.add(id(node))
+                    node = node.parent
+
+        def named(node: Node, inside: bool) -> bool:
+            beside = around and not inside and id(node) not in around
+            text = held.get(id(node), 0.0) > most and not beside and (
+                not node.names & _TALK or node.names & (_GOOD | _PROPERTY))
+            return _named_apart(node) and not text
+
+        order = _walk(root, named)
     for node in reversed(order):
         node.text = node.linked = node.links = 0
         kept = []
@@ -259,20 +302,38 @@ def main_text(page: str | None) -> str:
         best = max(scored.values(), key=lambda n: n.score)
         while best.parent is not None and best.parent.tag not in ("body", "html") and best.parent.score >= 0.75 * best.score:
             best = best.parent
+        best = _article(best)
         kept = [best]
         if best.parent is not None:
-            kept = []
-            for child in best.parent.children:
-                if child is best or isinstance(child, Node) and _belongs(child, best):
-                    kept.append(child)
+            beside = best.parent.children
+            sure = {i for i, child in enumerate(beside) if child is best or isinstance(child, Node) and _belongs(child, best)}
+            first, last = min(sure), max(sure)
+            kept = [child for i, child in enumerate(beside) if i in sure or first < i < last and _goes_on(child)]
     return "\n".join(text for node in kept for _, text in blocks(node))
 
 
+def _article(best: Node) -> Node:
+    """The article or main element next around the best container; the container if there is none."""
+    node = best
+    while node is not None and node.tag not in ("article", "main"):
+        node = node.parent
+    return best if node is None else node
+
+
+def _goes_on(node: Node | str) -> bool:
+    """Whether a part between kept ones is text, not links."""
+    return isinstance(node, Node) and node.linked < 0.25 * max(node.text, 1)
+
+
 def _belongs(node: Node, best: Node) -> bool:
-    if node.tag == "p" or node.tag in HEADINGS and node.tag != "h1":
-        return node.text > 80 and node.linked < 0.25 * node.text
+    """Beside a container that is one of several parts, paragraphs, headings, sections and lists belong to it at any length."""
     if node.tag == "h1":
         return True
+    if best.tag not in ("article", "main") and node.parent.tag not in ("body", "html") and (
+            node.tag == "p" or node.tag in HEADINGS or node.tag in _GOES_ON):
+        return _goes_on(node)
+    if node.tag == "p" or node.tag in HEADINGS:
+        return node.text > 80 and node.linked < 0.25 * node.text
     return node.score >= max(1.0, _SIBLING_SHARE * best.score) and node.linked < 0.25 * max(node.text, 1)
 
 

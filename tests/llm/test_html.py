@@ -32,6 +32,29 @@ def test_siblings_of_the_best_container_are_kept():
     assert main_text(page(f"<div>{part}{part}<div><p>End.</p></div></div>")).count(BODY) == 6
 
 
+def test_short_parts_of_an_article_are_kept():
+    entry = "<div class=entry>" + f"<p>{BODY}</p>" * 10 + "</div>"
+    want = "T\n" + f"{BODY}\n" * 10 + "End\nShort closing.\nOne\nLast."
+    close = "<h2>End</h2><p>Short closing.</p><ul><li>One</li></ul><section><p>Last.</p></section>"
+    for wrap in ("<article>{}</article>", "<main>{}</main>", "<div id=wrap><div>{}</div></div>"):
+        for head in ("<h1>T</h1>", "<header><h1>T</h1></header>") if wrap[1] != "d" else ("<h1>T</h1>",):
+            assert main_text(page(wrap.format(head + entry + close))) == want, (wrap, head)
+    part = "<div>" + f"<p>{BODY}</p>" * 3 + "</div>"
+    assert main_text(f"<body>{part}<h2>Next</h2><p>Short.</p>{part}</body>").split("\n")[3:5] == ["Next", "Short."]
+
+
+def test_names_do_not_take_out_the_article():
+    inner = "<h1>T</h1>" + f"<p>{BODY}</p>" * 6
+    side = "<div class='sidebar'><p>Side, bar, text, with, commas.</p></div>"
+    talk = "<div id=comments>" + "<p>Great, post, really, very, nice, I, think, so, yes.</p>" * 30 + "</div>"
+    for attributes in ("id=content class='has-sidebar'", "class='post no-comments'", "class='layout-sidebar'"):
+        for tag in ("div", "section"):
+            assert main_text(page(f"<{tag} {attributes}>{inner}{side}</{tag}>")) == "T\n" + "\n".join([BODY] * 6), attributes
+    ad = "<div class='ad'>" + "Buy, now, and, save. " * 20 + "</div>"
+    assert main_text(page(f"{ad}<article><h1>T</h1><p>Short.</p></article>")) == "T\nShort."
+    assert main_text(page(f"<div class=post>{inner}{talk}</div>")) == "T\n" + "\n".join([BODY] * 6)
+
+
 def test_lists_of_links_go_but_links_in_text_stay():
     menu = "<ul>" + "".join(f"<li><a href=/{i}>Read this other story {i}</a></li>" for i in range(9)) + "</ul>"
     text = main_text(page(f"<article><p>{BODY} <a href=x>A link, too</a>.</p>{menu}<ul><li>A point, with text</li></ul></article>"))
