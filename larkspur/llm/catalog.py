@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import decontaminate, html, knn, langid, licences, mixing, repeats, secrets, simhash, toxicity
-from larkspur.llm.sql import DECONTAMINATE, MIX, REPEATS, TOP_K
+from larkspur.llm import alignment, decontaminate, html, knn, langid, licences, merkle, mixing, packing, repeats, secrets, simhash, toxicity
+from larkspur.llm.sql import DECONTAMINATE, MERKLE, MIX, REPEATS, TOP_K
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -85,8 +86,26 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
                        F.col("component").alias("component_id"))
 
 
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    changed = F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    rows = merkle.verify(merkle.manifest(_table(spark, folder, "documents"), changed))
+    return rows.withColumnRenamed("id", "doc_id")
+
+
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    rows = alignment.align(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return rows.withColumnRenamed("id", "doc_id")
+
+
+def op13_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    rows = packing.pack(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return rows.select(F.col("id").alias("doc_id"), "piece", "start", "length", F.col("crc").alias("ids_crc32"),
+                       F.col("sequence").alias("sequence_id"), "offset")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_substring_dedup, op3_main_text, op4_decontamination, op5_secret_scan,
-    op6_language_id, op7_toxicity, op8_top_k, op9_licence_scan, op10_simhash)}
+    op6_language_id, op7_toxicity, op8_top_k, op9_licence_scan, op10_simhash,
+    op11_merkle, op12_token_alignment, op13_best_fit_packing)}
 ORACLES = {"op1_mix_sources": MIX, "op2_substring_dedup": REPEATS, "op4_decontamination": DECONTAMINATE,
-           "op8_top_k": TOP_K}
+           "op8_top_k": TOP_K, "op11_merkle": MERKLE}

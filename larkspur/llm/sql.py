@@ -78,3 +78,48 @@ p AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.f, c.f)::BIGIN
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM p)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
+
+
+def _record(text: str) -> str:
+    parts = [f"coalesce(strlen({v}::VARCHAR) || ':' || {v}::VARCHAR, '-')" for v in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+#: crc32 is 32 steps of a shift register over each byte; the leaf of the changed text is folded level by level.
+MERKLE = f"""
+WITH RECURSIVE c AS (SELECT *, doc_id IS NOT NULL AND xor(list_reduce(list_prepend(4294967295::BIGINT,
+         [ascii(x)::BIGINT FOR x IN string_split(doc_id::VARCHAR, '')]), lambda a, b: list_reduce(
+         [xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda d, e: xor(d >> 1, 3988292384 * (d & 1)))), 4294967295) % 2 = 0 AS hit
+       FROM documents),
+l AS (SELECT doc_id, source IS NULL AS none, source, {_record('text')} AS leaf,
+             CASE WHEN hit THEN {_record("replace(text, chr(10), '')")} ELSE {_record('text')} END AS changed FROM c),
+p AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY source) AS width,
+             row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM l),
+n AS (SELECT tree, 0 AS level, pos, width, leaf AS digest FROM p
+      UNION ALL
+      SELECT tree, level + 1, pos // 3, (width + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM n
+      WHERE width > 1 GROUP BY tree, level, pos // 3, width),
+s AS (SELECT tree, digest AS subroot FROM n WHERE width = 1),
+t AS (SELECT 0 AS level, tree AS pos, count(*) OVER () AS width, subroot AS digest FROM s
+      UNION ALL
+      SELECT level + 1, pos // 3, (width + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM t
+      WHERE width > 1 GROUP BY level, pos // 3, width),
+runs AS (SELECT tree, level, pos // 3 AS parent, width, list(digest ORDER BY pos) AS kids FROM n WHERE width > 1 GROUP BY ALL
+         UNION ALL
+         SELECT -1, level, pos // 3, width, list(digest ORDER BY pos) FROM t WHERE width > 1 GROUP BY ALL),
+f AS (SELECT tree AS own, tree, 0 AS level, pos AS start, pos, width, changed AS now, '' AS siblings, false AS last FROM p
+      UNION ALL
+      SELECT f.own, CASE WHEN f.width = 1 THEN -1 ELSE f.tree END, CASE WHEN f.width = 1 THEN 0 ELSE f.level + 1 END, f.start,
+             CASE WHEN f.width = 1 THEN f.own ELSE f.pos // 3 END,
+             CASE WHEN f.width = 1 THEN (SELECT count(*) FROM s) ELSE (f.width + 2) // 3 END,
+             CASE WHEN f.width = 1 THEN f.now ELSE sha256(array_to_string(
+               [CASE WHEN i - 1 = f.pos % 3 THEN f.now ELSE kids[i] END FOR i IN range(1, len(kids) + 1)], '')) END,
+             CASE WHEN f.width = 1 THEN f.siblings ELSE f.siblings || array_to_string(
+               [kids[i] FOR i IN range(1, len(kids) + 1) IF i - 1 <> f.pos % 3], '') END,
+             f.width = 1 AND f.tree = -1
+      FROM f LEFT JOIN runs r ON r.tree = f.tree AND r.level = f.level AND r.parent = f.pos // 3 AND f.width > 1
+      WHERE NOT f.last)
+SELECT doc_id, leaf, subroot, (SELECT digest FROM t WHERE width = 1) AS root, sha256(f.siblings) AS proof_sha256,
+       f.now AS folded_root, f.now = (SELECT digest FROM t WHERE width = 1) AS verified
+FROM p JOIN s USING (tree) JOIN f ON f.own = p.tree AND f.start = p.pos AND f.last
+"""

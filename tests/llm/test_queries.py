@@ -24,7 +24,7 @@ def docs(spark):
 
 
 def test_names():
-    assert [n.split("_")[0] for n in catalog.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in catalog.QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_op3(spark, folder):
