@@ -129,30 +129,17 @@ def _per_zone(t: Tables, fit):
 
 
 @query(_stump("MedHouseVal", "1e0", "{m}"), "zoned", doubles="prediction")
-def tree_regressor(t: Tables):
+def tree_regressor_stump(t: Tables):
     return _per_zone(t, trees.fit_tree_regressor(zoned(t), ["z"], "MedHouseVal", depth=1))
 
 
-@query(_stump("MedHouseVal", "1e0", "{m}"), "zoned", doubles="prediction")
-def boosted_regressor(t: Tables):
-    """The first round."""
-    return _per_zone(t, trees.fit_boosted_regressor(zoned(t), ["z"], "MedHouseVal", rounds=1, depth=1))
-
-
 @query(_stump("rich", "1e0", "cast(({m}) > 0.5e0 as double)"), "zoned", doubles="prediction")
-def tree_classifier(t: Tables):
+def tree_classifier_stump(t: Tables):
     return _per_zone(t, trees.fit_tree_classifier(zoned(t), ["z"], "rich", depth=1))
 
 
-@query(_stump("2 * rich - 1", "case when rich = 1 then 10e0 else 1e0 end", "cast(({m}) > 0 as double)"), "zoned",
-       doubles="prediction")
-def boosted_classifier(t: Tables):
-    """The first round, a positive row weighing ten."""
-    return _per_zone(t, trees.fit_boosted_classifier(zoned(t), ["z"], "rich", rounds=1, depth=1))
-
-
 @query("""select count(*) as n, count(*) as n_in_range, 1e0 as importance from blocks""", "blocks", doubles="importance")
-def forest_regressor(t: Tables):
+def forest_regressor_bounds(t: Tables):
     """Averages of leaves stay inside the labels' range, and importances add up to one."""
     ends = t.blocks.agg(F.min("MedHouseVal"), F.max("MedHouseVal")).first()
     fit = trees.fit_forest_regressor(t.blocks, housing_plan.RAW, "MedHouseVal", trees=10, depth=6)
@@ -163,11 +150,11 @@ def forest_regressor(t: Tables):
 
 @query("""select rich, count(*) as n, count(*) as n_votes_add_up, (select count(*) from zoned) / (2e0 * count(*)) as weight
   from zoned group by 1""", "zoned", doubles="weight")
-def forest_classifier(t: Tables):
+def forest_classifier_votes(t: Tables):
     """Balanced weights, and votes that add up to one and agree with the prediction."""
     weighted = zoned(t).withColumn("weight", trees.balanced_weight(zoned(t), "rich"))
     fit = trees.fit_forest_classifier(weighted, housing_plan.RAW, "rich", trees=10, depth=6, weight="weight")
-    votes = fit.transform(weighted).withColumn("_p", vector_to_array("probability"))
+    votes = fit.transform(weighted).withColumn("_p", C("probability"))
     sound = (F.abs(F.get("_p", F.lit(0)) + F.get("_p", F.lit(1)) - 1) < 1e-9) & (
         (C("prediction") == 1) == (F.get("_p", F.lit(1)) > F.get("_p", F.lit(0))))
     return votes.groupBy("rich").agg(F.count("*").alias("n"), F.count_if(sound).alias("n_votes_add_up"),

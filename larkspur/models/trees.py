@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomForestRegressor
+import numpy as np
+from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larkspur.models import grower
 from larkspur.models.linear import VECTOR, Fit, assemble
-from larkspur.session import ensure_checkpoint_dir
 
 SEED = 42
 BINS = 64
@@ -30,42 +31,45 @@ def fit_tree_classifier(train: DataFrame, features: Sequence[str], label: str, d
                 train, features)
 
 
+def _key(train: DataFrame) -> str | None:
+    """The column that tells rows apart in a bootstrap."""
+    return next((c for c in train.columns if c.endswith("_id")), None)
+
+
+def fit_grown_regressor(train: DataFrame, features: Sequence[str], label: str, depth: int = 10) -> grower.TreeModel:
+    """One tree by the histogram grower: whole-number labels give the very tree that SQL finds."""
+    return grower.fit_forest(train, features, label, grower.Rule(depth), 1, bootstrapped=False)
+
+
+def fit_grown_classifier(train: DataFrame, features: Sequence[str], label: str, depth: int = 10, classes: int = 2) -> grower.TreeModel:
+    return grower.fit_forest(train, features, label, grower.Rule(depth), 1, classes, bootstrapped=False)
+
+
 def fit_forest_regressor(train: DataFrame, features: Sequence[str], label: str, trees: int = 50,
-                         depth: int = 20) -> Fit:
-    return _fit(RandomForestRegressor(
-        featuresCol=VECTOR, labelCol=label, numTrees=trees, maxDepth=depth, maxBins=BINS, seed=SEED,
-        featureSubsetStrategy="all", maxMemoryInMB=1024), train, features)
+                         depth: int = 20) -> grower.TreeModel:
+    return grower.fit_forest(train, features, label, grower.Rule(depth), trees, key=_key(train))
 
 
-def fit_forest_classifier(train: DataFrame, features: Sequence[str], label: str, trees: int = 50,
-                          depth: int = 20, weight: str | None = None) -> Fit:
-    estimator = RandomForestClassifier(
-        featuresCol=VECTOR, labelCol=label, numTrees=trees, maxDepth=depth, maxBins=BINS, seed=SEED,
-        featureSubsetStrategy="sqrt", maxMemoryInMB=1024)
-    if weight is not None:
-        estimator.setWeightCol(weight)
-    return _fit(estimator, train, features)
+def fit_forest_classifier(train: DataFrame, features: Sequence[str], label: str, trees: int = 50, depth: int = 20,
+                          weight: str | None = None, classes: int | None = None) -> grower.TreeModel:
+    """Nodes choose from sqrt(p) features. Labels are 0 ... classes - 1; by default the largest label is the last class."""
+    if classes is None:
+        classes = int(train.agg(F.max(label)).first()[0] or 0) + 1
+    rule = grower.Rule(depth, least=1e-12, subset=max(1, round(len(features) ** 0.5)))
+    return grower.fit_forest(train, features, label, rule, trees, max(2, classes), _key(train), weight)
 
 
 def fit_boosted_regressor(train: DataFrame, features: Sequence[str], label: str, rounds: int = 100,
-                          depth: int = 6, rate: float = 0.1) -> Fit:
-    """First-order boosting: compare quality with other libraries, not trees.
-
-    The residuals are checkpointed every 10 rounds to keep the lineage short.
-    """
-    ensure_checkpoint_dir(train.sparkSession)
-    return _fit(GBTRegressor(featuresCol=VECTOR, labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=rate,
-                             maxBins=BINS, seed=SEED, checkpointInterval=10), train, features)
+                          depth: int = 6, rate: float = 0.1, ridge: float = 1.0) -> grower.TreeModel:
+    """Second-order boosting of the squared loss with a regularised gain."""
+    return grower.fit_boosting(train, features, label, grower.Rule(depth, 1.0, ridge), rounds, rate)
 
 
-def fit_boosted_classifier(train: DataFrame, features: Sequence[str], label: str, rounds: int = 100,
-                           depth: int = 6, rate: float = 0.1, positive_weight: float = 10.0) -> Fit:
-    """Boosting with a heavier positive class."""
-    ensure_checkpoint_dir(train.sparkSession)
+def fit_boosted_classifier(train: DataFrame, features: Sequence[str], label: str, rounds: int = 100, depth: int = 6,
+                           rate: float = 0.1, positive_weight: float = 10.0, ridge: float = 1.0) -> grower.TreeModel:
+    """Second-order boosting of the logistic loss with a heavier positive class."""
     weighted = train.withColumn("_weight", F.when(F.col(label) == 1, positive_weight).otherwise(1.0))
-    return _fit(GBTClassifier(featuresCol=VECTOR, labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=rate,
-                              maxBins=BINS, seed=SEED, checkpointInterval=10, weightCol="_weight"),
-                weighted, features)
+    return grower.fit_boosting(weighted, features, label, grower.Rule(depth, 1.0, ridge), rounds, rate, 2, "_weight")
 
 
 def balanced_weight(df: DataFrame, label: str) -> Column:
@@ -76,5 +80,6 @@ def balanced_weight(df: DataFrame, label: str) -> Column:
     return F.try_element_at(F.create_map(*pairs), F.col(label))
 
 
-def importances(fit: Fit) -> dict[str, float]:
-    return dict(zip(fit.features, (float(v) for v in fit.model.featureImportances.toArray())))
+def importances(fit: Fit | grower.TreeModel) -> dict[str, float]:
+    values = fit.model.featureImportances
+    return dict(zip(fit.features, (float(v) for v in (values if isinstance(values, np.ndarray) else values.toArray()))))
