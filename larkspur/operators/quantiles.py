@@ -1,115 +1,91 @@
 """Exact quantiles without gathering a column in one task.
 
-The input is read once, into counts of distinct values per group. A mergeable
-sketch of the distinct values gives each group a grid of marks; every value
-falls between two of them. Counts per bin tell which bins hold the wanted order
-statistics, and only those bins are sorted, each in a task of its own. A value
-that fills much of a group is one row with a large count. The steps are the
-same for every size.
+The input becomes counts of distinct values per group, so a value that fills
+much of a group is one row with a large count. One range exchange deals these
+over the cluster in order, and a sum per range tells where each range begins.
+A wanted order statistic lies in one range; the rows of such ranges get their
+ranks, the wanted ranks are merged into them, and each takes the value it falls
+on. The steps are the same for every size and any number of probabilities.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.session import cut_lineage
 
-GRID = 32  # GRID * GRID marks a group, found by two short scans
-ACCURACY = 10 * GRID * GRID
-
 _X = "_x"
 
 
-def _bin(marks: Column, grid: int) -> Column:
-    """How many marks lie below the value: first by every ``grid``-th mark, then inside that stretch."""
-    below = lambda some: F.size(F.filter(some, lambda m: m < F.col(_X)))
-    coarse = F.transform(F.sequence(F.lit(1), F.lit(grid)), lambda j: F.element_at(marks, (j * grid).cast("int")))
-    stretch = below(coarse)
-    return (stretch * grid + below(F.slice(marks, stretch * grid + 1, F.lit(grid)))).cast("int")
-
-
-def quantile_arrays(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-                    grid: int = GRID, accuracy: int = ACCURACY) -> DataFrame:
+def quantile_arrays(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Linear-interpolated quantiles: one row (by…, q) with an array per group.
 
     NULL and NaN values are ignored; a group without any other gives NULL.
     """
     by, probs = list(by), [float(p) for p in probs]
-    # NaN to NULL, which aggregates skip; a filter would repeat a long expression in the scan
+    # NaN to NULL, which is not counted; a filter would repeat a long expression in the scan
     x = F.nanvl(F.col(value).cast("double"), F.lit(None))
-    counts = cut_lineage(df.select(*by, x.alias(_X)).groupBy(*by, _X).agg(F.count(_X).alias("n")))
-    known = counts.where(F.col(_X).isNotNull())
-    steps = [j / (grid * grid) for j in range(1, grid * grid + 1)]
-    sketch = known.groupBy(*by).agg(
-        F.percentile_approx(_X, steps, accuracy).alias("marks"), F.sum("n").alias("total"))
-    place = lambda p: F.lit(p) * (F.col("total") - 1)
-    targets = F.array(*[F.struct(
-        F.lit(i).alias("i"), F.floor(place(p)).alias("k0"), F.ceil(place(p)).alias("k1"), place(p).alias("place"))
-        for i, p in enumerate(probs)])
-    sketch = cut_lineage(sketch.withColumn("targets", targets))
-    binned = _with_group(known, sketch.select(*by, "marks"), by).withColumn("bin", _bin(F.col("marks"), grid)).drop("marks")
-    bins = binned.groupBy(*by, "bin").agg(F.sum("n").alias("size"))
-    upto = F.sum("size").over(Window.partitionBy(*by).orderBy("bin"))
-    placed = _with_group(bins.withColumn("before", upto - F.col("size")), sketch.select(*by, "targets"), by)
-    wanted = F.filter("targets", lambda t: _inside(t["k0"]) | _inside(t["k1"]))
-    wanted = placed.withColumn("wanted", wanted).where("size(wanted) > 0").select(*by, "bin", "before", "wanted")
-    rows = _with_group(binned, wanted, [*by, "bin"])
-    last = F.col("before") + F.sum("n").over(Window.partitionBy(*by, "bin").orderBy(_X))
-    picked = rows.withColumn("upto", last).withColumn("_e", F.explode(F.filter(
-        "wanted", lambda t: _here(t["k0"]) | _here(t["k1"]))))
-    at = lambda k: F.max(F.when(_here(F.col(k)), F.col(_X)))
-    each = picked.groupBy(*by, *[F.col(f"_e.{c}").alias(c) for c in ("i", "k0", "k1", "place")]).agg(
-        at("_e.k0").alias("v0"), at("_e.k1").alias("v1"))
-    between = (F.col("k1") - F.col("place")) * F.col("v0") + (F.col("place") - F.col("k0")) * F.col("v1")
-    value_at = F.when(F.col("k0") == F.col("k1"), F.col("v0")).otherwise(between)
+    counts = df.select(*by, x.alias(_X)).groupBy(*by, _X).agg(F.count(_X).alias("_n"))
+    order = [F.col(c).asc_nulls_first() for c in (*by, _X)]
+    ranged = cut_lineage(counts.repartitionByRange(*order)).withColumn("_part", F.spark_partition_id())
+    group = Window.partitionBy(*(by or [F.lit(0)]))
+    # one row per group and range
+    parts = ranged.groupBy(*by, "_part").agg(F.sum("_n").alias("_size")).withColumns({
+        "_upto": F.sum("_size").over(group.orderBy("_part")), "_total": F.sum("_size").over(group)})
+    place = F.col("_p.p") * (F.col("_total") - 1)
+    wanted = parts.withColumn("_p", F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(p).alias("p")) for i, p in enumerate(probs)]))) \
+        .select(*by, "_part", "_upto", (F.col("_upto") - F.col("_size")).alias("_from"), F.col("_p.i").alias("_i"), place.alias("_place")) \
+        .withColumn("_k", F.explode(F.array(F.floor("_place"), F.ceil("_place")))) \
+        .where("_k >= _from and _k < _upto")
+    wanted = cut_lineage(wanted)
+    here = wanted.select(*by, "_part", "_from").distinct()
+    inside = Window.partitionBy(*by, "_part")
+    upto = F.sum("_n").over(inside.orderBy(_X)) + F.col("_from")
+    ranks = _same_group(ranged.where(F.col(_X).isNotNull()), here, [*by, "_part"]).select(
+        *by, "_part", (upto - F.col("_n")).alias("_k"), F.lit(0).alias("_kind"), F.lit(None).cast("int").alias("_i"),
+        F.lit(None).cast("double").alias("_place"), _X)
+    asked = wanted.select(*by, "_part", "_k", F.lit(1).alias("_kind"), "_i", "_place", F.lit(None).cast("double").alias(_X))
+    last = F.last(_X, ignorenulls=True).over(inside.orderBy("_k", "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = ranks.unionByName(asked).withColumn("_v", last).where("_kind = 1")
+    low, high = (F.max(F.when(F.col("_k") == f("_place"), F.col("_v"))) for f in (F.floor, F.ceil))
+    part = F.col("_place") - F.floor("_place")
+    each = found.groupBy(*by, "_i", "_place").agg(low.alias("_low"), high.alias("_high")).select(
+        *by, "_i", F.when(part == 0, F.col("_low")).otherwise(
+            (F.ceil("_place") - F.col("_place")) * F.col("_low") + part * F.col("_high")).alias("_v"))
     # one short array per group: as many entries as probabilities
-    arrays = each.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("i", value_at.alias("v"))))["v"].alias("q"))
+    arrays = each.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_i", "_v")))["_v"].alias("q"))
     if not by:
         return arrays.select(F.when(F.size("q") > 0, F.col("q")).alias("q"))
-    groups = counts.select(*by).distinct()
+    groups = parts.select(*by).distinct()
     same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
     return groups.alias("l").join(arrays.alias("r"), same, "left").select(*[f"l.{c}" for c in by], "r.q")
 
 
-def _inside(k: Column) -> Column:
-    """Whether a bin (before, size) holds the k-th value."""
-    return (k >= F.col("before")) & (k < F.col("before") + F.col("size"))
-
-
-def _here(k: Column) -> Column:
-    """Whether a distinct value (upto, n) is the k-th."""
-    return (k < F.col("upto")) & (k >= F.col("upto") - F.col("n"))
-
-
-def _with_group(df: DataFrame, side: DataFrame, by: list[str]) -> DataFrame:
-    """Inner join on group columns, NULL being a group; without any, ``side`` is one row."""
-    if not by:
-        one = F.lit(0).alias("_one")  # the side is a single row of bounded size
-        return df.select("*", one).join(F.broadcast(side.select("*", one)), "_one").drop("_one")
-    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
-    return df.alias("l").join(side.alias("r"), same).select("l.*", *[f"r.{c}" for c in side.columns if c not in by])
+def _same_group(df: DataFrame, side: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join in which NULL is a group like any other."""
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in on]
+    return df.alias("l").join(side.alias("r"), same).select("l.*", *[f"r.{c}" for c in side.columns if c not in on])
 
 
-def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-              **options) -> DataFrame:
+def quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """One row (by…, i, prob, quantile) per group and probability."""
-    arrays = quantile_arrays(df, value, probs, by, **options)
+    arrays = quantile_arrays(df, value, probs, by)
     tall = arrays.select(*by, F.posexplode("q").alias("i", "quantile"))
     prob = F.get(F.array(*[F.lit(float(p)) for p in probs]), F.col("i"))
     return tall.select(*by, "i", prob.alias("prob"), "quantile")
 
 
-def quantile_values(df: DataFrame, value: str, probs: Sequence[float], **options) -> list[float | None]:
+def quantile_values(df: DataFrame, value: str, probs: Sequence[float]) -> list[float | None]:
     """Whole-table quantiles as driver-side numbers, one per probability."""
-    row = quantile_arrays(df, value, probs, **options).first()
+    row = quantile_arrays(df, value, probs).first()
     return list(row["q"]) if row and row["q"] else [None] * len(probs)
 
 
 def quantile_columns(df: DataFrame, value: str, probs: dict[str, float],
-                     by: Sequence[str] = (), **options) -> DataFrame:
+                     by: Sequence[str] = ()) -> DataFrame:
     """One row per group with a named column per probability."""
-    arrays = quantile_arrays(df, value, list(probs.values()), by, **options)
+    arrays = quantile_arrays(df, value, list(probs.values()), by)
     return arrays.select(*by, *[F.get("q", F.lit(i)).alias(name) for i, name in enumerate(probs)])
