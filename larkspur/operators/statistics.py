@@ -5,13 +5,14 @@ from __future__ import annotations
 from statistics import NormalDist
 from typing import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.operators.cleaning import unpivot
 from larkspur.operators.quantiles import quantile_columns, quantile_values, quantiles
 from larkspur.operators.skew import lookup_join
-from larkspur.session import cut_lineage
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -69,26 +70,50 @@ def pearson_pairs(df: DataFrame, features: Sequence[str], targets: Sequence[str]
     return r.select(name.alias("feature"), *[f"r_{t}" for t in targets])
 
 
+_GRAM = "i int, j int, n long, x double, y double, xx double, yy double, xy double"
+
+
+def pair_sums(df: DataFrame, columns: Sequence[str], origin: Sequence[float]) -> DataFrame:
+    """(i, j, n, x, y, xx, yy, xy) for i <= j: sums over the rows where both columns are known, about ``origin``.
+
+    One scan: a task multiplies blocks of rows and sends one number a cell of
+    the k x k matrices.
+    """
+    k, shift = len(columns), np.array(origin, float)
+    upper = np.triu_indices(k)
+
+    def blocks(batches):
+        sums = np.zeros((6, k, k))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], axis=1) - shift
+            known = ~np.isnan(x)
+            x, one = np.where(known, x, 0.0), known.astype(float)
+            sums += np.stack([one.T @ one, x.T @ one, one.T @ x, (x * x).T @ one, one.T @ (x * x), x.T @ x])
+        cells = [pa.array(part[upper]) for part in sums]
+        yield pa.RecordBatch.from_arrays([pa.array(u.astype(np.int32)) for u in upper] + [cells[0].cast(pa.int64()), *cells[1:]],
+                                         names=["i", "j", "n", "x", "y", "xx", "yy", "xy"])
+
+    partial = df.select(*[F.col(c).cast("double") for c in columns]).mapInArrow(blocks, _GRAM)
+    return partial.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+
+
 def pearson_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Correlation of every ordered pair over the rows where both are known, in long form.
 
-    Constant columns give NULL. Each column's row of the matrix is one global
-    aggregate over a stored projection, so partial sums move, never rows.
+    Constant columns give NULL; NaN counts as unknown. Sums are taken about
+    the first row, so that large values with a small spread keep their digits.
     """
-    n = len(columns)
     names = F.array(*[F.lit(c) for c in columns])
-    wide = cut_lineage(df.select(*[F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(columns)]))
-    # one aggregate call a column keeps the generated code short
-    rows = []
-    for i in range(n):
-        sums = wide.agg(*[pearson(F.col(f"_c{i}"), F.col(f"_c{j}")).alias(f"r{j}") for j in range(i, n)])
-        rows.append(sums.select(F.lit(i).alias("i"), F.posexplode(F.array(*[F.col(f"r{j}") for j in range(i, n)])).alias("j", "r")))
-    half = rows[0]
-    for more in rows[1:]:
-        half = half.unionByName(more)
-    both = half.select("i", (F.col("j") + F.col("i")).alias("j"), "r")
-    both = both.unionByName(both.where("i <> j").select(F.col("j").alias("i"), F.col("i").alias("j"), "r"))
-    return both.select(F.get(names, F.col("i")).alias("x"), F.get(names, F.col("j")).alias("y"), "r")
+    first = df.select(*[F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(columns)]).first()
+    origin = [0.0 if first is None or v is None or v != v else v for v in (first or [None] * len(columns))]
+    n = F.nullif(F.col("n").cast("double"), F.lit(0.0))
+    spread = lambda square, total: F.when(F.col(square) - F.col(total) * F.col(total) / n > 1e-13 * F.col(square),
+                                          F.col(square) - F.col(total) * F.col(total) / n)
+    r = (F.col("xy") - F.col("x") * F.col("y") / n) / (F.sqrt(spread("xx", "x")) * F.sqrt(spread("yy", "y")))
+    half = pair_sums(df, columns, origin).select("i", "j", r.alias("r"))
+    ends = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
+        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))
+    return half.select("r", F.inline(ends)).select(F.get(names, F.col("i")).alias("x"), F.get(names, F.col("j")).alias("y"), "r")
 
 
 def pivot_mean(df: DataFrame, row: str, column: str, values: Sequence[str], measure: str) -> DataFrame:
