@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.timeparts import flag, nearest_hour
 from larkspur.operators.skew import lookup_join
+from larkspur.session import cut_lineage
 
 
 def hourly_join(df: DataFrame, ts: str, hourly: DataFrame, hour: str, order: str) -> DataFrame:
@@ -43,63 +44,66 @@ def membership_semi(df: DataFrame, members: DataFrame, on: list[str]) -> DataFra
     return lookup_join(df, members.select(*on).distinct(), on, "left_semi")
 
 
-def window_join(df: DataFrame, ts: str, place: str, calendar: DataFrame) -> DataFrame:
+def window_join(df: DataFrame, ts: str, place: str, calendar: DataFrame, slices: int = 8) -> DataFrame:
     """Rides against event windows: start <= ts < end.
 
     ``calendar`` has (event_date, starts, ends, venue). A window counts on
-    every day it touches, clipped to that day; ``is_event_day`` tells whether
-    any does. The windows of a day become the number open after each instant
-    at which one starts or ends, in all and per venue, so a ride meets the
-    distinct instants of its day and never single windows.
+    every day it touches; ``is_event_day`` tells whether any does. Windows are
+    cut at full hours, so each hour stands alone: its starts and ends and its
+    rides, sorted by time, are swept once with a running count of open
+    windows, in all and per venue. A busy hour's rides are dealt into
+    ``slices``, each with all the hour's starts and ends.
     """
     whole = calendar.where("starts < ends")
-    day = F.explode(F.sequence(F.to_date("starts"), F.to_date(F.col("ends") - F.expr("interval 1 microsecond")), F.expr("interval 1 day")))
-    touched = whole.withColumn("_day", day).select(
-        "_day", "venue", F.greatest("starts", F.col("_day").cast("timestamp_ntz")).alias("a"),
-        F.least("ends", F.date_add("_day", 1).cast("timestamp_ntz")).alias("b"))
-    changes = touched.select("_day", "venue", F.inline(F.array(
-        F.struct(F.col("a").alias("at"), F.lit(1).alias("step")), F.struct(F.col("b").alias("at"), F.lit(-1).alias("step")))))
-
-    def open_after(*by: str) -> DataFrame:
-        steps = changes.groupBy("_day", *by, "at").agg(F.sum("step").alias("step"))
-        running = F.sum("step").over(Window.partitionBy("_day", *by).orderBy("at"))
-        return steps.withColumn("n", running).groupBy("_day", *by).agg(
-            F.array_sort(F.collect_list(F.struct("at", "n"))).alias(f"_open{len(by)}"))
-
-    def now(column: str) -> Column:
-        return F.coalesce(F.try_element_at(F.filter(column, lambda w: w["at"] <= F.col(ts)), F.lit(-1))["n"], F.lit(0))
-
-    dated = df.withColumns({"_day": F.to_date(ts), "_place": F.col(place)})
-    joined = lookup_join(dated, open_after(), ["_day"])
-    joined = lookup_join(joined, open_after("venue").withColumnRenamed("venue", "_place"), ["_day", "_place"])
-    return joined.withColumns({
-        "event_date": F.col("_day"), "n_events": now("_open0"), "is_event_day": flag(F.col("_open0").isNotNull()),
-        "is_during_event": flag(now("_open0") > 0), "is_at_event_venue": flag(now("_open1") > 0),
-    }).drop("_open0", "_open1", "_day", "_place")
-
-
-def asof_join(df: DataFrame, ts: str, series: DataFrame, at: str, values: Sequence[str],
-              period: str = "day") -> DataFrame:
-    """The last series row at or before each ride, however long ago.
-
-    Both sides are cut into periods. The series gives one summary per period,
-    its last row; carried forward over the periods, it answers rides that
-    precede every series row of their own period. Rides then meet the series
-    rows of their period only, so ``period`` should hold few of them.
+    hour = F.explode(F.sequence(F.date_trunc("hour", "starts").cast("timestamp_ntz"), F.col("ends") - F.expr("interval 1 microsecond"), F.expr("interval 1 hour")))
+    touched = whole.withColumn("_hour", hour).select(
+        "_hour", "venue", F.greatest("starts", "_hour").alias("a"), F.least("ends", F.col("_hour") + F.expr("interval 1 hour")).alias("b"))
+    row = F.struct(*df.columns)
+    steps = touched.select("_hour", "venue", F.inline(F.array(
+        F.struct(F.col("a").alias("_at"), F.lit(1).alias("_step")), F.struct(F.col("b").alias("_at"), F.lit(-1).alias("_step"))))) \
+        .groupBy("_hour", "venue", "_at").agg(F.sum("_step").alias("_step")) \
+        .select("_hour", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("_slice"), F.col("venue").alias("_place"), "_at", F.col("_step").cast("long"))
+    at = F.col(ts).cast("timestamp_ntz")
+    rides = df.select(F.date_trunc("hour", at).cast("timestamp_ntz").alias("_hour"), F.pmod(F.xxhash64(*df.columns), F.lit(slices)).cast("int").alias("_slice"),
+                      F.col(place).alias("_place"), at.alias("_at"), row.alias("_row"))
+    both = steps.withColumn("_row", F.lit(None).cast(rides.schema["_row"].dataType)).unionByName(
+        rides.withColumn("_step", F.lit(0).cast("long")))
+    # a step at a ride's very instant comes before the ride
+    upto = lambda *keys: Window.partitionBy(*keys).orderBy("_at", F.col("_row").isNotNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = both.withColumns({"_open": F.sum("_step").over(upto("_hour", "_slice")),
+                              "_here": F.sum("_step").over(upto("_hour", "_slice", "_place"))}).where("_row is not null")
+    days = touched.select(F.to_date("_hour").alias("_day")).distinct().withColumn("_any", F.lit(1))
+    dated = lookup_join(swept.withColumn("_day", F.to_date("_at")), days, ["_day"])
+    return dated.select("_row.*", F.col("_day").alias("event_date"), F.col("_open").cast("long").alias("n_events"),
+                        flag(F.col("_any").isNotNull()).alias("is_event_day"), flag(F.col("_open") > 0).alias("is_during_event"),
+                        flag((F.col("_here") > 0) & F.col("_place").isNotNull()).alias("is_at_event_venue"))
+
+
+def asof_join(df: DataFrame, ts: str, series: DataFrame, at: str, values: Sequence[str]) -> DataFrame:
+    """The last series row at or before each ride, however long ago; of rows at one instant the greatest.
+
+    Rides and series rows are sorted together into ranges of time. Inside a
+    range the last series row is carried along; what a range starts with is
+    the last series row of the ranges before, one row each. Rides of one
+    instant may lie in several ranges.
     """
-    row = F.struct(F.col(at).cast("timestamp_ntz").alias("at"), F.col(at).alias("_from"), *values)
-    own = series.where(F.col(at).isNotNull()).groupBy(F.date_trunc(period, at).cast("timestamp_ntz").alias("_period")).agg(
-        F.array_sort(F.collect_list(row)).alias("_own"))
-    periods = df.select(F.date_trunc(period, ts).cast("timestamp_ntz").alias("_period")).distinct().join(own, "_period", "full")
-    # one row per period of the calendar
-    before = F.last(F.element_at("_own", -1), ignorenulls=True).over(
-        Window.orderBy("_period").rowsBetween(Window.unboundedPreceding, -1))
-    known = periods.withColumn("_before", before)
-    joined = lookup_join(df.withColumn("_period", F.date_trunc(period, ts).cast("timestamp_ntz")), known, ["_period"])
-    mine = F.filter("_own", lambda r: r["at"] <= F.col(ts).cast("timestamp_ntz"))
-    hit = F.coalesce(F.try_element_at(mine, F.lit(-1)), F.col("_before"))
-    return joined.withColumn("_hit", hit).select(
-        *df.columns, F.col("_hit._from").alias(f"{at}_matched"), *[F.col(f"_hit.{v}") for v in values])
+    row, item = F.struct(*df.columns), F.struct(F.col(at).alias("_from"), *values)
+    known = series.where(F.col(at).isNotNull()).select(F.col(at).cast("timestamp_ntz").alias("_t"), F.lit(0).alias("_kind"), F.lit(0).cast("long").alias("_salt"),
+                                                       item.alias("_item"))
+    rides = df.select(F.col(ts).cast("timestamp_ntz").alias("_t"), F.lit(1).alias("_kind"), F.xxhash64(*df.columns).alias("_salt"), row.alias("_row"))
+    both = known.unionByName(rides, allowMissingColumns=True)
+    order = ["_t", "_kind", "_item", "_salt"]
+    dealt = cut_lineage(both.repartitionByRange(*order)).withColumn("_part", F.spark_partition_id())
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # one row per range
+    ends = dealt.groupBy("_part").agg(F.max(F.when(F.col("_kind") == 0, F.struct("_t", "_item"))).alias("_last"))
+    before = ends.select("_part", F.last("_last._item", ignorenulls=True).over(
+        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
+    carried = dealt.withColumn("_hit", F.last("_item", ignorenulls=True).over(inside)).where("_kind = 1")
+    # a ride without a time matches nothing
+    hit = F.when(F.col("_t").isNotNull(), F.coalesce("_hit", "_before"))
+    return lookup_join(carried, before, ["_part"]).withColumn("_hit", hit).select(
+        "_row.*", F.col("_hit._from").alias(f"{at}_matched"), *[F.col(f"_hit.{v}") for v in values])
 
 
 def keyed_join(df: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
