@@ -15,7 +15,12 @@ from larkspur.operators import cleaning, decisions, encoding, evaluation, joins,
 from larkspur.sources.tables import Tables
 
 C = F.col
-SIZE = 500  # below the row count of every test scale, so that sampling takes place
+QUARTER = 4  # samples are a quarter of their table
+_SIZE = f"(select count(*) // {QUARTER} from strata)"
+
+
+def size(df) -> int:
+    return df.count() // QUARTER
 
 
 def md5_sql(key: str = "ride_id") -> str:
@@ -32,26 +37,26 @@ def strata_key(t: Tables):
 
 view("ranked_strata", f"""select *, row_number() over (partition by stratum order by {md5_sql()}, ride_id) as rn,
   count(*) over (partition by stratum) as n_s, (select count(*) from strata) as n_all from strata""", "strata")
-view("sampled", f"select * from ranked_strata where rn <= greatest(1, floor(n_s / n_all * {SIZE}))", "ranked_strata")
+view("sampled", f"select * from ranked_strata where rn <= greatest(1, floor(n_s / n_all * (n_all // {QUARTER})))", "ranked_strata")
 view("topped", f"""select ride_id, stratum, price, cab_type, 'stratified' as origin from sampled union all
   select ride_id, stratum, price, cab_type, 'top_up' from (select *, row_number() over (order by {md5_sql()}, ride_id)
     as r2 from ranked_strata where ride_id not in (select ride_id from sampled))
-  where r2 <= {SIZE} - (select count(*) from sampled)""", "sampled")
+  where r2 <= {_SIZE} - (select count(*) from sampled)""", "sampled")
 
 
 @query("select ride_id, stratum from sampled", "sampled")
 def stratified_sample(t: Tables):
-    return sampling.stratified_sample(strata(t), "ride_id", "stratum", SIZE).select("ride_id", "stratum")
+    return sampling.stratified_sample(strata(t), "ride_id", "stratum", size(strata(t))).select("ride_id", "stratum")
 
 
 @query("select ride_id, stratum, origin from topped", "topped")
 def sample_top_up(t: Tables):
-    return sampling.sample_with_top_up(strata(t), "ride_id", "stratum", SIZE).select("ride_id", "stratum", "origin")
+    return sampling.sample_with_top_up(strata(t), "ride_id", "stratum", size(strata(t))).select("ride_id", "stratum", "origin")
 
 
-@query(f"select ride_id, price from priced order by {md5_sql()}, ride_id limit {SIZE}", "priced")
+@query(f"select ride_id, price from priced order by {md5_sql()}, ride_id limit (select count(*) // {QUARTER} from priced)", "priced")
 def cap_sample(t: Tables):
-    return sampling.cap_sample(t.priced.select("ride_id", "price"), "ride_id", SIZE)
+    return sampling.cap_sample(t.priced.select("ride_id", "price"), "ride_id", size(t.priced))
 
 
 @query(f"""select ride_id, row_number() over (order by {md5_sql()}, ride_id) <= ceil(0.2e0 * count(*) over ()) as is_test,
@@ -93,7 +98,7 @@ def pick_examples(t: Tables):
        "banded sampled", doubles="population_share sample_share")
 def stratum_balance(t: Tables):
     df = strata(t).withColumn("band", price_band(C("price")))
-    sample = sampling.stratified_sample(df, "ride_id", "stratum", SIZE)
+    sample = sampling.stratified_sample(df, "ride_id", "stratum", size(df))
     return sampling.stratum_balance(df, sample, ["cab_type", "band"])
 
 
@@ -155,7 +160,7 @@ def valid_strata_semi(t: Tables):
 
 @query("select ride_id, stratum from strata where ride_id not in (select ride_id from sampled)", "strata sampled")
 def not_sampled_anti(t: Tables):
-    return sampling.outside_sample(strata(t), "ride_id", "stratum", SIZE).select("ride_id", "stratum")
+    return sampling.outside_sample(strata(t), "ride_id", "stratum", size(strata(t))).select("ride_id", "stratum")
 
 
 @query("""select ride_id, route, coalesce(code, -1) as route_encoded from (select ride_id,
@@ -304,7 +309,7 @@ def distinct_pairs(t: Tables):
 @query("select origin, count(*) as n, count(distinct ride_id) as n_distinct, sum(price) as total_price from topped "
        "group by 1", "topped", doubles="total_price", digits=3)
 def union_samples(t: Tables):
-    sample = sampling.sample_with_top_up(strata(t), "ride_id", "stratum", SIZE)
+    sample = sampling.sample_with_top_up(strata(t), "ride_id", "stratum", size(strata(t)))
     return sample.groupBy("origin").agg(F.count("*").alias("n"), F.countDistinct("ride_id").alias("n_distinct"),
                                         F.sum("price").alias("total_price"))
 
