@@ -219,7 +219,7 @@ _SETS = {"base": housing_plan.RAW, "with ratios": housing_plan.feature_sets()["b
 
 
 @query(grid_sql(_SETS, REGRESSORS))
-def model_grid(t: Tables):
+def model_grid_shape(t: Tables):
     """The five regressors on two feature sets of housing blocks."""
     from larkspur.operators import sampling
     split = sampling.split_by_hash(house_table(t), "block_id")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from larkspur.catalog.registry import query, view
 from larkspur.functions import geo
-from larkspur.models import grower
+from larkspur.models import grid, grower, linear, trees
+from larkspur.models.bayes import GaussianBayes
 from larkspur.sources.tables import Tables
 
 C = F.col
@@ -188,3 +189,94 @@ def forest_predictions(t: Tables):
     """Every block's mean over five trees."""
     fit = grower.fit_forest(banded_blocks(t), FEATURES, "cents", grower.Rule(8), 5, key="block_id", local=400)
     return fit.transform(banded_blocks(t)).select("block_id", "prediction")
+
+
+# --- results tables with every score recomputed ------------------------------------------
+SETS = {"base": ["HouseAge", "IncBand"], "rooms": ["AveBedrms", "RoomBand"]}
+DEPTH = 4
+
+view("split_blocks", """select *, round(cents / 10000) as y, cast('0x' || substr(md5(concat(cast(block_id as varchar), ':42')), 1, 8) as ubigint)
+  % 100 < 20 as is_test from banded_blocks""", "banded_blocks")
+
+
+def split_blocks(t: Tables):
+    from larkspur.operators import sampling
+    return sampling.split_by_hash(banded_blocks(t).withColumn("y", F.round(C("cents") / 10000)), "block_id")
+
+
+def _tree_scores(p: str, columns: list[str], target: str) -> tuple[list[str], str]:
+    """CTEs, and a query (id, p) of test blocks' leaf values in a tree grown on the train part."""
+    xs = ", ".join(f"{c} as x{i}" for i, c in enumerate(columns))
+    rows = f"select cast(0 as bigint) as tree, block_id as id, {xs}, 1e0 as n, 1e0 as w, cast({target} as double) as g from split_blocks where not is_test"
+    ctes = _levels(p, rows, len(columns), DEPTH)
+    each = " union all ".join(f"select {i} as f, {c} as v from split_blocks where not is_test" for i, c in enumerate(columns))
+    ctes.append(f"{p}m as (select f, v, (v + lead(v) over (partition by f order by v)) / 2 as level from (select distinct * from ({each})))")
+    ctes.append(f"{p}w0 as (select block_id as id, {xs}, cast(1 as bigint) as node from split_blocks where is_test)")
+    values = ", ".join(f"x{i}" for i in range(len(columns)))
+    for level in range(DEPTH):
+        ctes.append(f"""{p}w{level + 1} as (select w.* exclude (node), case when b.node is null then w.node else 2 * w.node
+          + cast([{values}][b.f + 1] > m.level as bigint) end as node from {p}w{level} w left join {p}b{level} b on w.node = b.node
+          left join {p}m m on b.f = m.f and b.v = m.v)""")
+    return ctes, f"select id, value as p from {p}w{DEPTH} join ({_nodes(p, DEPTH)}) using (node)"
+
+
+def _line_scores(a: str, b: str, alpha: str | None) -> str:
+    """(id, p) of least squares on two columns, ridge on scaled ones if ``alpha`` is given."""
+    sa, sb = ("1e0", "1e0") if alpha is None else (f"stddev_pop({a})", f"stddev_pop({b})")
+    more = "" if alpha is None else f" + {alpha} / count(*)"
+    aa, bb, ab = f"(var_pop({a}) / ({sa} * {sa}){more})", f"(var_pop({b}) / ({sb} * {sb}){more})", f"(covar_pop({a}, {b}) / ({sa} * {sb}))"
+    ya, yb = f"(covar_pop(y, {a}) / {sa})", f"(covar_pop(y, {b}) / {sb})"
+    det = f"({aa} * {bb} - {ab} * {ab})"
+    return f"""select block_id as id, my + wa * ({a} - ma) / sa + wb * ({b} - mb) / sb as p from split_blocks, (select avg(y) as my, avg({a}) as ma, avg({b}) as mb,
+      {sa} as sa, {sb} as sb, ({ya} * {bb} - {yb} * {ab}) / {det} as wa, ({yb} * {aa} - {ya} * {ab}) / {det} as wb from split_blocks where not is_test) where is_test"""
+
+
+def _grid_sql() -> str:
+    ctes, parts = [], []
+    for name, columns in SETS.items():
+        more, tree = _tree_scores(f"{name}_", columns, "y")
+        ctes += more
+        for model, rows in (("OLS", _line_scores(*columns, None)), ("Ridge", _line_scores(*columns, "1e0")), ("Decision Tree", tree)):
+            parts.append(f"""select '{name}' as feature_set, '{model}' as model, cast({len(columns)} as int) as n_features,
+              1 - avg((y - p) * (y - p)) / var_pop(y) as r2, avg(abs(y - p)) as mae, avg((y - p) * (y - p)) as mse, sqrt(avg((y - p) * (y - p))) as rmse
+              from ({rows}) x join split_blocks s on x.id = s.block_id""")
+    return f"select * from (with {', '.join(ctes)} {' union all '.join(parts)})"
+
+
+@query(_grid_sql(), "split_blocks", doubles="r2 mae mse rmse", digits=5)
+def model_grid(t: Tables):
+    """Three regressors on two feature sets: fitted on the train part, every score of the test part."""
+    models = {"OLS": grid.Model(linear.fit_ols), "Ridge": grid.Model(linear.fit_ridge),
+              "Decision Tree": grid.Model(lambda d, f, y: trees.fit_grown_regressor(d, f, y, DEPTH), scaled=False)}
+    return grid.run_grid(split_blocks(t), SETS, "y", models, grid.score_regression, grid.REG_METRICS)
+
+
+def _bayes_scores(a: str, b: str) -> str:
+    stats = ", ".join(f"avg({c}) as m{i}, var_pop({c}) as v{i}" for i, c in enumerate((a, b)))
+    floor = f"(select 1e-9 * greatest(var_pop({a}), var_pop({b})) from split_blocks where not is_test)"
+    score = "ln(prior)" + "".join(f" - 0.5e0 * ln(2 * pi() * (v{i} + eps)) - ({c} - m{i}) * ({c} - m{i}) / (2 * (v{i} + eps))" for i, c in enumerate((a, b)))
+    return f"""select id, cls as p from (select s.block_id as id, k.cls, row_number() over (partition by s.block_id order by {score} desc, k.cls) as place
+      from split_blocks s, (select rich as cls, count(*) / (select count(*) from split_blocks where not is_test) as prior, {floor} as eps, {stats}
+      from split_blocks where not is_test group by 1) k where s.is_test) where place = 1"""
+
+
+def _class_grid_sql() -> str:
+    ctes, parts = [], []
+    for name, columns in SETS.items():
+        more, tree = _tree_scores(f"{name}_", columns, "rich")
+        ctes += more
+        for model, rows in (("Naive Bayes", _bayes_scores(*columns)), ("Decision Tree", f"select id, cast(p > 0.5e0 as int) as p from ({tree})")):
+            hit = "count(*) filter (p = 1 and rich = 1)"
+            parts.append(f"""select '{name}' as feature_set, '{model}' as model, cast({len(columns)} as int) as n_features, avg(cast(p = rich as int)) as accuracy,
+              coalesce(2e0 * {hit} / nullif(count(*) filter (p = 1) + count(*) filter (rich = 1), 0), 0) as f1,
+              coalesce({hit} / nullif(count(*) filter (p = 1), 0), 0) as precision, coalesce({hit} / nullif(count(*) filter (rich = 1), 0), 0) as recall
+              from ({rows}) x join split_blocks s on x.id = s.block_id""")
+    return f"select * from (with {', '.join(ctes)} {' union all '.join(parts)})"
+
+
+@query(_class_grid_sql(), "split_blocks", doubles="accuracy f1 precision recall")
+def model_grid_classes(t: Tables):
+    """Two classifiers on two feature sets, every score of the test part."""
+    models = {"Naive Bayes": grid.Model(GaussianBayes.fit, scaled=False),
+              "Decision Tree": grid.Model(lambda d, f, y: trees.fit_grown_classifier(d, f, y, DEPTH), scaled=False)}
+    return grid.run_grid(split_blocks(t), SETS, "rich", models, grid.score_binary, grid.CLF_METRICS)
