@@ -15,6 +15,7 @@ break, so texts are aligned one distinct stretch at a time.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -33,7 +34,7 @@ BUCKETS_AT_ONCE = 16
 FAN_IN = 8
 CHUNK = 1000
 
-_CACHED = 200_000
+_CACHED = 500_000
 _KEPT_PAIRS = 1 << 20
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 _RUN = re.compile(r"\s[ \n]|\x00")
@@ -49,12 +50,19 @@ def _byte_letters() -> dict[str, int]:
 
 @dataclass
 class Aligned:
-    """Some stretches: per stretch the numbers of A tokens, B tokens, groups and links, and whether bytes were kept."""
+    """Some stretches, in an order of its own.
 
+    ``stats`` has the numbers of A tokens, B tokens, groups and links; the links
+    of stretch i are ``links[bounds[i]:bounds[i + 1]]``; its groups' text ends
+    in a semicolon. Stretches whose bytes were changed are in ``lost``.
+    """
+
+    stretches: list[str]
     stats: np.ndarray
-    texts: list[bytes]
-    links: list[np.ndarray]
-    good: list[bool]
+    bounds: np.ndarray
+    links: np.ndarray
+    texts: list[str]
+    lost: list[str]
 
 
 class Aligner:
@@ -84,6 +92,8 @@ class Aligner:
                 whole |= "\n" in piece or re.search("[^▁]▁", piece) is not None
         #: A piece across a blank leaves only whole texts to align.
         self.whole = whole
+        #: A's ids before a comma, before a bar; B's before a comma, before a semicolon.
+        self.written = [f"{i}{end}" for size, ends in ((len(self.a_bytes), ",|"), (len(self.b_bytes), ",;")) for end in ends for i in range(size)]
         self.a_size = np.array([len(x) for x in self.a_bytes])
         self.b_size = np.array([len(x) for x in self.b_bytes])
 
@@ -98,59 +108,71 @@ class Aligner:
 
     def align(self, stretches: list[str], with_text: bool) -> Aligned:
         """Stretches that end in a visible character are aligned as one text behind a letter, others one by one."""
-        out = Aligned(np.zeros((len(stretches), 4), np.int64), [b""] * len(stretches), [np.zeros(0, np.int64)] * len(stretches),
-                      [False] * len(stretches))
-        alone = [i for i, s in enumerate(stretches) if s[-1].isspace() or "▁" in s or len(s) > 200]
+        alone = [s for s in stretches if s[-1].isspace() or "▁" in s or len(s) > 200]
         apart = set(alone)
-        together = [i for i in range(len(stretches)) if i not in apart]
-        for low in range(0, 0 if self.whole else len(together), CHUNK):
+        together = [s for s in stretches if s not in apart]
+        parts: list[Aligned] = []
+        lost: list[str] = []
+        if self.whole:
+            alone, together = stretches, []
+        for low in range(0, len(together), CHUNK):
             part = together[low:low + CHUNK]
-            if not self._joined(out, part, stretches, with_text):
-                alone += part
-        for i in range(len(stretches)) if self.whole else alone:
-            self._joined(out, [i], stretches, with_text)
-        return out
-
-    def _joined(self, out: Aligned, part: list[int], stretches: list[str], with_text: bool) -> bool:
-        """Align stretches as one text, behind a letter unless they are whole texts."""
-        led = not self.whole
-        text = "x" * led + "".join([stretches[i] for i in part])
-        a, b = self.a.encode(text, add_special_tokens=False).ids, self.b.encode(text[not led:], num_threads=1)
-        ends = led + np.cumsum([len(stretches[i].encode()) for i in part])
-        return self._fill(out, part, a, b, text.encode(), led, ends, with_text)
+            found = self._joined(part, with_text)
+            if found is None:
+                alone = alone + part
+            else:
+                parts.append(found)
+        for s in alone:
+            found = self._joined([s], with_text)
+            if found is None:
+                lost.append(s)
+            else:
+                parts.append(found)
+        starts = np.cumsum([0, *[len(p.links) for p in parts]])
+        return Aligned([s for p in parts for s in p.stretches],
+                       np.concatenate([np.zeros((0, 4), np.int64), *[p.stats for p in parts]]),
+                       np.concatenate([np.zeros(1, np.int64), *[p.bounds[1:] + at for p, at in zip(parts, starts)]]),
+                       np.concatenate([np.zeros(0, np.int64), *[p.links for p in parts]]), [t for p in parts for t in p.texts], lost)
 
-    def _fill(self, out: Aligned, part: list[int], a: list[int], b: list[int], raw: bytes, led: bool, ends: np.ndarray,
-              with_text: bool) -> bool:
-        """Write the alignment of stretches that end at ``ends`` of ``raw``; False if bytes differ or an end is no token's.
+    def _joined(self, part: list[str], with_text: bool) -> Aligned | None:
+        """Alignment of stretches as one text, behind a letter unless they are whole texts.
 
-        A ``led`` text has a letter in front, before which B has added its blank.
+        None if a tokenizer changes bytes or the end of a stretch is no token's.
         """
-        if b"".join([self.a_bytes[i] for i in a]) != raw or b"".join([self.b_bytes[i] for i in b]) != b" " * led + raw:
-            return False
+        led = not self.whole
+        text = "x" * led + "".join(part)
+        raw = text.encode()
+        a, b = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.b.encode(text[not led:], num_threads=1)
+        # B has added its blank before the letter
+        if b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != b" " * led + raw:
+            return None
+        ends = led + np.cumsum([len(s) if s.isascii() else len(s.encode()) for s in part])
         a, b = np.array(a, np.int64), np.array(b, np.int64)
         a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]) - led
         if led:
             a_from, b_from = np.searchsorted(a_end, 1), np.searchsorted(b_end, 1)
             if a_end[a_from] != 1 or b_end[b_from] != 1:
-                return False
+                return None
             a, a_end, b, b_end = a[a_from + 1:], a_end[a_from + 1:], b[b_from + 1:], b_end[b_from + 1:]
         both = np.intersect1d(a_end, b_end, assume_unique=True)
         if not len(both) or not np.array_equal(both[np.searchsorted(both, ends).clip(max=len(both) - 1)], ends):
-            return False
+            return None
         every = np.union1d(a_end, b_end)
-        pairs = (a[np.searchsorted(a_end, every)] << 32) | b[np.searchsorted(b_end, every)]
+        links = (a[np.searchsorted(a_end, every)] << 32) | b[np.searchsorted(b_end, every)]
         bounds = [np.concatenate(([0], np.searchsorted(x, ends, "right"))) for x in (a_end, b_end, both, every)]
-        out.stats[part] = np.stack([np.diff(x) for x in bounds], axis=1)
-        for i, low, high in zip(part, bounds[3][:-1].tolist(), bounds[3][1:].tolist()):
-            out.links[i], out.good[i] = pairs[low:high], True
-        if with_text:
-            a_text, b_text = list(map(str, a.tolist())), list(map(str, b.tolist()))
-            a_at, b_at = ([0, *np.searchsorted(x, both, "right").tolist()] for x in (a_end, b_end))
-            groups = [f"{','.join(a_text[p:q])}|{','.join(b_text[r:s])}" for p, q, r, s in zip(a_at, a_at[1:], b_at, b_at[1:])]
-            cuts = bounds[2].tolist()
-            for i, low, high in zip(part, cuts, cuts[1:]):
-                out.texts[i] = ";".join(groups[low:high]).encode()
-        return True
+        stats = np.stack([np.diff(x) for x in bounds], axis=1)
+        texts = self._texts(a, a_end, b, b_end, both, bounds[0] + bounds[1]) if with_text else []
+        return Aligned(part, stats, bounds[3], links, texts, [])
+
+    def _texts(self, a, a_end, b, b_end, both, bounds) -> list[str]:
+        """Each stretch's groups as text: tokens in order of group, side and place, each with what follows it."""
+        a_last, b_last = np.isin(a_end, both, assume_unique=True), np.isin(b_end, both, assume_unique=True)
+        group = np.concatenate([2 * np.searchsorted(both, a_end), 2 * np.searchsorted(both, b_end) + 1])
+        sizes = len(self.a_bytes), len(self.b_bytes)
+        code = np.concatenate([a + sizes[0] * a_last, 2 * sizes[0] + b + sizes[1] * b_last])
+        words = list(map(self.written.__getitem__, code[np.argsort(group, kind="stable")].tolist()))
+        cuts = bounds.tolist()
+        return ["".join(words[low:high]) for low, high in zip(cuts, cuts[1:])]
 
 
 @lru_cache(maxsize=4)
@@ -248,66 +270,106 @@ def _rows_of(batch, limit: int = 1 << 21):
             low, held = i + 1, 0
 
 
+def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places start, start + 1, ... of every run."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+class _Known:
+    """Stretches met so far by number; -1 for those whose bytes a tokenizer changes."""
+
+    def __init__(self, aligner: Aligner, with_text: bool):
+        self.aligner, self.with_text = aligner, with_text
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.size = 0
+
+    def learn(self, texts: list[str | None]) -> tuple[list[list[str]], Aligned, bool]:
+        """The texts' stretches, the alignment of new ones, and whether all others were forgotten."""
+        split = [self.aligner.cut(t) if t else [] for t in texts]
+        met = set().union(*split)
+        new = [s for s in met if s not in self.number]
+        forgotten = len(self.number) + len(new) > _CACHED
+        if forgotten:
+            self.clear()
+            new = list(met)
+        found = self.aligner.align(new, self.with_text)
+        self.number |= dict(zip(found.stretches, range(self.size, self.size + len(found.stretches))))
+        self.number |= dict.fromkeys(found.lost, -1)
+        self.size += len(found.stretches)
+        return split, found, forgotten
+
+    def numbers(self, split: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(documents with tokens, their numbers of stretches, numbers of those stretches)."""
+        sizes = np.array([len(s) for s in split], np.int64)
+        at = np.fromiter(map(self.number.__getitem__, itertools.chain.from_iterable(split)), np.int64, int(sizes.sum()))
+        whose = np.repeat(np.arange(len(split)), sizes)
+        good = sizes > 0
+        good[whose[at < 0]] = False
+        return np.flatnonzero(good), sizes[good], at[good[whose]]
+
+
 def _first_pass(byte_path: str, piece_path: str):
     def scan(batches):
-        aligner = _aligner(byte_path, piece_path)
-        known: dict[str, np.ndarray | None] = {}
+        known = _Known(_aligner(byte_path, piece_path), False)
         number: dict[int, int] = {}
-        counts = np.zeros(1 << 12, np.int64)
+        counts = np.zeros(0, np.int64)
+        starts = sizes = flat = np.zeros(0, np.int64)
 
         def kept():
             keys = np.fromiter(number, np.int64, len(number))
             for low in range(0, len(keys), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[low:low + (1 << 16)]), pa.array(counts[low:min(low + (1 << 16), len(keys))])],
-                                                 names=["pair", "n"])
+                part = keys[low:low + (1 << 16)]
+                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(counts[low:low + len(part)])], names=["pair", "n"])
 
         for batch in batches:
             for _, texts in _rows_of(batch):
-                split = [aligner.cut(t) if t else [] for t in texts]
-                new = [s for s in set().union(*split) if s not in known]
-                if len(known) + len(new) > _CACHED or len(number) > _KEPT_PAIRS:
-                    if len(number) > _KEPT_PAIRS:
-                        yield from kept()
-                        number, counts = {}, np.zeros(1 << 12, np.int64)
-                    known, new = {}, list(set().union(*split))
-                found = aligner.align(new, False)
-                for s, links, good in zip(new, found.links, found.good):
-                    known[s] = np.array([number.setdefault(p, len(number)) for p in set(links.tolist())], np.int64) if good else None
-                if len(number) > len(counts):
-                    counts = np.concatenate([counts, np.zeros(max(len(counts), len(number) - len(counts)), np.int64)])
-                for stretches in split:
-                    held = [known[s] for s in set(stretches)]
-                    if held and all(h is not None for h in held):
-                        counts[np.unique(np.concatenate(held))] += 1
+                if len(number) > _KEPT_PAIRS:
+                    yield from kept()
+                    number, counts = {}, counts[:0]
+                    known.clear()
+                    starts = sizes = flat = flat[:0]
+                split, found, forgotten = known.learn(texts)
+                if forgotten:
+                    starts = sizes = flat = flat[:0]
+                distinct, which = np.unique(found.links, return_inverse=True)
+                ids = np.array([number.setdefault(p, len(number)) for p in distinct.tolist()], np.int64)
+                starts = np.concatenate([starts, len(flat) + found.bounds[:-1]])
+                sizes = np.concatenate([sizes, np.diff(found.bounds)])
+                flat = np.concatenate([flat, ids[which]])
+                counts = np.concatenate([counts, np.zeros(len(number) - len(counts), np.int64)])
+                docs, per_doc, at = known.numbers(split)
+                pairs = flat[_ragged(starts[at], sizes[at])]
+                whose = np.repeat(np.repeat(np.arange(len(docs)), per_doc), sizes[at])
+                counts += np.bincount(np.unique(whose * max(1, len(number)) + pairs) % max(1, len(number)), minlength=len(number))
         yield from kept()
     return scan
 
 
 def _second_pass(byte_path: str, piece_path: str, shared, best, number_of_table: int):
     def scan(batches):
-        aligner, table, top, number = _aligner(byte_path, piece_path), shared.value, best.value, number_of_table
-        known: dict[str, int] = {}
+        table, top, first = shared.value, best.value, number_of_table == 0
+        known = _Known(_aligner(byte_path, piece_path), first)
         stats, texts = np.zeros((0, 6), np.int64), []
         for batch in batches:
             for low, rows in _rows_of(batch):
-                split = [aligner.cut(t) if t else [] for t in rows]
-                new = [s for s in set().union(*split) if s not in known]
-                if len(known) + len(new) > _CACHED:
-                    known, stats, texts, new = {}, stats[:0], [], list(set().union(*split))
-                found = aligner.align(new, number == 0)
-                sums = _sums(found.links, table, top)
-                known |= {s: len(known) + i for i, s in enumerate(new)}
-                # a stretch that lost bytes: no row of its own, its documents have no tokens
-                known |= {s: -1 for s, good in zip(new, found.good) if not good}
-                stats = np.concatenate([stats, np.concatenate([found.stats, sums], axis=1)])
+                split, found, forgotten = known.learn(rows)
+                if forgotten:
+                    stats, texts = stats[:0], []
+                stats = np.concatenate([stats, np.concatenate([found.stats, _sums(found, table, top)], axis=1)])
                 texts += found.texts
+                docs, per_doc, at = known.numbers(split)
                 out, digests = np.zeros((len(rows), 6), np.int64), [""] * len(rows)
-                for i, stretches in enumerate(split):
-                    at = [known[s] for s in stretches]
-                    if at and min(at) >= 0:
-                        out[i] = stats[at].sum(axis=0)
-                        if number == 0:
-                            digests[i] = hashlib.sha256(b";".join([texts[k] for k in at])).hexdigest()
+                if len(docs):
+                    out[docs] = np.add.reduceat(stats[at], np.cumsum(per_doc) - per_doc, axis=0)
+                if first:
+                    low_at = 0
+                    for i, size in zip(docs.tolist(), per_doc.tolist()):
+                        whole = "".join([texts[k] for k in at[low_at:low_at + size].tolist()])
+                        digests[i] = hashlib.sha256(whole[:-1].encode()).hexdigest()
+                        low_at += size
                 part = batch.slice(low, len(rows))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), *[pa.array(out[:, k]) for k in range(6)], pa.array(digests, pa.string())],
@@ -315,20 +377,16 @@ def _second_pass(byte_path: str, piece_path: str, shared, best, number_of_table:
     return scan
 
 
-def _sums(links: list[np.ndarray], table: Table, best: np.ndarray) -> np.ndarray:
+def _sums(found: Aligned, table: Table, best: np.ndarray) -> np.ndarray:
     """Per stretch: links with their A id's highest count, and the sum of counts, over the pairs of ``table``."""
-    sizes = np.array([len(x) for x in links], np.int64)
-    pairs = np.concatenate(links) if len(links) else np.zeros(0, np.int64)
+    pairs, which = np.unique(found.links, return_inverse=True)
     count = np.zeros(len(pairs), np.int64)
     for bucket, at, slots in table.each(pairs):
         count[at] = table.counts[bucket][slots]
     top = count > 0
     top[top] = count[top] == best[pairs[top] >> 32]
-    whose = np.repeat(np.arange(len(links)), sizes)
-    out = np.zeros((len(links), 2), np.int64)
-    np.add.at(out, (whose, 0), top)
-    np.add.at(out, (whose, 1), count)
-    return out
+    upto = np.concatenate([np.zeros((1, 2), np.int64), np.cumsum(np.stack([top[which], count[which]], axis=1), axis=0)])
+    return upto[found.bounds[1:]] - upto[found.bounds[:-1]]
 
 
 def _hashed(key, table):
