@@ -14,6 +14,7 @@ gave back is dealt into fewer blocks and packed again, until one block is left.
 from __future__ import annotations
 
 import random
+import re
 import zlib
 from functools import lru_cache
 
@@ -33,9 +34,12 @@ ROUNDS = 3
 GENERATIONS = 10
 GIVEN_BACK = 1 / 16
 
-_CACHED_WORDS = 200_000
+_CACHED_WORDS = 600_000
 _MARK = "\x01"
 _END_ID = b"\0\0\0\0"
+#: What keeps a text from being lower-cased as a whole: letters that NFC may change, the mark, added tokens.
+_STRANGE = re.compile("[\u0300-\U0010ffff\x01]|<\\|")
+_SIGNS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 
 
 class WordTokens:
@@ -43,10 +47,10 @@ class WordTokens:
 
     The tokenizer drops white space and none of its steps looks across it, so
     ids of a text are those of its words. Words below U+0300 are unchanged by
-    NFC and lower-cased letter by letter; many of them go through a tokenizer
-    without normalizer as one text, told apart by a mark. Other words, and
-    those that hold the mark or may hold an added token, go whole through the
-    tokenizer.
+    NFC and lower-cased letter by letter, and signs behind their letters are
+    tokens apart; many of them go through a tokenizer without normalizer as
+    one text, told apart by a mark. Other words, and those that hold the mark
+    or may hold an added token, go whole through the tokenizer.
     """
 
     def __init__(self, path: str):
@@ -59,30 +63,54 @@ class WordTokens:
         self.mark = mark[0]
         self.known: dict[str, bytes] = {"": b""}
 
-    def _learn(self, words: list[str]) -> None:
-        plain, other = [], []
+    def _encode(self, words) -> None:
+        """Learn lower-case words without marks or added tokens."""
+        new, ended = [], []
         for w in words:
-            (plain if max(w) < "̀" and "<|" not in w and _MARK not in w else other).append(w)
+            # letters and a run of signs behind them are tokens apart
+            letters = w.rstrip(_SIGNS)
+            if letters != w and letters.isalpha():
+                ended.append((w, letters, w[len(letters):]))
+            else:
+                new.append(w)
+        if ended:
+            new = list({*new, *[x for _, letters, signs in ended for x in (letters, signs) if x not in self.known]})
         between = f" {_MARK} "
-        for low in range(0, len(plain), 1000):
-            part = plain[low:low + 1000]
-            ids = np.array(self.bare.encode_batch_fast([between.join(part).lower()], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(ids == self.mark)
-            for w, a, b in zip(part, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True):
-                self.known[w] = ids[a:b].tobytes()
+        for low in range(0, len(new), 1000):
+            part = new[low:low + 1000]
+            ids = np.array(self.bare.encode_batch_fast([between.join(part)], add_special_tokens=False)[0].ids, "<u4")
+            cuts, raw = (4 * np.flatnonzero(ids == self.mark)).tolist(), ids.tobytes()
+            for w, a, b in zip(part, [0, *[c + 4 for c in cuts]], [*cuts, len(raw)], strict=True):
+                self.known[w] = raw[a:b]
+        for w, letters, signs in ended:
+            self.known[w] = self.known[letters] + self.known[signs]
+
+    def _learn(self, words: set[str], plain: bool) -> None:
+        if plain:
+            return self._encode(words)
+        other = [w for w in words if _STRANGE.search(w)]
+        strange = set(other)
+        lower = {w: w.lower() for w in words if w not in strange}
+        self._encode({x for x in lower.values() if x not in self.known})
+        for w, low in lower.items():
+            self.known[w] = self.known[low]
         if other:
             for w, e in zip(other, self.whole.encode_batch_fast(other, add_special_tokens=False)):
                 self.known[w] = np.array(e.ids, "<u4").tobytes()
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit numbers."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        words = set().union(*split)
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > _CACHED_WORDS:
-            self.known = {"": b""}
-            new = [w for w in words if w]
-        self._learn(new)
+        plain = [_STRANGE.search(t) is None for t in texts]
+        split = [(t.lower() if p else t).replace("\n", " ").split(" ") for t, p in zip(texts, plain)]
+        low, raw = (set().union(*[s for s, p in zip(split, plain) if p is kind]) for kind in (True, False))
+        raw -= low
+        if len(self.known) + len(low) + len(raw) > _CACHED_WORDS:
+            unknown = [sum(w not in self.known for w in words) for words in (low, raw)]
+            if len(self.known) + sum(unknown) > _CACHED_WORDS:
+                self.known = {"": b""}
+        known = self.known
+        self._learn({w for w in low if w not in known}, True)
+        self._learn({w for w in raw if w not in known}, False)
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
@@ -101,12 +129,12 @@ def pieces(documents: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
     def scan(batches):
         tokens = _tokens(tokenizer)
         for batch in batches:
-            low, texts = 0, batch.column(1)
-            sizes = np.cumsum([0, *[len(t or "") for t in texts.to_pylist()]])
+            low, texts = 0, [t or "" for t in batch.column(1).to_pylist()]
+            sizes = np.cumsum([0, *map(len, texts)])
             while low < len(texts):
                 high = max(low + 1, int(np.searchsorted(sizes, sizes[low] + (1 << 21), "right")) - 1)
                 out = []
-                for at, ids in zip(range(low, high), tokens.ids([t or "" for t in texts.slice(low, high - low).to_pylist()])):
+                for at, ids in zip(range(low, high), tokens.ids(texts[low:high])):
                     ids += _END_ID
                     view, step = memoryview(ids), 4 * capacity
                     out += [(at, i, i * capacity, min(step, len(ids) - i * step) // 4, zlib.crc32(view[i * step:(i + 1) * step]))
@@ -288,14 +316,16 @@ def _closed(capacity: int, given_back: float):
 def pack_lengths(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, islands: int = ISLANDS, rounds: int = ROUNDS,
                  given_back: float = GIVEN_BACK, seed: int = 0) -> DataFrame:
     """(uid, sequence, offset) for items (uid, length), uids unique and lengths from 1 to ``capacity - 1``."""
-    level, done = 0, None
+    level, done, parallel = 0, None, 2 * items.sparkSession.sparkContext.defaultParallelism
     items = cut_lineage(items.select("uid", "length"))
     while True:
         blocks = max(1, -(-items.count() // block))
         dealt = items.withColumn("block", F.pmod(F.xxhash64("uid", F.lit(level)), F.lit(blocks)))
         state = cut_lineage(dealt.groupBy("block").applyInArrow(_opened(islands), _STATE))
         for number in range(rounds):
-            state = cut_lineage(state.groupBy("block", "island").applyInArrow(_evolved(level, number, islands, capacity, seed), _STATE))
+            # few bytes but long to evolve: not to be merged into a few tasks
+            spread = state.repartition(max(parallel, blocks * islands // 8), "block", "island")
+            state = cut_lineage(spread.groupBy("block", "island").applyInArrow(_evolved(level, number, islands, capacity, seed), _STATE))
         best = cut_lineage(state.groupBy("block").applyInArrow(_closed(capacity, given_back if blocks > 1 else 0), _PLACED))
         kept = best.where(~F.col("given_back")).select(
             "uid", (F.lit(level << 56) + F.col("block") * (1 << 20) + F.col("bin")).alias("sequence"), "offset")
