@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.catalog import checked_models, features, grown, models, reports, rows, studies, tables  # noqa: F401
+from larkspur.catalog import checked_models, features, grown, models, reports, rows, solved, studies, tables  # noqa: F401
 from larkspur.catalog.registry import QUERIES, oracles
 from larkspur.functions import distance
 from larkspur.sources.tables import Tables

@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from larkspur import fixed_values as fv
-from larkspur.catalog.models import _pair_fit, _solve_pair, house_table
+from larkspur.catalog.models import _solve_pair, house_table
 from larkspur.catalog.registry import query, view
 from larkspur.functions import geo
 from larkspur.models import grid, linear, trees
@@ -36,18 +36,6 @@ def zoned(t: Tables):
 
 
 # --- linear ---------------------------------------------------------------------------
-@query(f"select unnest(['MedInc', 'AveRooms']) as feature, {_solve_pair('MedInc', 'AveRooms', 'MedHouseVal', '0e0')} "
-       "from blocks", "blocks", doubles="coefficient")
-def ols(t: Tables):
-    return _pair_fit(t, linear.fit_ols)
-
-
-@query(f"select unnest(['MedInc', 'AveRooms']) as feature, {_solve_pair('MedInc', 'AveRooms', 'MedHouseVal', '50e0')} "
-       "from blocks", "blocks", doubles="coefficient")
-def ridge(t: Tables):
-    return _pair_fit(t, lambda df, f, y: linear.fit_ridge(df, f, y, alpha=50.0))
-
-
 def _plain_pair(a: str, b: str, y: str, alpha: str = "0e0") -> str:
     """Two-feature least squares on unscaled columns with an unpenalised intercept, by Cramer's rule."""
     va, vb, ab = (f"(covar_pop({p}, {q}) + {k})" for p, q, k in
@@ -59,13 +47,13 @@ def _plain_pair(a: str, b: str, y: str, alpha: str = "0e0") -> str:
 
 @query(f"select unnest(['MedInc', 'AveRooms']) as feature, {_plain_pair('MedInc', 'AveRooms', 'MedHouseVal')} from blocks",
        "blocks", doubles="coefficient")
-def linear_regression_plain(t: Tables):
+def linear_regression_plain_closed_form(t: Tables):
     return linear.report(t.spark, linear.fit_plain(t.blocks, PAIR, "MedHouseVal").coefficients())
 
 
 @query(f"""select unnest(['MedInc', 'MedInc_pow_2']) as feature, {_plain_pair('a', 'b', 'MedHouseVal', '3e0')}
   from (select MedInc as a, MedInc * MedInc as b, MedHouseVal from blocks)""", "blocks", doubles="coefficient")
-def poly_ridge(t: Tables):
+def poly_ridge_closed_form(t: Tables):
     return linear.report(t.spark, linear.fit_poly_ridge(t.blocks, ["MedInc"], "MedHouseVal", alpha=3.0).coefficients())
 
 
@@ -98,7 +86,7 @@ def _logistic_slopes(data, fit, features, label: str, classes: list[int]):
 
 
 @query("select unnest(['MedInc', 'AveRooms']) as feature, 0e0 as slope", doubles="slope", digits=3)
-def logistic(t: Tables):
+def logistic_closed_form(t: Tables):
     """The slope of the loss at the fitted weights, feature by feature."""
     data = encoding.Scaler.fit(t.blocks, PAIR).apply(zoned(t))
     slopes = _logistic_slopes(data, linear.fit_logistic(data, PAIR, "rich"), PAIR, "rich", [1])
@@ -107,7 +95,7 @@ def logistic(t: Tables):
 
 @query("""select cast(k as int) as k, feature, 0e0 as slope from (select unnest([0, 1, 2, 3]) as k), (select unnest(['MedInc', 'AveRooms'])
   as feature)""", doubles="slope", digits=3)
-def logistic_multiclass(t: Tables):
+def logistic_multiclass_closed_form(t: Tables):
     data = encoding.Scaler.fit(t.blocks, PAIR).apply(zoned(t)).withColumn("k", C("zone") - 1)
     fit = linear.fit_logistic(data, PAIR, "k", multiclass=True)
     return t.spark.createDataFrame(_logistic_slopes(data, fit, PAIR, "k", [0, 1, 2, 3]), "k int, feature string, slope double")
@@ -173,7 +161,7 @@ _M = "avg(MedInc) as ma, avg(AveRooms) as mb"
   select block_id, prediction from (select block_id, w.zone as prediction, row_number() over (partition by block_id order by
     MedInc * wa + AveRooms * wb - 0.5e0 * (ma * wa + mb * wb) + ln(n / total) desc) as place from zoned, w) where place = 1""",
        "zoned")
-def lda_classifier(t: Tables):
+def lda_classifier_closed_form(t: Tables):
     data = zoned(t)
     return Discriminant.fit(data, PAIR, "zone").transform(data).select("block_id", "prediction")
 
