@@ -168,7 +168,7 @@ def lda_classifier_closed_form(t: Tables):
 
 @query("select rich, count(*) as n, 0 as mistakes from (select MedInc > 5 as rich from blocks where MedInc < 4 or MedInc > 6) "
        "group by 1", "blocks", bigints="mistakes")
-def perceptron(t: Tables):
+def perceptron_separable(t: Tables):
     """A table that a line separates is learnt without a mistake."""
     apart = t.blocks.where("MedInc < 4 or MedInc > 6").withColumn("y", (C("MedInc") > 5).cast("int"))
     data = encoding.Scaler.fit(apart, PAIR).apply(apart)

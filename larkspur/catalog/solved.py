@@ -14,6 +14,7 @@ from larkspur.catalog.checked_models import _logistic_slopes, zoned
 from larkspur.catalog.registry import query
 from larkspur.models import linear
 from larkspur.models.discriminant import Discriminant
+from larkspur.models.perceptron import Perceptron
 from larkspur.operators import encoding
 from larkspur.plans.housing import RAW
 from larkspur.sources.tables import Tables
@@ -136,3 +137,31 @@ def lda_classifier(t: Tables):
     """Every block's zone from all eight columns."""
     data = zoned(t)
     return Discriminant.fit(data, RAW, "zone").transform(data).select("block_id", "prediction")
+
+
+# --- parameter mixing, row by row ----------------------------------------------------
+PARTS, EPOCHS = 3, 2
+MIXED = ["HouseAge", "RoomBand"]
+
+
+def _epoch_sql(e: int) -> str:
+    """CTEs of one epoch: every part's weights after each of its rows, then their average and the mistake rate."""
+    dot = "list_dot_product(p.w, r.x) * r.y"
+    return f"""p{e} as (select part, cast(0 as bigint) as pos, w, cast(0 as bigint) as mistakes from (select distinct part from ordered), mixed{e - 1}
+      union all select p.part, r.pos, case when {dot} <= 0 then [p.w[i] + r.y * r.x[i] for i in range(1, {len(MIXED) + 2})] else p.w end,
+        p.mistakes + cast({dot} <= 0 as bigint) from p{e} p join ordered r on r.part = p.part and r.pos = p.pos + 1),
+    mixed{e} as materialized (select [{', '.join(f'sum(w[{i + 1}] * pos) / sum(pos)' for i in range(len(MIXED) + 1))}] as w, sum(mistakes) / sum(pos) as rate
+      from p{e} join (select part, max(pos) as pos from ordered group by 1) using (part, pos))"""
+
+
+@query(f"""select * from (with recursive ordered as materialized (select h, cast('0x' || substr(h, 1, 8) as bigint) % {PARTS} as part,
+      row_number() over (partition by cast('0x' || substr(h, 1, 8) as bigint) % {PARTS} order by h) as pos, 2e0 * rich - 1 as y,
+      [{', '.join(f'cast({c} as double)' for c in MIXED)}, 1e0] as x from (select *, md5(concat(cast(block_id as varchar), ':42')) as h from banded_blocks)),
+    mixed0 as (select [{', '.join(['0e0'] * (len(MIXED) + 1))}] as w, 2e0 as rate), {', '.join(_epoch_sql(e + 1) for e in range(EPOCHS))}
+    select unnest({MIXED + ['intercept']}) as feature, unnest(w) as weight from (select w from (select w, rate, 1 as e from mixed1 union all
+      select w, rate, 2 from mixed2) order by rate, e limit 1))""", "banded_blocks", doubles="weight")
+def perceptron(t: Tables):
+    """Weights after two epochs of three parts on a table no line separates."""
+    from larkspur.catalog.grown import banded_blocks
+    fit = Perceptron.fit(banded_blocks(t), MIXED, "rich", "block_id", PARTS, max_iter=EPOCHS)
+    return t.spark.createDataFrame(list(zip(MIXED + ["intercept"], fit.weights[0])), "feature string, weight double")

@@ -1,9 +1,9 @@
 """Mistake-driven perceptron by iterative parameter mixing.
 
-Every epoch, each partition runs over its rows from the shared weights and
-emits one weight vector; Spark averages them and only that average reaches the
-driver. Rows are spread and ordered by a seeded hash, so a recomputed
-partition repeats its epoch exactly.
+Every epoch, each part runs over its rows from the shared weights and emits one
+weight vector; Spark averages them and only that average reaches the driver.
+Rows are dealt into parts and ordered by a seeded hash, so a recomputed part
+repeats its epoch exactly, and SQL can follow it row by row.
 """
 
 from __future__ import annotations
@@ -41,19 +41,28 @@ def _pass(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, int]
 
 
 def _epoch(train: DataFrame, weights: np.ndarray, classes: int) -> tuple[np.ndarray, float]:
-    """Averaged weights after one pass of every partition, and the mistake rate."""
+    """Averaged weights after one pass of every part, and the mistake rate; a part's rows are together and in order."""
     def run(batches):
-        local, rows, mistakes = weights.copy(), 0, 0
+        part, local, rows, mistakes = None, weights.copy(), 0, 0
+
+        def done():
+            return pd.DataFrame({"w": [local.ravel().tolist()], "n": [rows], "mistakes": [mistakes]})
+
         for pdf in batches:
-            x = np.column_stack([np.stack(pdf["x"].to_numpy()), np.ones(len(pdf))])
-            labels = pdf["y"].to_numpy()
-            for k in range(len(local)):
-                signs = np.where(labels == (k if classes > 2 else 1), 1.0, -1.0)
-                local[k], wrong = _pass(x, signs, local[k])
-                mistakes += wrong
-            rows += len(pdf)
+            for number, own in pdf.groupby("part", sort=False):
+                if rows and number != part:
+                    yield done()
+                    local, rows, mistakes = weights.copy(), 0, 0
+                part = number
+                x = np.column_stack([np.stack(own["x"].to_numpy()), np.ones(len(own))])
+                labels = own["y"].to_numpy()
+                for k in range(len(local)):
+                    signs = np.where(labels == (k if classes > 2 else 1), 1.0, -1.0)
+                    local[k], wrong = _pass(x, signs, local[k])
+                    mistakes += wrong
+                rows += len(own)
         if rows:
-            yield pd.DataFrame({"w": [local.ravel().tolist()], "n": [rows], "mistakes": [mistakes]})
+            yield done()
 
     parts = train.mapInPandas(run, "w array<double>, n bigint, mistakes bigint")
     cells = parts.select("n", "mistakes", F.posexplode("w").alias("i", "v"))
@@ -78,10 +87,11 @@ class Perceptron:
         ``patience`` epochs. Labels are 0 … classes - 1; more than two classes
         are learnt one against the rest in the same pass."""
         order = seeded_hash(key)
+        part = F.pmod(F.conv(F.substring(order, 1, 8), 16, 10).cast("bigint"), F.lit(partitions))
         ready = train.select(
             F.array(*[F.col(f).cast("double") for f in features]).alias("x"),
-            F.col(label).cast("int").alias("y"), order.alias("h"))
-        ordered = ready.repartition(partitions, "h").sortWithinPartitions("h").select("x", "y")
+            F.col(label).cast("int").alias("y"), part.alias("part"), order.alias("h"))
+        ordered = ready.repartition(partitions, "part").sortWithinPartitions("part", "h").select("part", "x", "y")
         rows = cut_lineage(ordered).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             weights = np.zeros((classes if classes > 2 else 1, len(features) + 1))
