@@ -10,6 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ ORDERS = (3, 4, 5)
 TRAIN_ROWS = 16_000
 MIN_TEXTS = 3
 MIN_Z = 3.0
-MAX_SLOTS = 10_000
+TASKS = 8
 PENALTY = 1e-3
 STEPS = 200
 
@@ -77,36 +78,60 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(total, -500, 500))))
 
 
-def _logistic(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, float]:
-    """Coefficients and bias of a ridge logistic model on scaled features, by accelerated gradient steps."""
-    width = len(ratios)
-    sizes = np.array([len(r) for r in rows])
-    columns = np.concatenate(rows) if len(rows) else np.zeros(0, np.int32)
-    whose = np.repeat(np.arange(len(rows), dtype=np.int32), sizes)
-    values = ratios[columns].astype(np.float32)
-    norm = np.bincount(whose, values * values, len(rows))
-    rate = 1.0 / (0.25 * (np.mean(norm) + 1.0) + PENALTY)
-    weight = np.where(labels == 1, 0.5 / max(labels.mean(), 1e-9), 0.5 / max(1 - labels.mean(), 1e-9)) ** 0.5
-    weight /= weight.mean()
-    coefficient, bias = np.zeros(width), 0.0
-    ahead, ahead_bias, momentum = coefficient, bias, 1.0
-    for _ in range(STEPS):
-        margin = np.bincount(whose, values * ahead[columns], len(rows)) + ahead_bias
-        error = weight * (1 / (1 + np.exp(-np.clip(margin, -500, 500))) - labels) / len(rows)
-        gradient = np.bincount(columns, values * error[whose], width) + PENALTY * ahead
-        new, new_bias = ahead - rate * gradient, ahead_bias - rate * error.sum()
-        after = (1 + np.sqrt(1 + 4 * momentum * momentum)) / 2
-        ahead = new + (momentum - 1) / after * (new - coefficient)
-        ahead_bias = new_bias + (momentum - 1) / after * (new_bias - bias)
-        coefficient, bias, momentum = new, new_bias, after
-    return coefficient, bias
+def _logistic(rows: DataFrame, ratios: np.ndarray) -> tuple[np.ndarray, float]:
+    """Coefficients and bias of a ridge logistic model on scaled features, by accelerated gradient steps.
+
+    ``rows`` has (toxic, slots). Each step sends the coefficients to the tasks
+    that hold the rows and sums their gradients; the driver holds vectors only.
+    """
+    context, width = rows.sparkSession.sparkContext, len(ratios)
+    scale = context.broadcast(ratios.astype(np.float32))
+
+    def opened(part):
+        part = list(part)
+        if part:
+            found = [np.frombuffer(r["slots"], np.int32) for r in part]
+            columns = np.concatenate(found)
+            whose = np.repeat(np.arange(len(part), dtype=np.int32), [len(f) for f in found])
+            yield np.array([r["toxic"] for r in part], float), whose, columns, scale.value[columns]
+
+    table = rows.rdd
+    data = table.coalesce(max(1, min(table.getNumPartitions(), TASKS))).mapPartitions(opened).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        count, toxic, norm = data.map(lambda d: np.array([len(d[0]), d[0].sum(), float((d[3] * d[3]).sum(dtype=float))])).reduce(np.add)
+        share = toxic / count
+        rate = 1.0 / (0.25 * (norm / count + 1.0) + PENALTY)
+        weigh = np.sqrt([0.5 / max(1 - share, 1e-9), 0.5 / max(share, 1e-9)])
+        weigh /= weigh[0] * (1 - share) + weigh[1] * share
+        now = before = np.zeros(width + 1)
+        momentum = 1.0
+        for _ in range(STEPS):
+            ahead = context.broadcast(now)
+
+            def slope(d, ahead=ahead):
+                toxic, whose, columns, values = d
+                margin = np.bincount(whose, values * ahead.value[columns], len(toxic)) + ahead.value[-1]
+                error = weigh[toxic.astype(int)] * (1 / (1 + np.exp(-np.clip(margin, -500, 500))) - toxic) / count
+                return np.append(np.bincount(columns, values * error[whose], width), error.sum())
+
+            gradient = data.map(slope).reduce(np.add)
+            ahead.unpersist()
+            gradient[:-1] += PENALTY * now[:-1]
+            new = now - rate * gradient
+            after = (1 + np.sqrt(1 + 4 * momentum * momentum)) / 2
+            now, before, momentum = new + (momentum - 1) / after * (new - before), new, after
+        return before[:-1], float(before[-1])
+    finally:
+        data.unpersist()
 
 
 def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_id_col: str = "doc_id", label_col: str = "toxic", train_rows: int = TRAIN_ROWS) -> Model:
     """A model from at most ``train_rows`` labelled texts, those of the least hashed ids.
 
-    It keeps the ``MAX_SLOTS`` features whose shares differ most between the classes.
+    It keeps every feature whose shares differ between the classes by ``MIN_Z``
+    standard errors. Of repeated ids the rows of least hashed text are taken,
+    so the bound is one on rows.
 
     Ids with several labels are toxic if any label is; null ids, labels and
     texts are not learned from. Without both classes every score is the share
@@ -118,7 +143,7 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         .orderBy(F.xxhash64("_id"), "_id").limit(train_rows)
     sample = cut_lineage(
         documents.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-        .join(F.broadcast(picked), "_id").select("toxic", "text"))
+        .join(F.broadcast(picked), "_id").orderBy(F.xxhash64("_id"), F.xxhash64("text"), "_id", "text").limit(train_rows).select("toxic", "text"))
     n = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
     weights = np.zeros(1 << SLOTS_LOG2, np.float32)
@@ -131,7 +156,7 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     share = (F.col("on") + F.col("off")) / F.lit(n0 + n1)
     z = F.abs(F.col("on") / n1 - F.col("off") / n0) / F.sqrt(share * (1.0000001 - share) * F.lit(1 / n0 + 1 / n1))
     kept: pd.DataFrame = counts.where((F.col("on") + F.col("off") >= MIN_TEXTS) & (z >= MIN_Z)) \
-        .orderBy(F.desc(z), "slot").limit(MAX_SLOTS).toPandas().sort_values("slot")
+        .toPandas().sort_values("slot")
     ratios = np.log((kept["on"].to_numpy(float) + 1) / (n1 + 2)) - np.log((kept["off"].to_numpy(float) + 1) / (n0 + 2))
     slots = kept["slot"].to_numpy(np.int32)
     place = np.full(1 << SLOTS_LOG2, -1, np.int32)
@@ -144,10 +169,7 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([f[f >= 0].tobytes() for f in found], pa.binary())], names=["toxic", "slots"])
 
-    rows = sample.mapInArrow(rows_of, "toxic int, slots binary").collect()
-    rows.sort(key=lambda r: (r["toxic"], bytes(r["slots"])))
-    coefficient, bias = _logistic([np.frombuffer(r["slots"], np.int32) for r in rows],
-                                  np.array([r["toxic"] for r in rows]), ratios)
+    coefficient, bias = _logistic(cut_lineage(sample.mapInArrow(rows_of, "toxic int, slots binary")), ratios)
     weights[slots] = coefficient * ratios
     return Model(weights, bias)
 
