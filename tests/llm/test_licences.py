@@ -51,6 +51,37 @@ def test_spans_are_the_sentences(spark):
     assert text[span["start"]:span["end"]] == "Released under the MIT License."
 
 
+HEADER = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+
+
+@pytest.mark.parametrize("text,want", [
+    (HEADER,["GPL-2.0-or-later"]),
+    (HEADER.replace("GNU General","GNU Lesser General"),["LGPL-2.0-or-later"]),
+    (HEADER.replace("General Public","Affero General Public").replace("version 2","version 3"),["AGPL-3.0-or-later"]),
+("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at http://mozilla.org/MPL/2.0/.",["MPL-2.0"]),
+("Licensed under the MIT license, see LICENSE",["MIT"]),
+    ("This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution.",["EPL-1.0"]),
+("All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",["All-Rights-Reserved","EPL-2.0"]),
+("Licensed under the MIT license or the Apache License, Version 2.0",["MIT","Apache-2.0"]),
+    ("This code is not licensed under the MIT license.",[]),
+("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",["0BSD"]),
+("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",["ISC"]),
+("This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.\n\nPermission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",["Zlib"]),
+("Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt)",["BSL-1.0"]),
+("Licensed under the Artistic License 2.0.",["Artistic-2.0"])])
+def test_published_headers(text, want):
+    assert [x[0] for x in licences.licences([k[2] for k in licences.sentences(text)])] == want
+
+
 @pytest.mark.parametrize("identifiers,want", [
     (["bsd-grant", "copyright", "bsd-source", "bsd-binary"], ["BSD-2-Clause"]), (["bsd-source", "bsd-grant", "bsd-binary"], []),
     (["mit-grant", "mit-notice", "mit-grant", "mit-notice", "as-is"], ["MIT", "MIT"]), ([], [])])
@@ -74,6 +105,6 @@ def test_texts_with_a_single_sentence_of_any_length(spark, text, licence, identi
 
 def test_long_sentences_take_linear_time():
     start = time.time()
-    for text in (" ", "/", "copyright ", "under the ", "license, ", "x\n*\n", "licensed under a"):
+    for text in (" ", "/", "copyright ", "under the ", "license, ", "x\n*\n", "licensed under a", "licensed under a or b ", "free software; "):
         licences.sentences("license " + text * 100_000 + "x")
     assert time.time() - start < 30
