@@ -25,7 +25,7 @@ PIVOT_SAMPLE = 2000
 BLOCK = 2048
 SALTS = 32
 
-_BLOCKS = "cell int, salt int, ids binary, vectors binary"
+_BLOCKS = "cell int, salt int, ids binary, rows binary, vectors binary"
 
 
 def scaled(column, scale: float = SCALE):
@@ -62,6 +62,13 @@ class _Space:
         return np.sqrt(np.maximum(square, 0))
 
 
+def _of_each_id(away: np.ndarray, ids: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest distance of each of the ``count`` nearest ids."""
+    order = np.argsort(away, kind="stable")
+    first = np.sort(np.unique(ids[order], return_index=True)[1])[:count]
+    return away[order][first], ids[order][first]
+
+
 def _products(queries: np.ndarray, data: np.ndarray) -> np.ndarray:
     """Exact integer products; through floating point where every sum fits its 53 bits."""
     reach = float(np.abs(queries).max(initial=0)) * float(np.abs(data).max(initial=0)) * max(queries.shape[1], 1)
@@ -71,14 +78,14 @@ def _products(queries: np.ndarray, data: np.ndarray) -> np.ndarray:
 
 
 def _packed(rows, width: int):
-    """Scan of (cell, salt, id, vector) lists as blocks of one cell and salt."""
-    out = {"cell": [], "salt": [], "ids": [], "vectors": []}
-    for cell, salt, ids, vectors in rows:
-        for name, value in zip(out, (cell, salt, ids.astype(np.int64).tobytes(), vectors.astype(np.int64).tobytes())):
+    """Scan of (cell, salt, id, row, vector) lists as blocks of one cell and salt."""
+    out = {"cell": [], "salt": [], "ids": [], "rows": [], "vectors": []}
+    for cell, salt, *lists in rows:
+        for name, value in zip(out, (cell, salt, *[x.astype(np.int64).tobytes() for x in lists])):
             out[name].append(value)
     return pa.RecordBatch.from_arrays(
-        [pa.array(out["cell"], pa.int32()), pa.array(out["salt"], pa.int32()), pa.array(out["ids"], pa.binary()),
-         pa.array(out["vectors"], pa.binary())], names=list(out))
+        [pa.array(out["cell"], pa.int32()), pa.array(out["salt"], pa.int32()), *[pa.array(out[n], pa.binary()) for n in ("ids", "rows", "vectors")]],
+        names=list(out))
 
 
 def top_k(vectors: DataFrame, queries, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -87,7 +94,8 @@ def top_k(vectors: DataFrame, queries, k: int = K, id_col: str = "vec_id", vecto
 
     ``queries`` is a condition on the rows that are queries. Ties go to the
     smaller id. A query never meets rows of its own id; repeated rows count as
-    often as they occur. Rows with a null id, or a vector that is
+    often as they occur, and each of several query rows of one id has a
+    ranking of its own. Rows with a null id, or a vector that is
     null or holds null or non-finite components, take no part; vectors of other
     lengths count as filled up with zeros. Sums must fit 64 bits.
 
@@ -96,7 +104,8 @@ def top_k(vectors: DataFrame, queries, k: int = K, id_col: str = "vec_id", vecto
     """
     rows = cut_lineage(vectors.withColumn("_vector", scaled(F.col(vector_col))).where(
         F.col("_vector").isNotNull() & F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("id"), F.coalesce(queries, F.lit(False)).alias("query"), F.col("_vector").alias("vector")))
+        F.col(id_col).cast("long").alias("id"), F.coalesce(queries, F.lit(False)).alias("query"), F.col("_vector").alias("vector"))) \
+        .withColumn("row", F.monotonically_increasing_id())
     square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     facts = rows.agg(F.max(F.size("vector")), F.max(square), F.count("*")).first()
     schema = "query long, rank int, id long, score long"
@@ -111,10 +120,10 @@ def top_k(vectors: DataFrame, queries, k: int = K, id_col: str = "vec_id", vecto
 
     def summarised(batches):
         radius = np.zeros((2, count))
-        nearest = [np.zeros(0) for _ in range(count)]
+        nearest = [(np.zeros(0), np.zeros(0, np.int64)) for _ in range(count)]
         for batch in batches:
             found = _matrix(batch.column(1), width)
-            is_query = batch.column(0).to_numpy(zero_copy_only=False)
+            is_query, ids = batch.column(0).to_numpy(zero_copy_only=False), batch.column(2).to_numpy()
             for side, points in ((0, space.lifted(found, False)), (1, space.lifted(found[is_query], True))):
                 if len(points):
                     away = space.distances(points)
@@ -123,23 +132,30 @@ def top_k(vectors: DataFrame, queries, k: int = K, id_col: str = "vec_id", vecto
                     np.maximum.at(radius[side], cell, own)
                     if side == 0:
                         for c in np.unique(cell):
-                            nearest[c] = np.sort(np.concatenate((nearest[c], own[cell == c])))[:k + 1]
+                            nearest[c] = _of_each_id(*(np.concatenate(x) for x in zip(nearest[c], (own[cell == c], ids[cell == c]))), k + 1)
         yield pa.RecordBatch.from_arrays([
             pa.array(range(count), pa.int32()), pa.array(radius[0]), pa.array(radius[1]),
-            pa.array([n.tolist() for n in nearest], pa.list_(pa.float64()))], names=["cell", "radius", "reach", "nearest"])
-
-    parts = rows.select("query", "vector").mapInArrow(summarised, "cell int, radius double, reach double, nearest array<double>")
-    summary = parts.groupBy("cell").agg(
-        F.max("radius").alias("radius"), F.max("reach").alias("reach"),
-        F.slice(F.array_sort(F.flatten(F.collect_list("nearest"))), 1, k + 1).alias("nearest")).orderBy("cell").collect()
+            pa.array([away.tolist() for away, _ in nearest], pa.list_(pa.float64())),
+            pa.array([ids.tolist() for _, ids in nearest], pa.list_(pa.int64()))], names=["cell", "radius", "reach", "nearest", "whose"])
+
+    def merged(key, table):
+        away, whose = (np.array([x for part in table[name].to_pylist() for x in part]) for name in ("nearest", "whose"))
+        away, whose = _of_each_id(away.astype(float), whose.astype(np.int64), k + 1)
+        top = [max(table[name].to_pylist()) for name in ("radius", "reach")]
+        return pa.table({"cell": pa.array([key[0].as_py()], pa.int32()), "radius": [top[0]], "reach": [top[1]],
+                         "nearest": pa.array([away.tolist()], pa.list_(pa.float64())), "whose": pa.array([whose.tolist()], pa.list_(pa.int64()))})
+
+    kinds = "cell int, radius double, reach double, nearest array<double>, whose array<long>"
+    summary = rows.select("query", "vector", "id").mapInArrow(summarised, kinds).groupBy("cell").applyInArrow(merged, kinds).orderBy("cell").collect()
     between = space.distances(space.pivots)
-    # a query's own row may be among the nearest, hence k + 1 of them
+    # rows of a query's own id may be among the nearest, hence the nearest of k + 1 ids
     radius, bound = np.zeros(count), np.full(count, np.inf)
     reach = np.zeros(count)
     for row in summary:
         radius[row["cell"]], reach[row["cell"]] = row["radius"], row["reach"]
     for cell in range(count):
-        within = np.sort(np.concatenate([reach[cell] + between[cell, row["cell"]] + np.array(row["nearest"]) for row in summary]))
+        within, _ = _of_each_id(np.concatenate([reach[cell] + between[cell, row["cell"]] + np.array(row["nearest"]) for row in summary]),
+                                np.concatenate([np.array(row["whose"], np.int64) for row in summary]), k + 1)
         if len(within) > k:
             bound[cell] = within[k]
     slack = 1e-6 * (1 + np.sqrt(largest))
@@ -156,12 +172,12 @@ def top_k(vectors: DataFrame, queries, k: int = K, id_col: str = "vec_id", vecto
                     wanted = np.flatnonzero((away[:, cell] - reach[cell] <= bound[cell] + slack) & (own >= 0))
                     for low in range(0, len(wanted), BLOCK):
                         part = wanted[low:low + BLOCK]
-                        out.append((cell, int(ids[part[0]] % SALTS), ids[part], found[part]))
+                        out.append((cell, int(ids[part[0]] % SALTS), ids[part], ids[:0], found[part]))
             yield _packed(out, width)
 
     def grouped(batches):
         for batch in batches:
-            ids, found = batch.column(0).to_numpy(), _matrix(batch.column(1), width)
+            ids, found, numbers = batch.column(0).to_numpy(), _matrix(batch.column(1), width), batch.column(2).to_numpy()
             out = []
             if len(ids):
                 cells = space.distances(space.lifted(found, True)).argmin(1)
@@ -169,30 +185,31 @@ def top_k(vectors: DataFrame, queries, k: int = K, id_col: str = "vec_id", vecto
                     own = np.flatnonzero(cells == cell)
                     for low in range(0, len(own), BLOCK):
                         part = own[low:low + BLOCK]
-                        out += [(int(cell), salt, ids[part], found[part]) for salt in range(SALTS)]
+                        out += [(int(cell), salt, ids[part], numbers[part], found[part]) for salt in range(SALTS)]
             yield _packed(out, width)
 
     def solved(batches):
         for batch in batches:
             for at in range(batch.num_rows):
-                qid, q, did, d = (np.frombuffer(batch.column(i)[at].as_buffer(), np.int64) for i in range(4))
+                qid, number, q, did, d = (np.frombuffer(batch.column(i)[at].as_buffer(), np.int64) for i in range(5))
                 products = _products(q.reshape(len(qid), width), d.reshape(len(did), width))
-                owner, ids, scores = [], [], []
+                owner, row, ids, scores = [], [], [], []
                 by_id = np.argsort(did, kind="stable")
                 did = did[by_id]
                 for i, mine in enumerate(products[:, by_id]):
                     other = np.flatnonzero(did != qid[i])
                     best = other[np.argsort(-mine[other], kind="stable")[:k]]
                     owner.append(np.full(len(best), qid[i]))
+                    row.append(np.full(len(best), number[i]))
                     ids.append(did[best])
                     scores.append(mine[best])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x), pa.int64()) for x in (owner, ids, scores)], names=["query", "id", "score"])
+                    [pa.array(np.concatenate(x), pa.int64()) for x in (owner, row, ids, scores)], names=["query", "row", "id", "score"])
 
-    left = rows.where("query").select("id", "vector").mapInArrow(grouped, _BLOCKS) \
-        .select("cell", "salt", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
+    left = rows.where("query").select("id", "vector", "row").mapInArrow(grouped, _BLOCKS) \
+        .select("cell", "salt", F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows"), F.col("vectors").alias("q_vectors"))
     right = rows.select("id", "vector").mapInArrow(replicated, _BLOCKS)
-    met = left.join(right.hint("shuffle_hash"), ["cell", "salt"]).select("q_ids", "q_vectors", "ids", "vectors")
-    local = met.mapInArrow(solved, "query long, id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "id"))
+    met = left.join(right.hint("shuffle_hash"), ["cell", "salt"]).select("q_ids", "q_rows", "q_vectors", "ids", "vectors")
+    local = met.mapInArrow(solved, "query long, row long, id long, score long")
+    rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), "id"))
     return local.withColumn("rank", rank).where(F.col("rank") <= k).select("query", "rank", "id", "score")

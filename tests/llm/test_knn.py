@@ -15,11 +15,8 @@ def expected(rows, k, is_query):
     for i, v in rows:
         if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
             kept.append((i, [math.floor(64 * x) for x in v]))
-    out = {}
-    for q, u in kept:
-        if is_query(q):
-            out.setdefault(q, []).extend((-sum(a * b for a, b in zip(u, v)), i) for i, v in kept if i != q)
-    return sorted((q, rank, i, -s) for q, c in out.items() for rank, (s, i) in enumerate(sorted(c)[:k], 1))
+    out = [(q, [(-sum(a * b for a, b in zip(u, v)), i) for i, v in kept if i != q]) for q, u in kept if is_query(q)]
+    return sorted((q, rank, i, -s) for q, c in out for rank, (s, i) in enumerate(sorted(c)[:k], 1))
 
 
 def found(spark, rows, k=20, pivots=knn.PIVOTS):
@@ -62,3 +59,11 @@ def test_far_cells_are_not_sent(spark):
     rows = [(i, [100.0 * (i % 2) + 0.01 * i, 100.0 - 100.0 * (i % 2)]) for i in range(400)]
     got = knn.top_k(table(spark, SCHEMA, rows), F.col("vec_id") % 5 == 0, 3, pivots=8)
     assert sorted(map(tuple, got.collect())) == expected(rows, 3, lambda i: i % 5 == 0)
+
+
+def test_repeated_ids_hide_no_neighbours(spark):
+    """Rows of the query's own id fill the cells around it; its neighbours lie in far ones."""
+    rng = random.Random(2)
+    rows = [(5, [100.0 + rng.random(), rng.random()]) for _ in range(60)] + [(5, [100.0, 0.5])] * 5
+    rows += [(10 + i, [rng.random(), 100.0 * (i % 2) + rng.random()]) for i in range(80)]
+    assert found(spark, rows, 4, 8) == expected(rows, 4, lambda i: i % 5 == 0)

@@ -105,6 +105,6 @@ def test_texts_with_a_single_sentence_of_any_length(spark, text, licence, identi
 
 def test_long_sentences_take_linear_time():
     start = time.time()
-    for text in (" ", "/", "copyright ", "under the ", "license, ", "x\n*\n", "licensed under a", "licensed under a or b ", "free software; "):
+    for text in (" ", "/", "copyright ", "under the ", "license, ", "x\n*\n", "licensed under a", "licensed under a or b "):
         licences.sentences("license " + text * 100_000 + "x")
     assert time.time() - start < 30
