@@ -19,9 +19,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Quoted values are bounded and other scans stop at the next "<", so broken markup costs no second look at the page.
+# Scans stop at the next "<" outside quotes; a quoted value ends at the next quote, wherever that is.
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<([a-zA-Z][^\s/<>]*+)((?:[^<>"']++|"[^"]{0,5000}+"|'[^']{0,5000}+')*+)>"""
+    r"""<!--.*?(?:-->|\Z)|<([a-zA-Z][^\s/<>]*+)((?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>"""
     r"""|<([a-zA-Z][^\s/<>]*+)([^<>]*+)>|</([a-zA-Z][^\s/<>]*+)[^<>]*+>|<[!?/][^<>]*+>""", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z][\w:-]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -329,7 +329,7 @@ def _belongs(node: Node, best: Node) -> bool:
     """Beside a container that is one of several parts, paragraphs, headings, sections and lists belong to it at any length."""
     if node.tag == "h1":
         return True
-    if best.tag not in ("article", "main") and node.parent.tag not in ("body", "html") and (
+    if best.tag not in ("article", "main") and (
             node.tag == "p" or node.tag in HEADINGS or node.tag in _GOES_ON):
         return _goes_on(node)
     if node.tag == "p" or node.tag in HEADINGS:

@@ -1,5 +1,7 @@
 import time
 
+import pytest
+
 from larkspur.llm.html import extract, main_text
 from tests.llm.frames import table
 
@@ -77,3 +79,24 @@ def test_broken_markup_takes_linear_time():
         main_text(text * 20_000)
     main_text("<b>" * 20_000 + "</i>" * 20_000 + "<h1>" * 20_000)
     assert time.time() - start < 30
+
+
+def test_short_parts_beside_the_container_under_the_body():
+    long = "".join(f"<p>Paragraph {i} of the story, which goes on for a while, as stories do, with commas, and clauses.</p>" for i in range(6))
+    page = f"<body><h2>Heading here</h2><p>Short one.</p><div>{long}</div><p>Short closing.</p></body>"
+    lines = main_text(page).split("\n")
+    assert lines[:2] == ["Heading here", "Short one."] and lines[-1] == "Short closing." and len(lines) == 9
+
+
+@pytest.mark.parametrize("size", [4000, 6000, 400_000])
+def test_long_attributes_do_not_leak(size):
+    text = "A paragraph of the story, which goes on for a while, as stories do. " * 3
+    page = f"<article><p data-x=\"{'a > b ' * (size // 6)}\">{text}</p><p>{text}</p></article>"
+    assert main_text(page) == "\n".join([text.strip()] * 2)
+
+
+@pytest.mark.parametrize("piece", ['<a "', "<a '", '<a "\'', '<p x="', '<a "<" ', "<", '<div class=\'"', '"<a>'])
+def test_broken_quotes_take_linear_time(piece):
+    start = time.time()
+    main_text("<p>" + piece * 50_000)
+    assert time.time() - start < 20
