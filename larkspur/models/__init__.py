@@ -1 +1,11 @@
-"""Distributed training of interpretable models on DataFrames."""
+"""Distributed training of interpretable models on DataFrames.
+
+Functions that run on executors are shipped by value, so a cluster needs no
+installed copy of the package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -59,22 +59,27 @@ class Rule:
 def fit_bins(df: DataFrame, features: Sequence[str], max_bins: int = MAX_BINS) -> list[np.ndarray]:
     """Cut points per feature: between all values of a feature with few of them, else approximate quantiles.
 
-    Two aggregates; what reaches the driver is at most a few hundred numbers a feature.
+    Features become rows under a small key and are combined on the map side.
+    What reaches the driver is at most a few hundred numbers a feature.
     """
-    columns = [F.col(f).cast("double") for f in features]
-    guess = df.agg(*[F.approx_count_distinct(c, 0.02).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    few = [guess[f"n{i}"] <= 2 * max_bins for i in range(len(columns))]
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(f).cast("double").alias("x")) for i, f in enumerate(features)])
+    tall = df.select(F.inline(cells)).where("x is not null and not isnan(x)")
     steps = [j / max_bins for j in range(1, max_bins)]
-    row = df.agg(*[(F.collect_set(c) if few[i] else F.percentile_approx(c, steps, 10_000)).alias(f"v{i}")
-                   for i, c in enumerate(columns)]).first()
+    guess = {r["i"]: r for r in tall.groupBy("i").agg(
+        F.approx_count_distinct("x", 0.02).alias("n"), F.percentile_approx("x", steps, 10_000).alias("q")).collect()}
+    few = [i for i, r in guess.items() if r["n"] <= 2 * max_bins]
+    values: dict[int, list[float]] = {i: [] for i in few}
+    for r in tall.where(F.col("i").isin(few)).distinct().collect():
+        values[r["i"]].append(r["x"])
     cuts = []
-    for i in range(len(columns)):
-        values = np.unique(np.array([v for v in row[f"v{i}"] or [] if v == v], float))
-        if few[i] and len(values) > max_bins:
-            values = np.unique(np.quantile(values, steps, method="inverted_cdf"))
-            cuts.append(values)
+    for i in range(len(features)):
+        known = np.unique(values.get(i, []))
+        if len(known) > max_bins:
+            cuts.append(np.unique(np.quantile(known, steps, method="inverted_cdf")))
+        elif i in values or i not in guess:
+            cuts.append((known[:-1] + known[1:]) / 2)
         else:
-            cuts.append((values[:-1] + values[1:]) / 2 if few[i] else values)
+            cuts.append(np.unique(np.array(guess[i]["q"])))
     return cuts
 
 
