@@ -36,6 +36,7 @@ CHUNK = 1000
 
 _CACHED = 500_000
 _KEPT_PAIRS = 1 << 20
+_FLAGS = 1 << 24
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 _RUN = re.compile(r"\s[ \n]|\x00")
 _U = np.uint64
@@ -341,9 +342,14 @@ def _first_pass(byte_path: str, piece_path: str):
                 flat = np.concatenate([flat, ids[which]])
                 counts = np.concatenate([counts, np.zeros(len(number) - len(counts), np.int64)])
                 docs, per_doc, at = known.numbers(split)
-                pairs = flat[_ragged(starts[at], sizes[at])]
-                whose = np.repeat(np.repeat(np.arange(len(docs)), per_doc), sizes[at])
-                counts += np.bincount(np.unique(whose * max(1, len(number)) + pairs) % max(1, len(number)), minlength=len(number))
+                # which document holds which pair, for as many documents at a time as fit
+                ends, step = np.cumsum(per_doc), max(1, _FLAGS // max(1, len(number)))
+                for first in range(0, len(docs), step):
+                    here = slice(ends[first] - per_doc[first], ends[min(first + step, len(docs)) - 1])
+                    own, whose = at[here], np.repeat(np.arange(len(per_doc[first:first + step])), per_doc[first:first + step])
+                    held = np.zeros((len(per_doc[first:first + step]), len(number)), bool)
+                    held[np.repeat(whose, sizes[own]), flat[_ragged(starts[own], sizes[own])]] = True
+                    counts += held.sum(axis=0)
         yield from kept()
     return scan
 
