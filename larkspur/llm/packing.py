@@ -27,8 +27,8 @@ from larkspur.session import cut_lineage
 
 CAPACITY = 2048
 BLOCK = 4096
-ISLANDS = 3
-POPULATION = 8
+ISLANDS = 2
+POPULATION = 6
 ELITE = 2
 ROUNDS = 4
 GENERATIONS = 5
@@ -42,6 +42,19 @@ _STRANGE = re.compile("[\u0300-\U0010ffff\x01]|<\\|")
 _SIGNS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 
 
+#: Separators to Python's split that are signs to the tokenizer.
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+
+
+def _is_plain(text: str) -> bool:
+    """Whether a text may be lower-cased as a whole; texts of Latin-1 letters are told without a look at each."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return _STRANGE.search(text) is None
+    return _MARK not in text and "<|" not in text
+
+
 class WordTokens:
     """Token ids of texts, one distinct word at a time.
 
@@ -113,8 +126,9 @@ class WordTokens:
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit numbers."""
-        plain = [_STRANGE.search(t) is None for t in texts]
-        split = [(t.lower() if p else t).replace("\n", " ").split(" ") for t, p in zip(texts, plain)]
+        plain = [_is_plain(t) for t in texts]
+        split = [t.lower().split() if p and not any(c in t for c in _SEPARATORS) else (t.lower() if p else t).replace("\n", " ").split(" ")
+                 for t, p in zip(texts, plain)]
         low, raw = (set().union(*[s for s, p in zip(split, plain) if p is kind]) for kind in (True, False))
         raw -= low
         if len(self.known) + len(low) + len(raw) > _CACHED_WORDS:
