@@ -22,7 +22,7 @@ ORDERS = (3, 4, 5)
 TRAIN_ROWS = 16_000
 MIN_TEXTS = 3
 MIN_Z = 3.0
-TASKS = 8
+TASKS = 32
 PENALTY = 1e-3
 STEPS = 200
 
@@ -130,8 +130,8 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """A model from at most ``train_rows`` labelled texts, those of the least hashed ids.
 
     It keeps every feature whose shares differ between the classes by ``MIN_Z``
-    standard errors. Of repeated ids the rows of least hashed text are taken,
-    so the bound is one on rows.
+    standard errors. Of an id's texts the one of least hash is taken, so
+    the bound is one on rows.
 
     Ids with several labels are toxic if any label is; null ids, labels and
     texts are not learned from. Without both classes every score is the share
@@ -143,7 +143,8 @@ def fit(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         .orderBy(F.xxhash64("_id"), "_id").limit(train_rows)
     sample = cut_lineage(
         documents.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
-        .join(F.broadcast(picked), "_id").orderBy(F.xxhash64("_id"), F.xxhash64("text"), "_id", "text").limit(train_rows).select("toxic", "text"))
+        .join(F.broadcast(picked), "_id").groupBy("_id").agg(F.first("toxic").alias("toxic"), F.min_by("text", F.xxhash64("text")).alias("text"))
+        .repartition(TASKS, "_id").select("toxic", "text"))
     n = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
     weights = np.zeros(1 << SLOTS_LOG2, np.float32)
