@@ -48,6 +48,31 @@ def test_wrong_bits_are_corrected():
     assert model.decode(np.zeros(model.code.shape[1]), 100)[2]
 
 
+def test_bounds_come_from_every_distinct_text(spark):
+    """Order statistics over all texts, however many; a copy counts once."""
+    rng = random.Random(5)
+    texts = [(lang, speak(rng, lang, rng.randint(1, 3))) for _ in range(11_000) for lang in ("xa", "xb", "xe", "xg")]
+    rows = [(i, text, lang, None) for i, (lang, text) in enumerate(texts + [("xa", texts[0][1])] * 500)]
+    model = langid.fit(documents(spark, rows))
+    gaps, losses = ([[] for _ in langid.LENGTHS] for _ in range(2))
+    for lang, text in set(texts):
+        raw = langid._LOWER[np.frombuffer(text.encode(), np.uint8)]
+        for at, length in enumerate(langid.LENGTHS):
+            if length <= len(raw):
+                found = model.distances(model.margins(langid._cut(raw, length)), length)
+                if model.languages[int(np.argmin(found))] == lang:
+                    near = np.sort(found)
+                    gaps[at].append(near[1] - near[0])
+                    losses[at].append(near[0])
+    assert sum(map(bool, losses)) >= 5
+    for at in range(len(langid.LENGTHS)):
+        if losses[at]:
+            n = len(losses[at])
+            low, high = (max(int(np.ceil(p * n)), 1) - 1 for p in (langid.OUTSIDE, 1 - langid.OUTSIDE))
+            assert model.gaps[at] == pytest.approx(max(sorted(gaps[at])[low], 1e-3), rel=1e-9)
+            assert model.losses[at] == pytest.approx(max(sorted(losses[at])[high], np.log(2) / model.code.shape[1]), rel=1e-9)
+
+
 def test_undetermined(spark):
     rng = random.Random(0)
     model = langid.fit(documents(spark, [(i, speak(rng, "xa", 9), "xa", None) for i in range(5)] + [(9, speak(rng, "xf", 9), "xf", None)]))
