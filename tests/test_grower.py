@@ -1,5 +1,6 @@
 """Trees grown from histograms against a plain recursive search of every cut."""
 
+import pickle
 import random
 
 import numpy as np
@@ -105,3 +106,50 @@ def test_awkward_tables(spark):
     assert {r["prediction"] for r in fit.transform(same).collect()} == {5.0}
     boosted = grower.fit_boosting(same, FEATURES, "y", grower.Rule(2, 1.0, 1.0), 2, 0.1)
     assert {r["prediction"] for r in boosted.transform(same).collect()} == {5.0}
+
+
+def test_one_partition_is_spread(spark):
+    """Rows that come in one partition are binned into chunks that every core has a share of."""
+    df = table(spark).coalesce(1)
+    made = grower.chunks(df, FEATURES, "y", grower.fit_bins(df, FEATURES), "row_id")
+    assert made.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism
+    assert made.agg(F.sum("n")).first()[0] == 600
+
+
+def test_large_nodes_that_cannot_be_split_end_without_their_rows(spark, monkeypatch):
+    """Rows alike in every feature, and rows at the last depth, are leaves made of sums; no task gets more than ``local`` of them."""
+    rows = [(i, float(i % 2), 0.0, 0.0, float(i % 2 * 7 + i % 3), 0) for i in range(900)]
+    df = spark.createDataFrame(rows, "row_id long, a double, b double, c double, y double, k int")
+
+    def never(*args):
+        raise AssertionError("rows were brought together")
+
+    monkeypatch.setattr(grower, "grow", never)
+    for depth in (1, 5):
+        fit = grower.fit_forest(df, FEATURES, "y", grower.Rule(depth), 2, local=10, bootstrapped=False)
+        assert {(r["row_id"] % 2, round(r["prediction"], 6)) for r in fit.transform(df).collect()} == {(0, 1.0), (1, 8.0)}
+
+
+def test_batches_of_trees_are_passes_of_their_own(spark, monkeypatch):
+    """No plan names more than one batch of trees, so that a worker holds one."""
+    df = table(spark)
+    monkeypatch.setattr(grower, "BATCH_BYTES", 1)
+    fit = grower.fit_forest(df, FEATURES, "y", grower.Rule(3), 3, key="row_id")
+    plan = fit.transform(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(fit.batches()) == 3 and plan.count("total(") == 1
+
+
+def test_boosting_sends_splits_to_the_driver_not_cells(spark, monkeypatch):
+    sent = []
+    collect = type(spark.sparkContext.emptyRDD()).collect
+    rdd = type(table(spark).rdd.map(len))
+    monkeypatch.setattr(rdd, "collect", lambda self: sent.append(len(pickle.dumps(out := collect(self)))) or out)
+    monkeypatch.setattr(rdd, "reduce", lambda *a: pytest.fail("cells reach the driver"))
+    monkeypatch.setattr(rdd, "treeReduce", lambda *a: pytest.fail("cells reach the driver"))
+    df = table(spark).repartition(6)
+    one = grower.fit_boosting(df, FEATURES, "y", grower.Rule(4, 1.0, 1.0), 2, 0.3)
+    monkeypatch.setattr(grower, "CHUNK_ROWS", 64)
+    many = grower.fit_boosting(df, FEATURES, "y", grower.Rule(4, 1.0, 1.0), 2, 0.3)
+    assert max(sent) < 8_000
+    a, b = ({r["row_id"]: r["prediction"] for r in f.transform(df).select("row_id", "prediction").toLocalIterator()} for f in (one, many))
+    assert a == pytest.approx(b)
