@@ -94,3 +94,10 @@ def test_missing_stratum_part_reads_nan(spark):
     df = spark.createDataFrame([("A", None), (None, "x")], "p string, n string")
     got = [r[0] for r in df.select(sampling.strata_key(F.col("p"), F.col("n"))).collect()]
     assert got == ["A_nan", "nan_x"]
+
+
+def test_rows_of_two_classes_stay_in_their_tasks(spark):
+    """A split by class deals no rows by the class: each task keeps its share."""
+    df = spark.range(4000, numPartitions=8).withColumn("label", F.col("id") % 2)
+    sizes = sampling.split_stratified(df, "id", "label").groupBy(F.spark_partition_id()).count().collect()
+    assert [r["count"] for r in sizes] == [500] * 8
