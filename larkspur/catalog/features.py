@@ -11,7 +11,9 @@ from larkspur.functions import distance as fd
 from larkspur.functions import geo, housing, ride, timeparts as tp, weather
 from larkspur.operators import ordering
 from larkspur.operators.cleaning import optional_column
+from larkspur.operators.skew import lookup_join, sent_if_few
 from larkspur.plans import housing as plans_housing
+from larkspur.session import cut_lineage, stored
 from larkspur.sources import reference, synth
 from larkspur.sources.tables import Tables
 
@@ -207,8 +209,9 @@ view("flights_delay", "select f.*, m.avgdelay from flights f left join (select c
     cast(avgdelay > (select quantile_cont(avgdelay, 0.5) from flights_delay) as int) as high_avg_delay_route
     from flights_delay)""", "flights_delay", doubles="distance")
 def median_flag_feature(t: Tables):
-    means = t.flights.groupBy("carrier").agg(F.avg("arr_delay").alias("avgdelay"))
-    df = t.flights.join(means, "carrier", "left")
+    flights = stored(t.flights.select("flight_id", "carrier", "hour", "month", "distance", "totflight", "arr_delay"))
+    means = cut_lineage(flights.groupBy("carrier").agg(F.avg("arr_delay").alias("avgdelay")))
+    df = lookup_join(flights, sent_if_few(means), ["carrier"])
     busy = ordering.above_median(df, "totflight") if "totflight" in df.columns else F.lit(0)
     late = ordering.above_median(df, "avgdelay") if "avgdelay" in df.columns else F.lit(0)
     out = df.select("flight_id", "hour", "month", "distance", busy.alias("high_traffic_route"),

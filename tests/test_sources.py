@@ -77,3 +77,11 @@ def test_features_run_on_a_stream(spark, tables, tmp_path):
     batch = rides.where("price > 0").select("ride_id", premium_by_pattern(C("name"), "purchase|signup").alias("p"))
     assert streamed.count() == batch.count()
     assert streamed.join(batch, "ride_id").where("is_premium != p").count() == 0
+
+
+@pytest.mark.parametrize("name", ["median_flag_feature", "model_store"])
+def test_flights_are_computed_once(spark, folder, name):
+    """What is read several times is stored, so no plan joins the line items again."""
+    from larkspur.catalog import all_queries
+    plan = all_queries()[name](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan
