@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from larkspur.llm import langid, toxicity
@@ -73,6 +74,21 @@ def test_bounds_come_from_every_distinct_text(spark):
             assert model.losses[at] == pytest.approx(max(sorted(losses[at])[high], np.log(2) / model.code.shape[1]), rel=1e-9)
 
 
+def test_a_task_sends_the_slots_it_met():
+    texts = ["abc", "abd", "é"]
+    rows = [r for b in langid._counts_by_language([pa.record_batch([pa.array(["xa", "xa", "xb"]), pa.array(texts)], ["lang", "text"])])
+            for r in b.to_pylist()]
+    assert len(rows) <= 12 and all(r["n"] > 0 for r in rows) and sum(r["n"] for r in rows) == 6 + 6 + 3
+    assert len({(r["lang"], r["slot"]) for r in rows}) == len(rows)
+
+
+def test_bounds_see_no_more_than_they_cut(spark):
+    rows = ["a" * 5000, "1" * 3000 + "b", "1" * 3000, "\U0001F600" * 1027 + "ж" * 9, "é" * 1028, ""]
+    got = [r["t"] for r in documents(spark, [(i, t, "xa", None) for i, t in enumerate(rows)]).orderBy("doc_id").select(
+        langid._judged_part("text").alias("t")).collect()]
+    assert got == [rows[0][:1028], rows[1], rows[2], rows[3][:1028], rows[4], ""]
+
+
 def test_undetermined(spark):
     rng = random.Random(0)
     model = langid.fit(documents(spark, [(i, speak(rng, "xa", 9), "xa", None) for i in range(5)] + [(9, speak(rng, "xf", 9), "xf", None)]))
