@@ -20,6 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,9 +42,7 @@ _END_ID = b"\0\0\0\0"
 _STRANGE = re.compile("[\u0300-\U0010ffff\x01]|<\\|")
 _SIGNS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 
-
-#: Separators to Python's split that are signs to the tokenizer.
-_SEPARATORS = "\x1c\x1d\x1e\x1f"
+_IS_SIGN, _IS_LETTER, _IS_BLANK = (np.isin(np.arange(256), list(x)) for x in (_SIGNS.encode(), range(97, 123), (32, *range(9, 14))))
 
 
 def _is_plain(text: str) -> bool:
@@ -59,7 +58,9 @@ class WordTokens:
     """Token ids of texts, one distinct word at a time.
 
     The tokenizer drops white space and none of its steps looks across it, so
-    ids of a text are those of its words. Words below U+0300 are unchanged by
+    ids of a text are those of its words. Arrow splits plain texts and gives
+    their distinct words and finds the known ones; ids are dealt out to all
+    places by number. Words below U+0300 are unchanged by
     NFC and lower-cased letter by letter, and signs behind their letters are
     tokens apart; many of them go through a tokenizer without normalizer as
     one text, told apart by a mark. Other words, and those that hold the mark
@@ -67,7 +68,7 @@ class WordTokens:
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.whole = Tokenizer.from_file(path)
         self.bare = Tokenizer.from_file(path)
         self.bare.normalizer = None
@@ -77,68 +78,124 @@ class WordTokens:
         vocabulary = self.bare.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = None
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(False, use_regex=False)])
+        #: words of other texts; words of plain texts, their ids one after another and how many each has
         self.known: dict[str, bytes] = {"": b""}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.flat, self.size = pa.array([], pa.large_string()), np.zeros(0, "<u4"), np.zeros(0, np.int64)
 
-    def _encode(self, words) -> None:
+    def _encode(self, words, known: dict[str, bytes]) -> None:
         """Learn lower-case words without marks or added tokens."""
-        new, ended = [], []
+        alone, other, ended = [], [], []
         for w in words:
+            if w.isalpha():
+                alone.append(w)
+                continue
             # letters and a run of signs behind them are tokens apart
             letters = w.rstrip(_SIGNS)
             if letters != w and letters.isalpha():
                 ended.append((w, letters, w[len(letters):]))
             else:
-                new.append(w)
+                other.append(w)
         if ended:
-            new = list({*new, *[x for _, letters, signs in ended for x in (letters, signs) if x not in self.known]})
-        letters = [w for w in new if w.isalpha()]
-        for part, ids in self._bare(letters, " "):
+            alone = list({*alone, *[letters for _, letters, _ in ended if letters not in known]})
+            other = list({*other, *[signs for _, _, signs in ended if signs not in known]})
+        for part, ids in self._ids(self.letters, alone, " "):
             # a word of letters is one stretch of tokens up to one that ends a word
-            self._keep(part, ids, (4 * np.flatnonzero(self.ends[ids]) + 4).tolist(), 0)
-        for part, ids in self._bare([w for w in new if not w.isalpha()], f" {_MARK} "):
-            self._keep(part, ids, [*(4 * np.flatnonzero(ids == self.mark)).tolist(), 4 * len(ids)], 4)
+            self._keep(known, part, ids, (4 * np.flatnonzero(self.ends[ids]) + 4).tolist(), 0)
+        for part, ids in self._ids(self.bare, other, f" {_MARK} "):
+            self._keep(known, part, ids, [*(4 * np.flatnonzero(ids == self.mark)).tolist(), 4 * len(ids)], 4)
         for w, letters, signs in ended:
-            self.known[w] = self.known[letters] + self.known[signs]
+            known[w] = known[letters] + known[signs]
 
-    def _bare(self, words: list[str], between: str):
+    @staticmethod
+    def _ids(tokenizer, words: list[str], between: str):
         for low in range(0, len(words), 1000):
             part = words[low:low + 1000]
-            yield part, np.array(self.bare.encode_batch_fast([between.join(part)], add_special_tokens=False)[0].ids, "<u4")
+            yield part, np.array(tokenizer.encode_batch_fast([between.join(part)], add_special_tokens=False)[0].ids, "<u4")
 
-    def _keep(self, words: list[str], ids: np.ndarray, ends: list[int], gap: int) -> None:
+    @staticmethod
+    def _keep(known: dict[str, bytes], words: list[str], ids: np.ndarray, ends: list[int], gap: int) -> None:
         """Words whose ids end at the bytes ``ends``, ``gap`` bytes apart."""
         raw = ids.tobytes()
         for w, a, b in zip(words, [0, *[e + gap for e in ends[:-1]]], ends, strict=True):
-            self.known[w] = raw[a:b]
-
-    def _learn(self, words: set[str], plain: bool) -> None:
-        if plain:
-            return self._encode(words)
-        other = [w for w in words if _STRANGE.search(w)]
-        strange = set(other)
-        lower = {w: w.lower() for w in words if w not in strange}
-        self._encode({x for x in lower.values() if x not in self.known})
+            known[w] = raw[a:b]
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts that may be lower-cased as a whole."""
+        counts, which, words = _numbered_words(texts)
+        at = pc.index_in(words, value_set=self.words)
+        if len(self.words) + at.null_count > _CACHED_WORDS:
+            self._forget()
+            at = pc.index_in(words, value_set=self.words)
+        new = words.filter(at.is_null())
+        listed, met = new.to_pylist(), {"": b""}
+        self._encode([w for w in listed if w], met)
+        found = list(map(met.__getitem__, listed))
+        number = at.fill_null(-1).to_numpy().astype(np.int64)
+        number[number < 0] = len(self.words) + np.arange(len(new))
+        self.words = pa.concat_arrays([self.words, new])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(found), "<u4")])
+        self.size = np.concatenate([self.size, np.fromiter(map(len, found), np.int64, len(found)) // 4])
+        which = number[which]
+        sizes, starts = self.size[which], (np.cumsum(self.size) - self.size)[which]
+        ends = np.cumsum(sizes)
+        ids = self.flat[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1])]
+        cuts = np.concatenate(([0], ends))[np.cumsum([0, *counts])].tolist()
+        return [ids[low:high].tobytes() for low, high in zip(cuts, cuts[1:])]
+
+    def _other(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts with letters from U+0300 on, the mark, or what may be an added token."""
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        met = set().union(*split)
+        words = {w for w in met if w not in self.known}
+        if len(self.known) + len(words) > _CACHED_WORDS:
+            self.known, words = {"": b""}, met - {""}
+        strange = [w for w in words if _STRANGE.search(w)]
+        lower = {w: w.lower() for w in words.difference(strange)}
+        self._encode({x for x in lower.values() if x not in self.known}, self.known)
         for w, low in lower.items():
             self.known[w] = self.known[low]
-        if other:
-            for w, e in zip(other, self.whole.encode_batch_fast(other, add_special_tokens=False)):
+        if strange:
+            for w, e in zip(strange, self.whole.encode_batch_fast(strange, add_special_tokens=False)):
                 self.known[w] = np.array(e.ids, "<u4").tobytes()
+        return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian unsigned 32-bit numbers."""
-        plain = [_is_plain(t) for t in texts]
-        split = [t.lower().split() if p and not any(c in t for c in _SEPARATORS) else (t.lower() if p else t).replace("\n", " ").split(" ")
-                 for t, p in zip(texts, plain)]
-        low, raw = (set().union(*[s for s, p in zip(split, plain) if p is kind]) for kind in (True, False))
-        raw -= low
-        if len(self.known) + len(low) + len(raw) > _CACHED_WORDS:
-            unknown = [sum(w not in self.known for w in words) for words in (low, raw)]
-            if len(self.known) + sum(unknown) > _CACHED_WORDS:
-                self.known = {"": b""}
-        known = self.known
-        self._learn({w for w in low if w not in known}, True)
-        self._learn({w for w in raw if w not in known}, False)
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        out, plain = [b""] * len(texts), [_is_plain(t) for t in texts]
+        for kind, run in ((True, self._plain), (False, self._other)):
+            places = [i for i, p in enumerate(plain) if p is kind]
+            if places:
+                for i, found in zip(places, run([texts[i] for i in places])):
+                    out[i] = found
+        return out
+
+
+def _numbered_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(words of each text, number of the word at each place, distinct words) of lower-cased texts.
+
+    Signs at the end of a word are a word of their own behind a letter a-z:
+    they are tokens apart.
+    """
+    column = pa.array([t.lower() + "\n" for t in texts], pa.large_string())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[:len(texts) + 1]
+    raw = np.frombuffer(column.buffers()[2], np.uint8)[:offsets[-1]]
+    # the last byte of a text is a blank
+    sign = _IS_SIGN[raw]
+    first, last = np.flatnonzero(sign[1:] & ~sign[:-1]) + 1, np.flatnonzero(sign[:-1] & ~sign[1:])
+    if sign[0]:
+        last = last[1:]
+    first = first[_IS_LETTER[raw[first - 1]] & _IS_BLANK[raw[last + 1]]]
+    offsets = offsets + np.searchsorted(first, offsets)
+    apart = np.insert(raw, first, 32)
+    split = pc.ascii_split_whitespace(pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer(offsets), pa.py_buffer(apart)))
+    numbered = split.flatten().dictionary_encode()
+    return pc.list_value_length(split).to_numpy(), numbered.indices.to_numpy(), numbered.dictionary
 
 
 @lru_cache(maxsize=4)
@@ -159,7 +216,7 @@ def pieces(documents: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
             low, texts = 0, [t or "" for t in batch.column(1).to_pylist()]
             sizes = np.cumsum([0, *map(len, texts)])
             while low < len(texts):
-                high = max(low + 1, int(np.searchsorted(sizes, sizes[low] + (1 << 21), "right")) - 1)
+                high = max(low + 1, int(np.searchsorted(sizes, sizes[low] + (1 << 22), "right")) - 1)
                 out = []
                 for at, ids in zip(range(low, high), tokens.ids(texts[low:high])):
                     ids += _END_ID

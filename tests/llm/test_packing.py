@@ -47,6 +47,24 @@ def test_ids_of_words_are_ids_of_texts(text):
     assert tokens.ids(texts) == [i[:-1].tobytes() for i in ids_of(texts)]
 
 
+def test_signs_behind_letters_are_words_of_their_own():
+    counts, which, words = packing._numbered_words(["It's, a-b. X!?", "", "...x, it's é."])
+    places = [words[i].as_py() for i in which]
+    at = np.cumsum([0, *counts]).tolist()
+    assert [[w for w in places[low:high] if w] for low, high in zip(at, at[1:])] == [
+        ["it's", ",", "a-b", ".", "x", "!?"], [], ["...x", ",", "it's", "é."]]
+    assert len(set(words.to_pylist())) == len(words)
+
+
+def test_known_words_are_not_encoded_again(monkeypatch):
+    tokens, met = packing.WordTokens(PATH), []
+    learn = tokens._encode
+    monkeypatch.setattr(tokens, "_encode", lambda words, known: (met.extend(words), learn(words, known)))
+    texts = ["alpha beta. gamma", "Beta, alpha! delta", "delta gamma; beta"]
+    assert [tokens.ids([t])[0] for t in texts] == [i[:-1].tobytes() for i in ids_of(texts)]
+    assert sorted(met) == sorted([".", "alpha", "beta", "gamma", "!", ",", "delta", ";"])
+
+
 def test_cache_is_bounded(monkeypatch):
     monkeypatch.setattr(packing, "_CACHED_WORDS", 5)
     tokens = packing.WordTokens(PATH)
