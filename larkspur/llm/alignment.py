@@ -6,10 +6,12 @@ their byte ranges overlap. The first pass aligns all documents and keeps, per
 task, the distinct pairs with the number of its documents that hold them. A
 minimal perfect hash of all distinct pairs turns each task's counts into a dense
 vector without keys, and the vectors are summed in a tree. The second pass
-aligns the documents again and looks the counts up, by hash and verified key.
+looks the counts up, by hash and verified key.
 
 Neither tokenizer's tokens cross from a visible character to a blank or line
-break, so texts are aligned one distinct stretch at a time.
+line break, so texts are aligned one distinct stretch at a time. The first pass
+writes down, for every slice of documents, the links of its new stretches and the
+numbers of each document's stretches; the second reads these instead of texts.
 """
 
 from __future__ import annotations
@@ -312,9 +314,35 @@ class _Known:
         return np.flatnonzero(good), sizes[good], at[good[whose]]
 
 
+def _packed(values: np.ndarray) -> bytes:
+    raw = values.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpacked(blob: bytes, kind) -> np.ndarray:
+    size = int.from_bytes(blob[:8], "little")
+    return np.frombuffer(pa.decompress(blob[8:], decompressed_size=size, codec="zstd", asbytes=True) if size else b"", kind)
+
+
+#: A row is a document, a slice that stands before its documents, or a pair with its number of documents.
+_DOCUMENT = {"n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(), "n_links": pa.int64(), "groups_sha256": pa.string()}
+_SLICE = {"fresh": pa.bool_(), "links": pa.binary(), "sizes": pa.binary(), "at": pa.binary(), "per_doc": pa.binary()}
+_PAIR = {"pair": pa.int64(), "n": pa.int64()}
+_WRITTEN = "key long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, fresh boolean, links binary, sizes binary, " \
+    "at binary, per_doc binary, pair long, n long"
+
+
+def _rows(kind: pa.DataType, count: int, values: dict) -> pa.RecordBatch:
+    kinds = {"id": kind, "key": pa.int64()} | _DOCUMENT | _SLICE | _PAIR
+    return pa.RecordBatch.from_arrays([
+        pa.nulls(count, t) if name not in values else values[name] if isinstance(values[name], pa.Array) else pa.array(values[name], t)
+        for name, t in kinds.items()], names=list(kinds))
+
+
 def _first_pass(byte_path: str, piece_path: str):
     def scan(batches):
-        known = _Known(_aligner(byte_path, piece_path), False)
+        known = _Known(_aligner(byte_path, piece_path), True)
+        stats, texts, kind = np.zeros((0, 4), np.int64), [], None
         number: dict[int, int] = {}
         counts = np.zeros(0, np.int64)
         starts = sizes = flat = np.zeros(0, np.int64)
@@ -323,18 +351,41 @@ def _first_pass(byte_path: str, piece_path: str):
             keys = np.fromiter(number, np.int64, len(number))
             for low in range(0, len(keys), 1 << 16):
                 part = keys[low:low + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(counts[low:low + len(part)])], names=["pair", "n"])
+                yield _rows(kind, len(part), {"pair": part, "n": counts[low:low + len(part)]})
+
+        def described(part, fresh, found, docs, per_doc, at):
+            """The slice, then its documents."""
+            count = part.num_rows
+            every = np.zeros(count, np.int32)
+            every[docs] = per_doc
+            yield _rows(kind, 1, {"fresh": [fresh], "links": [_packed(found.links)], "sizes": [_packed(np.diff(found.bounds).astype(np.int32))],
+                                  "at": [_packed(at.astype(np.int32))], "per_doc": [_packed(every)]})
+            out, digests, low = np.zeros((count, 4), np.int64), [""] * count, 0
+            if len(docs):
+                out[docs] = np.add.reduceat(stats[at], np.cumsum(per_doc) - per_doc, axis=0)
+            for i, size in zip(docs.tolist(), per_doc.tolist()):
+                whole = "".join([texts[k] for k in at[low:low + size].tolist()])
+                digests[i] = hashlib.sha256(whole[:-1].encode()).hexdigest()
+                low += size
+            yield _rows(kind, count, {"id": part.column(0), "key": part.column(2), "groups_sha256": digests,
+                                      **{name: out[:, k] for k, name in enumerate(["n_a", "n_b", "n_groups", "n_links"])}})
 
         for batch in batches:
-            for _, texts in _rows_of(batch):
-                if len(number) > _KEPT_PAIRS:
+            kind = batch.schema.field(0).type
+            for low, rows in _rows_of(batch):
+                fresh = len(number) > _KEPT_PAIRS
+                if fresh:
                     yield from kept()
                     number, counts = {}, counts[:0]
                     known.clear()
                     starts = sizes = flat = flat[:0]
-                split, found, forgotten = known.learn(texts)
-                if forgotten:
+                split, found, forgotten = known.learn(rows)
+                fresh |= forgotten
+                if fresh:
                     starts = sizes = flat = flat[:0]
+                    stats, texts = stats[:0], []
+                stats = np.concatenate([stats, found.stats])
+                texts += found.texts
                 distinct, which = np.unique(found.links, return_inverse=True)
                 ids = np.array([number.setdefault(p, len(number)) for p in distinct.tolist()], np.int64)
                 starts = np.concatenate([starts, len(flat) + found.bounds[:-1]])
@@ -342,6 +393,7 @@ def _first_pass(byte_path: str, piece_path: str):
                 flat = np.concatenate([flat, ids[which]])
                 counts = np.concatenate([counts, np.zeros(len(number) - len(counts), np.int64)])
                 docs, per_doc, at = known.numbers(split)
+                yield from described(batch.slice(low, len(rows)), fresh, found, docs, per_doc, at)
                 # which document holds which pair, for as many documents at a time as fit
                 ends, step = np.cumsum(per_doc), max(1, _FLAGS // max(1, len(number)))
                 for first in range(0, len(docs), step):
@@ -351,48 +403,47 @@ def _first_pass(byte_path: str, piece_path: str):
                     held[np.repeat(whose, sizes[own]), flat[_ragged(starts[own], sizes[own])]] = True
                     counts += held.sum(axis=0)
         yield from kept()
+
     return scan
 
 
-def _second_pass(byte_path: str, piece_path: str, shared, best, number_of_table: int):
+def _second_pass(shared, best):
     def scan(batches):
-        table, top, first = shared.value, best.value, number_of_table == 0
-        known = _Known(_aligner(byte_path, piece_path), first)
-        stats, texts = np.zeros((0, 6), np.int64), []
+        table, top = shared.value, best.value
+        sums = waiting = np.zeros((0, 2), np.int64)
         for batch in batches:
-            for low, rows in _rows_of(batch):
-                split, found, forgotten = known.learn(rows)
-                if forgotten:
-                    stats, texts = stats[:0], []
-                stats = np.concatenate([stats, np.concatenate([found.stats, _sums(found, table, top)], axis=1)])
-                texts += found.texts
-                docs, per_doc, at = known.numbers(split)
-                out, digests = np.zeros((len(rows), 6), np.int64), [""] * len(rows)
-                if len(docs):
-                    out[docs] = np.add.reduceat(stats[at], np.cumsum(per_doc) - per_doc, axis=0)
-                if first:
-                    low_at = 0
-                    for i, size in zip(docs.tolist(), per_doc.tolist()):
-                        whole = "".join([texts[k] for k in at[low_at:low_at + size].tolist()])
-                        digests[i] = hashlib.sha256(whole[:-1].encode()).hexdigest()
-                        low_at += size
-                part = batch.slice(low, len(rows))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), *[pa.array(out[:, k]) for k in range(6)], pa.array(digests, pa.string())],
-                    names=["id", "key", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
+            out, low = np.zeros((batch.num_rows, 2), np.int64), 0
+            is_slice = batch.column("links").is_valid().to_numpy(zero_copy_only=False)
+            for here in [*np.flatnonzero(is_slice).tolist(), batch.num_rows]:
+                out[low:here], waiting = waiting[:here - low], waiting[here - low:]
+                low = here + 1
+                if here < batch.num_rows:
+                    fresh, links, sizes, at, per_doc = (batch.column(name)[here].as_py() for name in _SLICE)
+                    bounds = np.concatenate(([0], np.cumsum(_unpacked(sizes, np.int32), dtype=np.int64)))
+                    sums = np.concatenate([sums[:0] if fresh else sums, _sums(_unpacked(links, np.int64), bounds, table, top)])
+                    at, per_doc = _unpacked(at, np.int32), _unpacked(per_doc, np.int32).astype(np.int64)
+                    waiting, docs = np.zeros((len(per_doc), 2), np.int64), np.flatnonzero(per_doc)
+                    if len(docs):
+                        waiting[docs] = np.add.reduceat(sums[at], (np.cumsum(per_doc) - per_doc)[docs], axis=0)
+            documents = pa.array(~is_slice)
+            whole = batch.select(["id", "key", *_DOCUMENT]).filter(documents)
+            arrays = dict(zip(whole.schema.names, whole.columns)) | {
+                "n_best": pa.array(out[~is_slice, 0]), "count_sum": pa.array(out[~is_slice, 1])}
+            names = ["id", "key", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+            yield pa.RecordBatch.from_arrays([arrays[n] for n in names], names=names)
     return scan
 
 
-def _sums(found: Aligned, table: Table, best: np.ndarray) -> np.ndarray:
+def _sums(links: np.ndarray, bounds: np.ndarray, table: Table, best: np.ndarray) -> np.ndarray:
     """Per stretch: links with their A id's highest count, and the sum of counts, over the pairs of ``table``."""
-    pairs, which = np.unique(found.links, return_inverse=True)
+    pairs, which = np.unique(links, return_inverse=True)
     count = np.zeros(len(pairs), np.int64)
     for bucket, at, slots in table.each(pairs):
         count[at] = table.counts[bucket][slots]
     top = count > 0
     top[top] = count[top] == best[pairs[top] >> 32]
     upto = np.concatenate([np.zeros((1, 2), np.int64), np.cumsum(np.stack([top[which], count[which]], axis=1), axis=0)])
-    return upto[found.bounds[1:]] - upto[found.bounds[:-1]]
+    return upto[bounds[1:]] - upto[bounds[:-1]]
 
 
 def _hashed(key, table):
@@ -461,14 +512,15 @@ def align(documents: DataFrame, byte_tokenizer: str, piece_tokenizer: str, id_co
     texts, and texts whose bytes a tokenizer changes, have zeros and an empty
     hash and count for no pair; repeated rows are documents of their own.
     Memory in a task, and on the driver, is bounded by caches, one table of
-    pairs and A's vocabulary; with more tables each makes a scan of its own,
+    pairs and A's vocabulary; with more tables each reads what was written down,
     and their sums meet by id and hash of the text, where repeated rows have
     equal sums.
     """
     spark = documents.sparkSession
     paths = byte_tokenizer, piece_tokenizer
-    rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    found = cut_lineage(rows.mapInArrow(_first_pass(*paths), "pair long, n long"))
+    rows = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.xxhash64(F.col(text_col).cast("string")).alias("key"))
+    written = cut_lineage(rows.mapInArrow(_first_pass(*paths), f"id {dict(documents.dtypes)[id_col]}, {_WRITTEN}"))
+    found = cut_lineage(written.where("pair is not null").select("pair", "n"))
     top, tables = np.zeros(0, np.int64), []
     for table in pair_tables(found):
         for bucket, known in table.hashes.items():
@@ -478,9 +530,10 @@ def align(documents: DataFrame, byte_tokenizer: str, piece_tokenizer: str, id_co
                 np.maximum.at(top, ids, table.counts[bucket])
         tables.append(spark.sparkContext.broadcast(table))
     best = spark.sparkContext.broadcast(top)
-    scanned = rows.select("id", "text", F.xxhash64("text").alias("key"))
+    # a checkpoint keeps partitions and the order of their rows: a slice stands before its documents
+    scanned = written.where("pair is null").select("id", "key", *_DOCUMENT, *_SLICE)
     kinds = f"id {dict(documents.dtypes)[id_col]}, key long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
-    passes = [scanned.mapInArrow(_second_pass(*paths, t, best, i), kinds) for i, t in enumerate(tables)]
+    passes = [scanned.mapInArrow(_second_pass(t, best), kinds) for t in tables]
     whole = passes[0]
     if len(passes) > 1:
         more = None

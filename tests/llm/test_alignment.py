@@ -1,9 +1,12 @@
 import hashlib
 import itertools
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -113,3 +116,30 @@ def test_op12(spark, brute, folder):
     got = catalog.op12_token_alignment(spark, folder).collect()
     assert sorted(map(tuple, got)) == sorted(brute.rows(docs))
     assert list(got[0].asDict()) == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+def test_second_pass_reads_what_the_first_wrote(monkeypatch):
+    """Each stretch is aligned once, and slices may fall into any batches."""
+    texts = ["one two one", None, "", "two three\n", "one two one"]
+    aligner, met = alignment.Aligner(*PATHS), []
+    align = aligner.align
+    monkeypatch.setattr(aligner, "align", lambda stretches, with_text: met.extend(stretches) or align(stretches, with_text))
+    monkeypatch.setattr(alignment, "_aligner", lambda *_: aligner)
+    batches = [pa.record_batch([pa.array([i]), pa.array([t], pa.string()), pa.array([i])], ["id", "text", "key"]) for i, t in enumerate(texts)]
+    wrote = pa.Table.from_batches(list(alignment._first_pass(*PATHS)(iter(batches))))
+    assert len(met) == len(set(met))
+    pairs = {r["pair"]: r["n"] for r in wrote.to_pylist() if r["pair"] is not None}
+    made = alignment.PairHash.build(np.array(sorted(pairs)))
+    table = alignment.Table(1, {0: made}, {0: np.array([pairs[k] for k in made.keys.tolist()])})
+    best = np.zeros(1 + max(p >> 32 for p in pairs), np.int64)
+    for p, n in pairs.items():
+        best[p >> 32] = max(best[p >> 32], n)
+    rest = wrote.filter(pc.is_null(wrote["pair"]))
+    second = alignment._second_pass(SimpleNamespace(value=table), SimpleNamespace(value=best))
+    for size in (1, 2, 100):
+        got = [r for b in second(iter(rest.combine_chunks().to_batches(size))) for r in b.to_pylist()]
+        assert [r["id"] for r in got] == [0, 1, 2, 3, 4]
+        assert [r["count_sum"] for r in got[1:3]] == [0, 0] and got[0]["count_sum"] > 0
+        assert [{**r, "id": 0, "key": 0} for r in got if r["id"] in (0, 4)][0] == {**got[4], "id": 0, "key": 0}
+        # the pairs of "one" are in two documents, those of "two" in three
+        assert got[0]["count_sum"] >= 2 * got[0]["n_links"] and got[0]["n_links"] >= got[0]["n_best"] > 0
