@@ -142,3 +142,25 @@ def test_pairwise_correlations_leave_missing_values_out(spark):
     got = {(r["x"], r["y"]): r["r"] for r in pearson_matrix(spark.createDataFrame(rows, "a double, b double, c double"), ["a", "b", "c"]).collect()}
     pairs = np.array([(a, b) for a, b, _ in rows if b is not None])
     assert abs(got["a", "b"] - np.corrcoef(pairs.T)[0, 1]) < 1e-12 and got["a", "b"] == got["b", "a"] and got["c", "a"] is None
+
+
+def test_perceptron_looks_at_few_rows_behind_a_mistake():
+    """Every row wrong: looking 256 rows ahead each time would read 256 rows a mistake."""
+    from larkspur.models import perceptron
+
+    class Counted(np.ndarray):
+        seen = 0
+
+        def __matmul__(self, other):
+            Counted.seen += len(self)
+            return np.asarray(self) @ other
+
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=(1000, 3)), rng.choice([-1.0, 1.0], 1000)
+    w, mistakes = perceptron._pass(x.view(Counted), y, np.zeros(3))
+    want, wrong = np.zeros(3), 0
+    for row, sign in zip(x, y):
+        if sign * (row @ want) <= 0:
+            want, wrong = want + sign * row, wrong + 1
+    assert mistakes == wrong > 300 and np.allclose(np.asarray(w), want)
+    assert Counted.seen < 16 * len(x)
