@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from larkspur.models import grower
+from larkspur.models import grower, trees
 
 
 def table(spark, n=600, seed=1):
@@ -153,3 +153,59 @@ def test_boosting_sends_splits_to_the_driver_not_cells(spark, monkeypatch):
     assert max(sent) < 8_000
     a, b = ({r["row_id"]: r["prediction"] for r in f.transform(df).select("row_id", "prediction").toLocalIterator()} for f in (one, many))
     assert a == pytest.approx(b)
+
+
+def test_rows_of_the_same_bins_are_boosted_as_one(spark, monkeypatch):
+    """However many rows there are, boosting goes on over their combinations of bins, in one task."""
+    rows = [(i, float(i % 3), float(i % 2), 0.0, float(i % 7), i % 2, 1.0 + i % 4) for i in range(3000)]
+    df = spark.createDataFrame(rows, "row_id long, a double, b double, c double, y double, k int, w double").repartition(5)
+    cuts = grower.fit_bins(df, FEATURES)
+    made = grower.chunks(df, FEATURES, "y", cuts, None, "w")
+    for most in (grower.BOOST_ROWS, 0):
+        monkeypatch.setattr(grower, "BOOST_ROWS", most)
+        found, left = grower.merged_chunks(made, 3, 3000)
+        parts = [grower._opened(r.asDict(), 3) for r in found.collect()]
+        x, times, target, weight = (np.concatenate(v) for v in zip(*parts))
+        assert left == len(x) and left <= 6 * 16 and (most or left == len({tuple(r) for r in x.tolist()}) == 6)
+        assert times.sum() == 3000 and weight.sum() == sum(r[-1] for r in rows)
+        assert weight @ target == pytest.approx(sum(r[-1] * r[-3] for r in rows))
+
+
+@pytest.mark.parametrize("classes", [0, 2])
+def test_boosting_in_one_task_finds_the_trees_of_jobs_by_level(spark, monkeypatch, classes):
+    df = table(spark)
+    label = "k2" if classes else "y"
+    df = df.selectExpr("*", "cast(y > 3 as int) as k2")
+    one = grower.fit_boosting(df, FEATURES, label, grower.Rule(4, 1.0, 1.0), 3, 0.3, classes)
+    monkeypatch.setattr(grower, "BOOST_ROWS", 0)
+    many = grower.fit_boosting(df, FEATURES, label, grower.Rule(4, 1.0, 1.0), 3, 0.3, classes)
+    a, b = ({r["row_id"]: r["_raw"][0] for r in f.with_raw(df).select("row_id", "_raw").collect()} for f in (one, many))
+    assert a == pytest.approx(b) and one.trees.count() == many.trees.count() == 3
+
+
+def test_nodes_written_seldom_or_often_give_the_same_forest(spark, monkeypatch):
+    df = table(spark)
+    seldom = grower.fit_forest(df, FEATURES, "k", grower.Rule(9, subset=2), 3, key="row_id", local=20)
+    monkeypatch.setattr(grower, "LEVELS_KEPT", 1)
+    often = grower.fit_forest(df, FEATURES, "k", grower.Rule(9, subset=2), 3, key="row_id", local=20)
+    a, b = (sorted(map(str, grower.node_report(f).drop("value").collect())) for f in (seldom, often))
+    assert a == b and len(a) > 30
+
+
+def test_deep_trees_are_grown_without_sums_of_every_node(spark):
+    """MLlib's tasks would each send the cells of every node of a level."""
+    df = table(spark)
+    fit = trees.fit_tree_classifier(df, FEATURES, "k", depth=20)
+    assert isinstance(fit, grower.TreeModel) and fit.trees.count() == 1
+    assert sorted(trees.importances(fit)) == sorted(FEATURES) and sum(trees.importances(fit).values()) == pytest.approx(1)
+    rows = fit.transform(df).select("k", "prediction").collect()
+    assert sum(r["k"] == r["prediction"] for r in rows) > 0.7 * len(rows)
+    assert not isinstance(trees.fit_tree_regressor(df, ["a", "c"], "y", depth=3), grower.TreeModel)
+
+
+def test_bins_from_exact_counts(spark):
+    rows = [(float(i % 128), float(i % 129), None if i % 2 else float("nan"), float(i % 3)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(6)
+    a, b, c, d = grower.fit_bins(df, ["a", "b", "c", "d"])
+    assert len(a) == len(np.unique(np.quantile(np.arange(128.0), [j / 64 for j in range(1, 64)], method="inverted_cdf")))
+    assert 50 < len(b) <= 63 and len(c) == 0 and d.tolist() == [0.5, 1.5]
