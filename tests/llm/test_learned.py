@@ -74,6 +74,32 @@ def test_bounds_come_from_every_distinct_text(spark):
             assert model.losses[at] == pytest.approx(max(sorted(losses[at])[high], np.log(2) / model.code.shape[1]), rel=1e-9)
 
 
+def test_bounds_of_long_texts_come_from_the_whole_text(spark):
+    """A long text is judged whole, so the training texts beyond the last length are too, not by their first kilobyte."""
+    rng = random.Random(7)
+    texts = [(lang, speak(rng, lang, 400) + " " + speak(rng, other, rng.randint(0, 300)))
+             for _ in range(60) for lang, other in (("xa", "xb"), ("xb", "xe"), ("xe", "xa"))]
+    assert min(len(text) for _, text in texts) > langid.LENGTHS[-1]
+    model = langid.fit(documents(spark, [(i, text, lang, None) for i, (lang, text) in enumerate(texts)]))
+    gaps, losses = [], []
+    for lang, text in texts:
+        raw = langid._LOWER[np.frombuffer(text.encode(), np.uint8)]
+        found = np.sort(model.distances(model.margins(raw), len(raw)))
+        if model.languages[int(np.argmin(model.distances(model.margins(raw), len(raw))))] == lang:
+            gaps.append(found[1] - found[0])
+            losses.append(found[0])
+    n = len(losses)
+    low, high = (max(int(np.ceil(p * n)), 1) - 1 for p in (langid.OUTSIDE, 1 - langid.OUTSIDE))
+    assert model.gaps[-1] == pytest.approx(max(sorted(gaps)[low], 1e-3), rel=1e-9)
+    assert model.losses[-1] == pytest.approx(max(sorted(losses)[high], np.log(2) / model.code.shape[1]), rel=1e-9)
+    assert len(model.gaps) == len(langid.LENGTHS) + 1
+    for lang, text in texts[:9]:
+        raw = langid._LOWER[np.frombuffer(text.encode(), np.uint8)]
+        margins = model.margins(raw)
+        found = np.sort(model.distances(margins, len(raw)))
+        assert model.decode(margins, len(raw))[2] == (found[1] - found[0] < model.gaps[-1] or found[0] > model.losses[-1])
+
+
 def test_a_task_sends_the_slots_it_met():
     texts = ["abc", "abd", "é"]
     rows = [r for b in langid._counts_by_language([pa.record_batch([pa.array(["xa", "xa", "xb"]), pa.array(texts)], ["lang", "text"])])
