@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from larkspur.catalog import models
 from larkspur.models import grower, trees
 
 
@@ -209,3 +210,20 @@ def test_bins_from_exact_counts(spark):
     a, b, c, d = grower.fit_bins(df, ["a", "b", "c", "d"])
     assert len(a) == len(np.unique(np.quantile(np.arange(128.0), [j / 64 for j in range(1, 64)], method="inverted_cdf")))
     assert 50 < len(b) <= 63 and len(c) == 0 and d.tolist() == [0.5, 1.5]
+
+
+def test_chunks_hold_hashes_and_weights_only_where_there_are_any(spark):
+    df = table(spark).withColumn("w", F.lit(2.0))
+    cuts = grower.fit_bins(df, FEATURES)
+    bare = grower.chunks(df, FEATURES, "y", cuts).first()
+    full = grower.chunks(df, FEATURES, "y", cuts, "row_id", "w").first()
+    assert bare["hashes"] == bare["weight"] == b"" and len(full["hashes"]) == len(full["weight"]) == 8 * full["n"]
+    assert grower._chunk(bare, 3)[3].tolist() == [1.0] * bare["n"] and grower._chunk(full, 3)[3].tolist() == [2.0] * full["n"]
+
+
+def test_parts_of_a_table_are_written_once_and_by_columns(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(models, "spread", lambda df: made.append(df) or df)
+    train, test = models.parts(table(spark), "row_id", ["a", "c"], "k", scaled=False, stratify=True)
+    assert len(made) == 1 and made[0].inputFiles() and all(f.endswith(".parquet") for f in made[0].inputFiles())
+    assert train.count() + test.count() == 600 and test.count() >= 120
